@@ -20,7 +20,7 @@ def rnd(expr: str, n: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
-def first_per(source: str, keys: list[str], order: list[str], cols: str = "*") -> str:
+def first_per(source: str, keys: list[str], order: list[str], cols: str = "* EXCLUDE (_rn)") -> str:
     """Rows of ``source`` that are first per key (ascending, NULLs first)."""
     o = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
     k = ", ".join(keys)
@@ -28,7 +28,7 @@ def first_per(source: str, keys: list[str], order: list[str], cols: str = "*") -
             f"FROM {source}) WHERE _rn = 1")
 
 
-def last_per(source: str, keys: list[str], order: list[str], cols: str = "*") -> str:
+def last_per(source: str, keys: list[str], order: list[str], cols: str = "* EXCLUDE (_rn)") -> str:
     o = ", ".join(f"{c} DESC NULLS LAST" for c in order)
     k = ", ".join(keys)
     return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn "

@@ -1 +1,91 @@
-"""Registered queries (filled in below)."""
+"""Registered Silver cleaning queries (2.x, 3.x, 1.15)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from godown.operators import clean
+from godown.oracle import LINEAGE_ORDER, first_per, with_ctes
+from godown.plans.pipeline import Layers
+from godown.plans.registry import query
+from godown.schemas import FEEDS
+
+
+@query("clean_products", with_ctes("SELECT * FROM s_products"))
+def q_clean_products(spark, sf_dir):
+    return Layers(spark, sf_dir).products
+
+
+@query("clean_products_category_median", with_ctes("SELECT * FROM s_products_catmed"))
+def q_clean_products_category_median(spark, sf_dir):
+    return clean.clean_products(Layers(spark, sf_dir).raw("products"), category_median=True)
+
+
+@query("clean_products_approx_median")
+def q_clean_products_approx_median(spark, sf_dir):
+    """D1 option: the median as an existing value from a rank-error-0.01 sketch."""
+    return clean.clean_products(Layers(spark, sf_dir).raw("products"), approx=True)
+
+
+@query("clean_warehouse", with_ctes("SELECT * FROM s_warehouse"))
+def q_clean_warehouse(spark, sf_dir):
+    return Layers(spark, sf_dir).warehouse
+
+
+@query("clean_inventory", with_ctes("SELECT * FROM s_inventory"))
+def q_clean_inventory(spark, sf_dir):
+    return Layers(spark, sf_dir).inventory
+
+
+@query("clean_orders", with_ctes("SELECT * FROM s_orders"))
+def q_clean_orders(spark, sf_dir):
+    return Layers(spark, sf_dir).orders
+
+
+@query("clean_sales", with_ctes("SELECT * FROM s_sales"))
+def q_clean_sales(spark, sf_dir):
+    return Layers(spark, sf_dir).sales
+
+
+# 3.5 on its own: first raw product row per key, re-sent rows lose (D13).
+@query("dedup_by_key", with_ctes(first_per("raw_products", ["product_id"],
+                                           LINEAGE_ORDER + ["product_name", "category", "unit_price",
+                                                            "supplier_id"])))
+def q_dedup_by_key(spark, sf_dir):
+    return clean.dedupe(Layers(spark, sf_dir).raw("products"), ["product_id"])
+
+
+# 3.6 on its own: supplier snapshot rows deduplicated on business columns (D4).
+@query("dedup_all_columns", with_ctes("SELECT * FROM sup_rows_q",
+                                      {"sup_rows_q": first_per(
+                                          "raw_supplier_snapshots",
+                                          ["supplier_id", "supplier_name", "address", "contact_email",
+                                           "rating", "source_date"], LINEAGE_ORDER)}))
+def q_dedup_all_columns(spark, sf_dir):
+    return clean.dedupe_rows(Layers(spark, sf_dir).raw("supplier_snapshots"))
+
+
+_STEP_FEEDS = ("products", "warehouse", "inventory", "orders", "sales")
+
+
+def _step_sql(name: str) -> str:
+    spec = FEEDS[name]
+    req = " AND ".join(f"{c} IS NOT NULL" for c in spec.required) or "TRUE"
+    flt = "TRUE"
+    if spec.row_filter:
+        # zero-filled quantities: NULL counts as 0 before the filter
+        flt = spec.row_filter
+        for c in spec.zero_fill:
+            flt = flt.replace(c, f"coalesce({c}, 0)")
+    k = spec.key[0]
+    return (f"SELECT '{name}' AS feed, count(*) AS rows_in, count(*) FILTER (WHERE {req}) AS after_required, "
+            f"count(*) FILTER (WHERE {req} AND {flt}) AS after_filter, "
+            f"count(DISTINCT CASE WHEN {req} AND {flt} THEN {k} END) AS rows_out FROM raw_{name}")
+
+
+@query("step_counts", with_ctes(" UNION ALL ".join(_step_sql(n) for n in _STEP_FEEDS)))
+def q_step_counts(spark, sf_dir):
+    """1.15: before/after counts of every cleaning step, one aggregate per feed."""
+    L = Layers(spark, sf_dir)
+    parts = [clean.step_counts(L.raw(n), FEEDS[n]) for n in _STEP_FEEDS]
+    return reduce(lambda a, b: a.unionByName(b), parts)
