@@ -59,7 +59,7 @@ def month_label(ym) -> Column:
     m = col(ym)
     abbr = F.element_at(F.array(*[F.lit(a) for a in MONTH_ABBR]),
                         F.substring(m, 6, 2).try_cast("int"))
-    return F.concat_ws(" ", abbr, F.substring(m, 1, 4))
+    return F.when(m.isNotNull(), F.concat_ws(" ", abbr, F.substring(m, 1, 4)))
 
 
 def first_word(c) -> Column:

@@ -1 +1,62 @@
-"""Registered queries (filled in below)."""
+"""Registered data-quality queries (4.1 - 4.7)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from godown.operators import quality
+from godown.oracle import with_ctes
+from godown.plans.pipeline import Layers
+from godown.plans.registry import query
+from godown.schemas import FEEDS
+
+DQ_TABLES = ("inventory", "sales", "orders", "products")
+SILVER_CTE = {"inventory": "s_inventory", "sales": "s_sales", "orders": "s_orders", "products": "s_products"}
+
+
+def _failed_sql(rules: dict) -> str:
+    parts = ", ".join(f"CASE WHEN NOT coalesce({r}, FALSE) THEN '{n}' END" for n, r in rules.items())
+    return f"NULLIF(concat_ws(',', {parts}), '')"
+
+
+def _ok_sql(rules: dict) -> str:
+    return " AND ".join(f"coalesce({r}, FALSE)" for r in rules.values())
+
+
+def _tagged_sql(t: str) -> str:
+    return f"SELECT *, {_failed_sql(FEEDS[t].rules)} AS _dq_failed_rule FROM {SILVER_CTE[t]}"
+
+
+def _register(t: str):
+    silver = lambda spark, sf_dir: getattr(Layers(spark, sf_dir), t)
+
+    def passed(spark, sf_dir):
+        return quality.split(silver(spark, sf_dir), quality.feed_rules(t))[0]
+
+    def failed(spark, sf_dir):
+        return quality.split(silver(spark, sf_dir), quality.feed_rules(t))[1]
+
+    passed.__doc__ = f"4.1: {t} rows passing every rule (what Gold reads)."
+    failed.__doc__ = f"4.1 / 4.2: {t} rows failing a rule, tagged; NULL counts as failed (D9)."
+    query(f"dq_{t}_passed", with_ctes(
+        f"SELECT * EXCLUDE (_dq_failed_rule) FROM ({_tagged_sql(t)}) WHERE _dq_failed_rule IS NULL"))(passed)
+    query(f"dq_{t}_quarantine", with_ctes(
+        f"SELECT * FROM ({_tagged_sql(t)}) WHERE _dq_failed_rule IS NOT NULL"))(failed)
+
+
+for _t in DQ_TABLES:
+    _register(_t)
+
+
+_COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) FILTER (WHERE {_ok_sql(FEEDS[t].rules)}) AS passed, "
+    f"count(*) FILTER (WHERE NOT ({_ok_sql(FEEDS[t].rules)})) AS quarantined FROM {SILVER_CTE[t]}"
+    for t in DQ_TABLES)
+
+
+@query("dq_counts", with_ctes(_COUNTS_SQL))
+def q_dq_counts(spark, sf_dir):
+    """4.7: passed / quarantined per table, one aggregate each."""
+    L = Layers(spark, sf_dir)
+    parts = [quality.rule_counts(getattr(L, t), quality.feed_rules(t), t) for t in DQ_TABLES]
+    return reduce(lambda a, b: a.unionByName(b), parts)
