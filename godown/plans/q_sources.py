@@ -1 +1,174 @@
-"""Registered queries (filled in below)."""
+"""Registered source / sink / streaming queries (1.x, 11.x) and the feed generator (1.16).
+
+The ingestion queries first drop feed files derived from the driver's
+tables into a fresh folder under ``spark.checkpoint.dir`` (that is the
+"upstream system"), then ingest them the way a scheduled job would, and
+return what landed in Bronze.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from godown.oracle import LINEAGE_ORDER, TS_RUN, first_per, rnd, with_ctes
+from godown.operators import clean
+from godown.plans.pipeline import Layers
+from godown.plans.registry import query
+from godown.schemas import (INGEST_TS, LINEAGE, ORDERS, SALES, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS,
+                            SUPPLIER_TRACKED, SUPPLIERS)
+from godown.session import scratch_path
+from godown.sources import bronze, feeds, store
+from godown.streaming import ingest
+
+SPLIT_DATE = dt.date(1998, 1, 1)   # fixed value: first vs second delivery of a feed
+
+
+def _business(df, spec):
+    return df.select(*spec.columns)
+
+
+# ---- 1.1 / 1.5 / 1.6: batch CSV ingestion of a multi-file feed -------------
+_SUP_TYPED = {**SUPPLIERS.casts, "supplier_id": "bigint"}
+
+
+@query("bronze_batch_lineage", with_ctes(f"""
+SELECT supplier_id, supplier_name, address, contact_email, rating, source_date,
+       _source_file AS feed, {TS_RUN} AS _ingest_timestamp
+FROM raw_supplier_snapshots
+"""))
+def q_bronze_batch_lineage(spark, sf_dir):
+    """Supplier snapshot files (one folder per file) read in one scan with lineage.
+
+    ``feed`` is the landing folder of each row; ``_source_file`` (the
+    physical part file) is dropped from the result because Spark names
+    part files with a random id.
+    """
+    root = scratch_path(spark, "landing_suppliers")
+    raw = feeds.raw_supplier_snapshots(spark, sf_dir)
+    files = raw.drop(INGEST_TS).withColumnRenamed(SOURCE_FILE, "feed")
+    files.write.partitionBy("feed").option("header", True).csv(root)
+    df = bronze.read_feed(spark, SUPPLIERS, root, ingest_ts=feeds.RUN_TS)
+    typed = clean.try_types(df, _SUP_TYPED)
+    return typed.select(*SUPPLIERS.columns, "feed", INGEST_TS)
+
+
+# ---- 1.2 / 11.1 - 11.3: incremental file stream, run to completion --------
+_SALES_TYPED = {**SALES.casts, "sale_id": "bigint", "product_id": "bigint", "warehouse_id": "int"}
+
+
+@query("bronze_stream_available_now", with_ctes(
+    "SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, revenue FROM raw_sales"))
+def q_bronze_stream_available_now(spark, sf_dir):
+    """Two deliveries of the sales feed, three availableNow runs (the last finds nothing)."""
+    root = scratch_path(spark, "stream_sales")
+    raw = _business(feeds.raw_sales(spark, sf_dir), SALES)
+    first = F.col("sale_date") < F.lit(SPLIT_DATE)
+    landing, out, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    bronze.write_csv(raw.where(first), f"{landing}/drop1")
+    runs = [ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt)]
+    bronze.write_csv(raw.where(~first | F.col("sale_date").isNull()), f"{landing}/drop2")
+    runs.append(ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt))
+    runs.append(ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt))
+    if runs[2] != 0:
+        raise RuntimeError(f"re-run ingested {runs[2]} rows again")
+    landed = spark.read.parquet(out)
+    return _business(clean.try_types(landed, _SALES_TYPED), SALES)
+
+
+# ---- 1.3 / 1.4: additive schema evolution ----------------------------------
+@query("bronze_schema_evolution", with_ctes(f"""
+SELECT order_id, product_id, supplier_id, order_date, expected_delivery, actual_delivery, quantity_ordered,
+       CASE WHEN order_date < DATE '{SPLIT_DATE}' THEN NULL ELSE status END AS status
+FROM raw_orders
+"""))
+def q_bronze_schema_evolution(spark, sf_dir):
+    """Orders delivered first without, later with the ``status`` column."""
+    root = scratch_path(spark, "evolving_orders")
+    raw = _business(feeds.raw_orders(spark, sf_dir), ORDERS)
+    first = F.col("order_date") < F.lit(SPLIT_DATE)
+    store.overwrite(raw.where(first).drop("status"), f"{root}/part1")
+    store.overwrite(raw.where(~first), f"{root}/part2")
+    return bronze.read_evolving(spark, [f"{root}/part1", f"{root}/part2"]).select(*ORDERS.columns)
+
+
+# ---- 11.4: supplier snapshots streamed into the SCD2 history ---------------
+@query("bronze_stream_scd2", with_ctes("SELECT * FROM s_suppliers_scd2"))
+def q_bronze_stream_scd2(spark, sf_dir):
+    """Each snapshot delivery merged by foreachBatch; equals the full replay."""
+    root = scratch_path(spark, "stream_suppliers")
+    raw = feeds.raw_supplier_snapshots(spark, sf_dir).drop(*LINEAGE)
+    landing = f"{root}/landing"
+    for i, d in enumerate(feeds.SNAPSHOT_DATES):
+        bronze.write_csv(raw.where(F.col("source_date") == F.lit(d)), f"{landing}/drop{i}")
+        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{landing}/*", f"{root}/history",
+                           f"{root}/_checkpoint", "supplier_id", SUPPLIER_TRACKED, "source_date",
+                           _SUP_TYPED, SUPPLIER_HISTORY_COLUMNS)
+    return store.VersionedTable(spark, f"{root}/history").read()
+
+
+# ---- 1.14: row-count audit --------------------------------------------------
+_COUNTED = ("products", "warehouse", "inventory", "orders", "sales", "suppliers_scd2",
+            "inventory_snapshot", "low_stock_alerts", "supplier_performance", "product_movement",
+            "sales_summary", "sales_trends")
+_COUNT_CTE = {"products": "s_products", "warehouse": "s_warehouse", "inventory": "s_inventory",
+              "orders": "s_orders", "sales": "s_sales", "suppliers_scd2": "s_suppliers_scd2",
+              "inventory_snapshot": "g_snapshot", "low_stock_alerts": "g_alerts",
+              "supplier_performance": "g_supplier_perf", "product_movement": "g_movement",
+              "sales_summary": "g_summary", "sales_trends": "g_trends"}
+
+
+def _table_counts_sql():
+    from godown.plans.q_gold import gold_sql
+    return gold_sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {_COUNT_CTE[t]}" for t in _COUNTED))
+
+
+@query("table_counts", _table_counts_sql())
+def q_table_counts(spark, sf_dir):
+    """Rows per Silver and Gold table."""
+    L = Layers(spark, sf_dir)
+    return store.row_counts({t: getattr(L, t) for t in _COUNTED})
+
+
+# ---- 1.16 / 6.7 / 10.11 - 10.14: synthetic sales feed ----------------------
+# Fixed values of the generator: warehouse codes, the first sale date, the
+# day span, the quantity range and the default price of unknown products.
+GEN_WAREHOUSES = ("WH01", "WH02", "WH03")
+GEN_START = dt.date(2026, 5, 1)
+GEN_DAYS = 72
+GEN_MAX_QTY = 20
+GEN_DEFAULT_PRICE = 100.0
+
+
+@query("synthetic_sales", with_ctes(f"""
+SELECT printf('SALE%08d', i) AS sale_id, g.product_id,
+       ['WH01', 'WH02', 'WH03'][CAST((i * 7 + 3) % 3 AS INTEGER) + 1] AS warehouse_id,
+       DATE '{GEN_START}' + CAST((i * 13) % {GEN_DAYS} AS INTEGER) AS sale_date,
+       CAST(1 + (i * 17) % {GEN_MAX_QTY} AS INTEGER) AS quantity_sold,
+       coalesce(p.unit_price, {GEN_DEFAULT_PRICE}) AS unit_price,
+       {rnd(f'CAST(1 + (i * 17) % {GEN_MAX_QTY} AS INTEGER) * coalesce(p.unit_price, {GEN_DEFAULT_PRICE})', 2)}
+         AS revenue
+FROM (SELECT l_orderkey * 10 + l_linenumber AS i, l_partkey AS product_id FROM lineitem) g
+LEFT JOIN gen_products p ON g.product_id = p.product_id
+""", {"gen_products": first_per("raw_products", ["product_id"],
+                                LINEAGE_ORDER + ["product_name", "category", "unit_price", "supplier_id"])}))
+def q_synthetic_sales(spark, sf_dir):
+    """A sales feed generated from every line id: picks by id arithmetic, price lookup with a default."""
+    li = feeds.table(spark, sf_dir, "lineitem")
+    products = clean.dedupe(feeds.raw_products(spark, sf_dir), ["product_id"]).select("product_id", "unit_price")
+    i = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    qty = (F.lit(1) + F.pmod(F.col("_i") * 17, F.lit(GEN_MAX_QTY))).cast("int")
+    price = F.coalesce(F.col("unit_price"), F.lit(GEN_DEFAULT_PRICE))
+    gen = li.select(i.alias("_i"), F.col("l_partkey").alias("product_id"))
+    return (gen.join(products, "product_id", "left")
+            .select(F.format_string("SALE%08d", F.col("_i")).alias("sale_id"),
+                    "product_id",
+                    F.element_at(F.array(*[F.lit(w) for w in GEN_WAREHOUSES]),
+                                 (F.pmod(F.col("_i") * 7 + 3, F.lit(3)) + 1).cast("int")).alias("warehouse_id"),
+                    F.date_add(F.lit(GEN_START), F.pmod(F.col("_i") * 13, F.lit(GEN_DAYS)).cast("int"))
+                     .alias("sale_date"),
+                    qty.alias("quantity_sold"),
+                    price.alias("unit_price"),
+                    F.round(qty * price, 2).alias("revenue")))

@@ -58,11 +58,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one run."""
+    """A fresh, unique (not yet existing) folder under the checkpoint root for one run."""
     base = checkpoint_root(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    path = "/".join([base, "godown", *parts, uuid.uuid4().hex[:12]])
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    parent = "/".join([base, "godown", *parts])
+    if "://" not in parent:
+        os.makedirs(parent, exist_ok=True)
+    return f"{parent}/{uuid.uuid4().hex[:12]}"
