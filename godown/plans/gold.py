@@ -25,17 +25,19 @@ from godown.functions.exprs import classify_movement, growth_pct, month_bucket
 
 # Presentation order of each Gold table (descending measure, key as tie-break).
 ORDERING = {
-    "inventory_snapshot": [F.col("inventory_id")],
-    "low_stock_alerts": [F.desc("shortfall"), F.col("inventory_id")],
-    "supplier_performance": [F.desc_nulls_last("on_time_pct"), F.col("supplier_id")],
-    "product_movement": [F.desc("total_units_sold"), F.col("product_id")],
-    "sales_summary": [F.desc("total_revenue"), F.col("warehouse_id"), F.col("category")],
-    "sales_trends": [F.asc_nulls_first("month")],
+    "inventory_snapshot": ("inventory_id",),
+    "low_stock_alerts": ("-shortfall", "inventory_id"),
+    "supplier_performance": ("-on_time_pct", "supplier_id"),
+    "product_movement": ("-total_units_sold", "product_id"),
+    "sales_summary": ("-total_revenue", "warehouse_id", "category"),
+    "sales_trends": ("month",),
 }
 
 
 def ordered(df: DataFrame, table: str) -> DataFrame:
-    return df.orderBy(*ORDERING[table])
+    """The table in its presentation order (a global sort; use for final output only)."""
+    keys = [F.desc_nulls_last(k[1:]) if k.startswith("-") else F.asc_nulls_first(k) for k in ORDERING[table]]
+    return df.orderBy(*keys)
 
 
 def current_suppliers(history: DataFrame) -> DataFrame:
