@@ -1,9 +1,9 @@
 """Dashboard data sets K1-K9 and the warehouse x category matrix (7.16).
 
 Only the data behind the dashboard is built (no HTML).  KPI scalars are
-scalar subqueries over the Gold tables, so the one-row result needs no
-cross join and no driver round trip; top-n lists are ``orderBy().limit()``
-(a per-task top-n, then one small merge).
+one-row aggregates folded into one row (no cross join, no driver round
+trip); top-n lists are ``orderBy().limit()`` (a per-task top-n, then one
+small merge).
 """
 
 from __future__ import annotations
@@ -25,40 +25,40 @@ def kpi_scalars(spark: SparkSession, snapshot: DataFrame, alerts: DataFrame, per
                 movement: DataFrame, trends: DataFrame) -> DataFrame:
     """K1: the fourteen headline numbers in one row.
 
-    One aggregate per Gold table, each a single scalar subquery returning a
-    struct; the fields are read from it.
+    One one-row aggregate per Gold table; the four rows are stacked (union
+    by name, each KPI column filled in exactly one of them) and folded
+    into one row with ``max``.  One job, no cross join, nothing passes
+    through the driver.  The low-stock count is counted on the snapshot:
+    the alert table is the snapshot filtered by stock < threshold.
     """
-    inv = snapshot.agg(F.struct(lakh(F.sum("stock_value")).alias("value_l"),
-                                F.count(F.lit(1)).alias("rows"),
-                                F.count_distinct("warehouse_id").alias("warehouses"))).scalar()
-    low = alerts.agg(F.count(F.lit(1))).scalar()
-    sup = performance.agg(F.struct(
-        F.round(F.avg("on_time_pct"), 1).alias("avg_pct"),
-        F.sum("total_orders").alias("orders"),
-        _arg_best("supplier_name", "on_time_pct", "supplier_id").alias("best_name"),
-        _arg_best("on_time_pct", "on_time_pct", "supplier_id").alias("best_pct"),
-        _arg_best("supplier_name", "current_rating", "supplier_id").alias("top_name"),
-        _arg_best("current_rating", "current_rating", "supplier_id").alias("top_score"))).scalar()
-    trd = trends.agg(F.struct(lakh(F.sum("total_revenue")).alias("revenue_l"),
-                              F.sum("total_units_sold").alias("units"),
-                              F.round(F.max_by("revenue_growth_pct", "month"), 1).alias("growth"))).scalar()
-    fast = movement.agg(F.count_if(F.col("movement_category") == FAST)).scalar()
-    return spark.range(1).select(
-        inv["value_l"].alias("total_stock_value_l"),
-        low.alias("low_stock_count"),
-        inv["rows"].alias("inventory_rows"),
-        inv["warehouses"].alias("warehouse_count"),
-        sup["avg_pct"].alias("avg_on_time_pct"),
-        sup["orders"].alias("total_orders"),
-        sup["best_name"].alias("best_supplier_name"),
-        sup["best_pct"].alias("best_supplier_pct"),
-        sup["top_name"].alias("top_rated_name"),
-        sup["top_score"].alias("top_rated_score"),
-        trd["revenue_l"].alias("revenue_l"),
-        trd["units"].alias("units"),
-        trd["growth"].alias("latest_growth_pct"),
-        fast.alias("fast_moving_count"),
-    )
+    del spark, alerts
+    low = F.col("quantity_on_hand") < F.col("reorder_threshold")
+    parts = [
+        snapshot.agg(lakh(F.sum("stock_value")).alias("total_stock_value_l"),
+                     F.count_if(low).alias("low_stock_count"),
+                     F.count(F.lit(1)).alias("inventory_rows"),
+                     F.count_distinct("warehouse_id").alias("warehouse_count")),
+        performance.agg(F.round(F.avg("on_time_pct"), 1).alias("avg_on_time_pct"),
+                        F.sum("total_orders").alias("total_orders"),
+                        _arg_best("supplier_name", "on_time_pct", "supplier_id").alias("best_supplier_name"),
+                        _arg_best("on_time_pct", "on_time_pct", "supplier_id").alias("best_supplier_pct"),
+                        _arg_best("supplier_name", "current_rating", "supplier_id").alias("top_rated_name"),
+                        _arg_best("current_rating", "current_rating", "supplier_id").alias("top_rated_score")),
+        trends.agg(lakh(F.sum("total_revenue")).alias("revenue_l"),
+                   F.sum("total_units_sold").alias("units"),
+                   F.round(F.max_by("revenue_growth_pct", "month"), 1).alias("latest_growth_pct")),
+        movement.agg(F.count_if(F.col("movement_category") == FAST).alias("fast_moving_count")),
+    ]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in KPI_COLUMNS])
+
+
+KPI_COLUMNS = ("total_stock_value_l", "low_stock_count", "inventory_rows", "warehouse_count",
+               "avg_on_time_pct", "total_orders", "best_supplier_name", "best_supplier_pct",
+               "top_rated_name", "top_rated_score", "revenue_l", "units", "latest_growth_pct",
+               "fast_moving_count")
 
 
 def top_shortfalls(alerts: DataFrame, n: int = 6) -> DataFrame:

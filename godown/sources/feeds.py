@@ -134,16 +134,19 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock per (product, warehouse) slot seen in the line data.
 
-    Only pairs that occur are built (no product x warehouse cartesian).
+    Only pairs that occur are built (no product x warehouse cartesian).  The
+    aggregate is keyed by ``inventory_id`` itself, so its output is already
+    hash-partitioned the way the Silver dedupe by ``inventory_id`` needs.
     """
     li = table(spark, sf_dir, "lineitem")
-    wh = (F.col("l_suppkey") % N_WAREHOUSES).cast("int")
-    agg = (li.groupBy(F.col("l_partkey").alias("product_id"), wh.alias("warehouse_id"))
+    inv_id = F.col("l_partkey") * 100 + (F.col("l_suppkey") % N_WAREHOUSES)
+    agg = (li.groupBy(inv_id.alias("inventory_id"))
            .agg(F.sum("l_quantity").alias("qty"), F.max(F.to_date("l_shipdate")).alias("last_updated")))
-    p = F.col("product_id")
+    p = F.floor(F.col("inventory_id") / 100).cast("bigint")
     df = agg.select(
-        (p * 100 + F.col("warehouse_id")).alias("inventory_id"),
-        "product_id", "warehouse_id",
+        "inventory_id",
+        p.alias("product_id"),
+        (F.col("inventory_id") % 100).cast("int").alias("warehouse_id"),
         (F.col("qty").cast("int") - F.when(p % 97 == 13, F.lit(1000)).otherwise(F.lit(0))).alias("quantity_on_hand"),
         (F.lit(20) + (p % 9) * 10).cast("int").alias("reorder_threshold"),
         "last_updated",
