@@ -36,8 +36,23 @@ N_WAREHOUSES = 25                                  # warehouse = nation key of t
 DELAY_BY_SLOT = {3: 1, 4: 2, 5: 3, 6: -1}          # (orderkey+linenumber) % 7 -> delay days, else 0
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; read (listed, footer parsed) once per session and path.
+
+    The driver's tables are immutable inputs, so a query that derives
+    several feeds from ``lineitem`` shares one relation instead of listing
+    and parsing the file once per feed.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def ts_literal(ts: dt.datetime) -> Column:
