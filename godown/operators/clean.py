@@ -152,9 +152,14 @@ CLEANERS = {
 def step_counts(raw: DataFrame, spec: FeedSpec) -> DataFrame:
     """Row counts before/after each cleaning step in one job (1.15).
 
-    Returns (feed, rows_in, after_required, after_filter, rows_out).
+    Returns (feed, rows_in, zero_filled, after_required, after_filter,
+    rows_out); ``zero_filled`` counts rows whose missing or unreadable
+    quantity was replaced by 0 (D10).
     """
-    df = try_types(raw, spec.casts, spec.zero_fill)
+    missing = F.lit(False)
+    for c in spec.zero_fill:
+        missing = missing | lenient_cast(c, spec.casts.get(c, "int")).isNull()
+    df = try_types(raw.withColumn("_zero_filled", missing), spec.casts, spec.zero_fill)
     req = F.lit(True)
     for c in spec.required:
         req = req & F.col(c).isNotNull()
@@ -162,6 +167,7 @@ def step_counts(raw: DataFrame, spec: FeedSpec) -> DataFrame:
     key = F.struct(*spec.key)   # a struct is never NULL, so a NULL key still counts once
     return df.agg(
         F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col("_zero_filled")).alias("zero_filled"),
         F.count_if(req).alias("after_required"),
         F.count_if(req & flt).alias("after_filter"),
         F.count_distinct(F.when(req & flt, key)).alias("rows_out"),

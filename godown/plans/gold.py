@@ -66,7 +66,8 @@ def low_stock_alerts(snapshot: DataFrame) -> DataFrame:
             .withColumn("shortfall", F.col("reorder_threshold") - F.col("quantity_on_hand")))
 
 
-def supplier_performance(orders: DataFrame, supplier_history: DataFrame) -> DataFrame:
+def supplier_performance(orders: DataFrame, supplier_history: DataFrame,
+                         drop_null_groups: bool = False) -> DataFrame:
     """G3: delivery performance per supplier.
 
     Orders are aggregated per supplier first, then joined to the current
@@ -74,7 +75,8 @@ def supplier_performance(orders: DataFrame, supplier_history: DataFrame) -> Data
     current row stay as their own group with NULL name (D6).  An order
     without a delivery date has NULL delay: it is left out of both
     averages instead of counting as late (D7) and reported in
-    ``orders_unknown_delay``.
+    ``orders_unknown_delay``.  ``drop_null_groups=True`` drops groups with a
+    NULL supplier id or name, as a pandas group-by would.
     """
     on_time = (F.col("delay_days") <= 0).cast("int")
     per = orders.groupBy("supplier_id").agg(
@@ -85,7 +87,10 @@ def supplier_performance(orders: DataFrame, supplier_history: DataFrame) -> Data
         F.count_if(F.col("delay_days").isNull()).alias("orders_unknown_delay"),
     )
     cur = current_suppliers(supplier_history).select("supplier_id", "supplier_name", "rating")
-    return (per.join(cur, "supplier_id", "left")
+    out = per.join(cur, "supplier_id", "inner" if drop_null_groups else "left")
+    if drop_null_groups:
+        out = out.where(F.col("supplier_id").isNotNull() & F.col("supplier_name").isNotNull())
+    return (out
             .select("supplier_id", "supplier_name", "total_orders",
                     F.round("_avg_delay", 2).alias("avg_delay_days"),
                     F.round(F.col("_on_time") * 100, 1).alias("on_time_pct"),
@@ -131,11 +136,14 @@ def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False
                     classify_movement("total_units_sold", fast, slow).alias("movement_category")))
 
 
-def sales_summary(sales: DataFrame, products: DataFrame, warehouse: DataFrame) -> DataFrame:
+def sales_summary(sales: DataFrame, products: DataFrame, warehouse: DataFrame,
+                  drop_null_groups: bool = False) -> DataFrame:
     """G5: units and revenue per warehouse and category.
 
     Sales are pre-aggregated per (product, warehouse) before the product
     join, so the join sees one row per pair instead of one per sale.
+    Sales of unknown products or warehouses form NULL groups (D6) unless
+    ``drop_null_groups=True``.
     """
     pre = sales.groupBy("product_id", "warehouse_id").agg(
         F.sum("quantity_sold").cast("bigint").alias("_units"),
@@ -144,8 +152,10 @@ def sales_summary(sales: DataFrame, products: DataFrame, warehouse: DataFrame) -
     )
     p = products.select("product_id", "category")
     w = warehouse.select("warehouse_id", "warehouse_name")
-    return (pre.join(p, "product_id", "left").join(w, "warehouse_id", "left")
-            .groupBy("warehouse_id", "warehouse_name", "category")
+    joined = pre.join(p, "product_id", "left").join(w, "warehouse_id", "left")
+    if drop_null_groups:
+        joined = joined.dropna(subset=["warehouse_id", "warehouse_name", "category"])
+    return (joined.groupBy("warehouse_id", "warehouse_name", "category")
             .agg(F.sum("_units").cast("bigint").alias("total_units_sold"),
                  F.sum("_revenue").cast("double").alias("total_revenue"),
                  F.sum("_n").cast("bigint").alias("num_transactions")))

@@ -78,7 +78,9 @@ def _step_sql(name: str) -> str:
         for c in spec.zero_fill:
             flt = flt.replace(c, f"coalesce({c}, 0)")
     k = spec.key[0]
-    return (f"SELECT '{name}' AS feed, count(*) AS rows_in, count(*) FILTER (WHERE {req}) AS after_required, "
+    zf = " OR ".join(f"{c} IS NULL" for c in spec.zero_fill) or "FALSE"
+    return (f"SELECT '{name}' AS feed, count(*) AS rows_in, count(*) FILTER (WHERE {zf}) AS zero_filled, "
+            f"count(*) FILTER (WHERE {req}) AS after_required, "
             f"count(*) FILTER (WHERE {req} AND {flt}) AS after_filter, "
             f"count(DISTINCT CASE WHEN {req} AND {flt} THEN {k} END) AS rows_out FROM raw_{name}")
 

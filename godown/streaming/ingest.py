@@ -15,24 +15,33 @@ from pyspark.sql import types as T
 
 from godown.operators import clean, scd2
 from godown.schemas import INGEST_TS, SOURCE_FILE
-from godown.sources.bronze import lineage
+from godown.sources.bronze import infer_schema, lineage
 from godown.sources.store import VersionedTable
 
 
-def file_stream(spark: SparkSession, schema: T.StructType, in_dir: str, fmt: str = "csv") -> DataFrame:
+def file_stream(spark: SparkSession, schema: T.StructType, in_dir: str, fmt: str = "csv",
+                max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return lineage(reader.format(fmt).load(in_dir))
 
 
-def stream_feed(spark: SparkSession, schema: T.StructType, in_dir: str, out_dir: str, checkpoint: str,
-                fmt: str = "csv", out_fmt: str = "parquet") -> int:
+def stream_feed(spark: SparkSession, schema: T.StructType | None, in_dir: str, out_dir: str, checkpoint: str,
+                fmt: str = "csv", out_fmt: str = "parquet", max_files_per_trigger: int | None = 1000) -> int:
     """1.2 / 11.1 / 11.2: ingest everything available, then stop.
 
+    ``schema=None`` infers the schema once from the files present and
+    stores it next to the checkpoint (1.3); later runs reuse the stored
+    schema.  ``max_files_per_trigger`` bounds each micro-batch, so a large
+    backlog is worked off in several checkpointed batches.
     Returns the number of input rows this run processed (0 when nothing new).
     """
-    q = (file_stream(spark, schema, in_dir, fmt).writeStream
+    if schema is None:
+        schema = infer_schema(spark, in_dir, checkpoint.rstrip("/") + "_schema")
+    q = (file_stream(spark, schema, in_dir, fmt, max_files_per_trigger).writeStream
          .format(out_fmt)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

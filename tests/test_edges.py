@@ -206,3 +206,33 @@ def test_schema_inferred_once_and_reloaded(spark, tmp_dir):
 @pytest.mark.parametrize("value, expected", [(0.125, 0.13), (2.675, 2.68), (-0.125, -0.13)])
 def test_round_is_half_up(spark, value, expected):
     assert spark.range(1).select(F.round(F.lit(value), 2).alias("r")).first().r == expected   # D8
+
+
+def test_drop_null_groups_option(spark):
+    orders = spark.createDataFrame([(1, "S1", 0, 5), (2, "SX", 1, 5)],
+                                   "order_id int, supplier_id string, delay_days int, quantity_ordered int")
+    hist = spark.createDataFrame([("S1", "One", 4.0, True)],
+                                 "supplier_id string, supplier_name string, rating double, is_current boolean")
+    assert gold.supplier_performance(orders, hist).count() == 2
+    assert [r.supplier_id for r in gold.supplier_performance(orders, hist, drop_null_groups=True).collect()] == ["S1"]
+
+
+def test_step_counts_report_zero_filled(spark):
+    from godown.schemas import SALES
+    raw = spark.createDataFrame(
+        [(1, 1, 1, "2026-01-01", "2", "1.0", "2.00"), (2, 1, 1, "2026-01-01", "x", "1.0", "2.00"),
+         (2, 1, 1, "2026-01-01", "3", "1.0", "2.00"), (3, None, 1, "2026-01-01", None, "1.0", "2.00")],
+        "sale_id long, product_id long, warehouse_id int, sale_date string, quantity_sold string, "
+        "unit_price string, revenue string")
+    r = clean.step_counts(raw, SALES).first()
+    assert (r.rows_in, r.zero_filled, r.after_required, r.after_filter, r.rows_out) == (4, 2, 3, 2, 2)
+
+
+def test_stream_infers_and_stores_schema(spark, tmp_dir):
+    from godown.streaming import ingest
+    write_text(f"{tmp_dir}/in/a/part.csv", "id,qty\n1,5\n2,6\n")
+    n = ingest.stream_feed(spark, None, f"{tmp_dir}/in/*", f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    assert n == 2
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert dict(out.dtypes)["qty"] == "int"
+    assert spark.read.text(f"{tmp_dir}/ck_schema").count() == 1
