@@ -83,7 +83,8 @@ SELECT order_id, product_id, supplier_id, order_date, expected_delivery,
          AS actual_delivery,
        quantity_ordered, status, 'orders.csv' AS _source_file, {TS_RUN} AS _ingest_timestamp
 FROM (
-  SELECT l_orderkey * 10 + l_linenumber AS order_id, l_partkey AS product_id, l_suppkey AS supplier_id,
+  SELECT l_orderkey * 10 + l_linenumber AS order_id, l_partkey AS product_id,
+         CASE WHEN l_orderkey % 101 = 7 THEN -l_suppkey - 1 ELSE l_suppkey END AS supplier_id,
          CAST(o_orderdate AS DATE) AS order_date,
          CAST(o_orderdate AS DATE) + CAST(3 + l_partkey % 8 - CASE WHEN l_orderkey % 89 = 0 THEN 12 ELSE 0 END AS INTEGER)
            AS expected_delivery,
@@ -122,7 +123,7 @@ _BASE_RATING = "CAST(step AS DOUBLE) / CAST(10.0 AS DOUBLE) + CAST(1.0 AS DOUBLE
 _NEW_RATING = "CAST((step + 7) % 41 AS DOUBLE) / CAST(10.0 AS DOUBLE) + CAST(1.0 AS DOUBLE)"
 
 RAW["sup_base"] = """
-SELECT *, CAST(floor(abs(s_acctbal)) AS BIGINT) % 41 AS step FROM supplier WHERE s_suppkey % 50 <> 49
+SELECT *, CAST(floor(abs(s_acctbal)) AS BIGINT) % 41 AS step FROM supplier
 """
 RAW["raw_supplier_snapshots"] = " UNION ALL ".join([
     _snap(0, _BASE_ADDR, _BASE_RATING, "s_suppkey % 5 <> 0"),

@@ -14,7 +14,8 @@ fixed rules on the keys:
   quantities, NULL dates, refunds (negative revenue), open orders without
   a delivery date, expected-before-order dates
 * suppliers: three snapshots with address changes, a revert, a rating
-  change, a NULL rating, a re-ingested file and never-listed suppliers
+  change, a NULL rating and a re-ingested file; some purchase orders
+  name a supplier id that is not in the supplier master (orphans)
 
 The SQL oracle in ``godown.oracle`` restates every rule independently.
 """
@@ -134,7 +135,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
           .select(
               _line_id().alias("order_id"),
               F.col("l_partkey").alias("product_id"),
-              F.col("l_suppkey").alias("supplier_id"),
+              F.when(F.col("l_orderkey") % 101 == 7, -F.col("l_suppkey") - 1)
+               .otherwise(F.col("l_suppkey")).alias("supplier_id"),
               order_date.alias("order_date"),
               expected.alias("expected_delivery"),
               F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
@@ -171,7 +173,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_supplier_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three supplier snapshot files plus one re-ingested copy of the first."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 50 != 49)
+    s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     step = (F.floor(F.abs(F.col("s_acctbal"))).cast("bigint") % 41)
     base_addr = F.concat(F.lit("addr-"), F.col("s_nationkey").cast("string"))
