@@ -94,19 +94,21 @@ def top_movers(movement: DataFrame, n: int = 5) -> DataFrame:
 def stock_by_warehouse(snapshot: DataFrame) -> DataFrame:
     """K5: stock value per warehouse in lakh (ascending in the chart)."""
     return (snapshot.groupBy("warehouse_name").agg(F.sum("stock_value").alias("_v"))
+            .orderBy("_v", "warehouse_name")
             .select("warehouse_name", lakh("_v").alias("stock_value_lakh")))
 
 
 def ontime_series(performance: DataFrame) -> DataFrame:
     """K6: on-time share per supplier, labelled by the first word of the name."""
-    return performance.select("supplier_id", first_word("supplier_name").alias("label"),
-                              F.round("on_time_pct", 1).alias("on_time_pct"))
+    return (performance.orderBy(F.desc_nulls_last("on_time_pct"), "supplier_id")
+            .select("supplier_id", first_word("supplier_name").alias("label"),
+                    F.round("on_time_pct", 1).alias("on_time_pct")))
 
 
 def revenue_series(trends: DataFrame) -> DataFrame:
     """K7: monthly revenue in lakh with a 'Mon YYYY' label."""
-    return trends.select("month", month_label("month").alias("label"),
-                         lakh("total_revenue").alias("revenue_lakh"))
+    return (trends.orderBy(F.asc_nulls_first("month"))
+            .select("month", month_label("month").alias("label"), lakh("total_revenue").alias("revenue_lakh")))
 
 
 def delay_vs_rating(performance: DataFrame) -> DataFrame:

@@ -72,11 +72,24 @@ def write_gold(spark: SparkSession, silver: dict, root: str) -> dict:
     return out
 
 
+def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) -> None:
+    """Expose the committed versions as ``<schema>.<table>`` in the catalog."""
+    store.create_schema(spark, schema, f"{root}/_schemas/{schema}")
+    for name, t in tables.items():
+        store.publish(spark, f"{schema}.{name}", t.path(t.current_version()))
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, quality_checks: bool = True) -> DataFrame:
-    """Raw feeds -> Silver -> Gold on disk; returns the row-count audit (1.14)."""
+    """Raw feeds -> Silver -> Gold on disk; returns the row-count audit (1.14).
+
+    The written versions are also published as ``silver.*`` and ``gold.*``
+    catalog tables.
+    """
     layers = Layers(spark, sf_dir)
     silver = write_silver(spark, layers, root, quality_checks)
+    publish_layer(spark, "silver", silver, root)
     gold_tables = write_gold(spark, silver, root)
+    publish_layer(spark, "gold", gold_tables, root)
     every = {f"silver.{n}": t.read() for n, t in silver.items()}
     every.update({f"gold.{n}": t.read() for n, t in gold_tables.items()})
     return store.row_counts(every)

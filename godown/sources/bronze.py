@@ -32,13 +32,22 @@ def lineage(df: DataFrame, ingest_ts: dt.datetime | None = None) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, spec: FeedSpec | None, paths, schema: T.StructType | None = None,
-              ingest_ts: dt.datetime | None = None, fmt: str = "csv") -> DataFrame:
-    """1.1 / 1.6: one feed from one or many files, lineage attached."""
+              ingest_ts: dt.datetime | None = None, fmt: str = "csv",
+              date_format: str | None = None) -> DataFrame:
+    """1.1 / 1.6 / 1.8: one feed from one or many files, lineage attached.
+
+    Without ``schema`` every business column is read as text (Bronze keeps
+    what arrived).  A typed ``schema`` with DATE columns and
+    ``date_format`` parses dates while reading; unparseable values become
+    NULL (PERMISSIVE mode).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     schema = schema or spec.raw_schema()
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        if date_format:
+            reader = reader.option("dateFormat", date_format)
     df = reader.format(fmt).load(paths)
     return lineage(df, ingest_ts)
 

@@ -11,6 +11,11 @@ commit row was appended, so readers never see a half-written table and a
 failed or repeated write leaves the previous version readable.  Reading
 version n while writing n+1 is always legal.  Writes are by plain Spark
 jobs, so the layout works on any file system Spark can write.
+
+``publish`` makes the committed version visible as a catalog table
+(``silver.suppliers_scd2``): an external parquet table whose location is
+switched to the new version, so ``spark.table`` and SQL readers always see
+one complete version (1.7, 1.12, 1.13).
 """
 
 from __future__ import annotations
@@ -91,3 +96,29 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def create_schema(spark: SparkSession, name: str, location: str) -> None:
+    """1.12: a layer schema (bronze / silver / gold), created only if missing."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{location}'")
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """1.13: first run (create) or later run (merge / switch)?"""
+    return spark.catalog.tableExists(name)
+
+
+def publish(spark: SparkSession, name: str, path: str) -> None:
+    """Point catalog table ``name`` at the parquet data in ``path``.
+
+    Same schema: the location is switched in one catalog update.  A new
+    schema (additive evolution) re-creates the external table; the data
+    files are never touched.
+    """
+    if table_exists(spark, name):
+        if spark.table(name).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"REFRESH TABLE {name}")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")

@@ -236,3 +236,23 @@ def test_stream_infers_and_stores_schema(spark, tmp_dir):
     out = spark.read.parquet(f"{tmp_dir}/out")
     assert dict(out.dtypes)["qty"] == "int"
     assert spark.read.text(f"{tmp_dir}/ck_schema").count() == 1
+
+
+def test_typed_read_parses_dates(spark, tmp_dir):
+    from pyspark.sql import types as T
+    write_text(f"{tmp_dir}/in/x.csv", "id,d\n1,01/06/2026\n2,bad\n")
+    st = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("d", T.DateType())])
+    got = {r.id: r.d for r in bronze.read_feed(spark, None, f"{tmp_dir}/in/x.csv", schema=st,
+                                               date_format="dd/MM/yyyy").collect()}
+    assert got == {1: D(2026, 6, 1), 2: None}
+
+
+def test_one_stream_per_feed(spark, tmp_dir):
+    from godown.schemas import WAREHOUSE
+    from godown.streaming import ingest
+    write_text(f"{tmp_dir}/raw/warehouse/a.csv", "warehouse_id,warehouse_name,location,capacity\nW1,n,l,5\n")
+    write_text(f"{tmp_dir}/raw/other/a.csv", "warehouse_id,warehouse_name,location,capacity\nW2,n,l,5\nW3,n,l,6\n")
+    got = ingest.stream_feeds(spark, {"warehouse": (WAREHOUSE.raw_schema(), f"{tmp_dir}/raw/warehouse"),
+                                      "other": (WAREHOUSE.raw_schema(), f"{tmp_dir}/raw/other")}, f"{tmp_dir}/bronze")
+    assert got == {"warehouse": 1, "other": 2}
+    assert spark.read.parquet(f"{tmp_dir}/bronze/other").count() == 2

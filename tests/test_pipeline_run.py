@@ -22,6 +22,9 @@ def test_run_twice(spark, tmp_dir):
     assert second == first
     assert spark.read.parquet(f"{tmp_dir}/silver/sales_quarantine").count() == q   # no pile-up
     assert store.VersionedTable(spark, f"{tmp_dir}/gold/sales_trends").current_version() == 2
+    assert store.table_exists(spark, "gold.product_movement")
+    assert spark.table("gold.product_movement").count() == first["gold.product_movement"]
+    assert spark.sql("SELECT count(*) FROM silver.suppliers_scd2 WHERE is_current").first()[0] > 0
 
 
 def test_versioned_self_overwrite(spark, tmp_dir):
