@@ -34,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from godown.operators.joins import salted_join
+
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
 
 
@@ -159,14 +161,17 @@ def apply_batch(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=
     return rest.unionByName(replayed)
 
 
-def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix: str = "") -> DataFrame:
+def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix: str = "",
+              salts: int = 16) -> DataFrame:
     """5.8: attach the version valid at ``fact_date`` to every fact row.
 
     Equi-join on the key with the validity interval as a residual
     condition; left join, so facts before the first version keep NULLs.
     Zero-length versions (start = end) can never match and are dropped
-    first.  A key with many versions or many facts is handled by AQE's
-    skew-join split of the sort-merge join; no row is dropped.
+    first.  The history arrives partitioned by the key (its windows), so
+    AQE could not split a hot key of the fact side; the join is therefore
+    salted for the most frequent keys (``godown.operators.joins``).
+    ``salts=1`` turns salting off.  No row is dropped either way.
     """
     key = [key] if isinstance(key, str) else list(key)
     attrs = [c for c in history.columns if c not in key and c not in (END, CURRENT)]
@@ -174,11 +179,13 @@ def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix:
     h = h.select(*[F.col(k).alias(f"_h_{k}") for k in key],
                  *[F.col(c).alias(prefix + c) for c in attrs],
                  F.col(START).alias("_h_start"), F.col(END).alias("_h_end"))
-    cond = [F.col(k) == F.col(f"_h_{k}") for k in key]
-    cond.append(F.col(fact_date) >= F.col("_h_start"))
-    cond.append(F.col("_h_end").isNull() | (F.col(fact_date) < F.col("_h_end")))
-    out = fact.join(h, cond, "left")
-    return out.drop(*[f"_h_{k}" for k in key], "_h_start", "_h_end")
+    valid = (F.col(fact_date) >= F.col("_h_start")) & (F.col("_h_end").isNull() | (F.col(fact_date) < F.col("_h_end")))
+    if salts > 1:
+        out = salted_join(fact, h, key, "left", residual=valid, dim_keys=[f"_h_{k}" for k in key], salts=salts)
+    else:
+        cond = [F.col(k) == F.col(f"_h_{k}") for k in key] + [valid]
+        out = fact.join(h, cond, "left").drop(*[f"_h_{k}" for k in key])
+    return out.drop("_h_start", "_h_end")
 
 
 def current_count(history: DataFrame) -> DataFrame:
