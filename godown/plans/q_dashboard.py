@@ -21,7 +21,7 @@ SELECT
   (SELECT count(*) FROM g_snapshot) AS inventory_rows,
   (SELECT count(DISTINCT warehouse_id) FROM g_snapshot) AS warehouse_count,
   (SELECT {rnd('avg(on_time_pct)', 1)} FROM g_supplier_perf) AS avg_on_time_pct,
-  (SELECT sum(total_orders) FROM g_supplier_perf) AS total_orders,
+  (SELECT CAST(sum(total_orders) AS BIGINT) FROM g_supplier_perf) AS total_orders,
   (SELECT supplier_name FROM g_supplier_perf WHERE on_time_pct IS NOT NULL
      ORDER BY on_time_pct DESC, supplier_id LIMIT 1) AS best_supplier_name,
   (SELECT on_time_pct FROM g_supplier_perf WHERE on_time_pct IS NOT NULL
@@ -31,7 +31,7 @@ SELECT
   (SELECT current_rating FROM g_supplier_perf WHERE current_rating IS NOT NULL
      ORDER BY current_rating DESC, supplier_id LIMIT 1) AS top_rated_score,
   (SELECT {rnd(f'sum(total_revenue) / {_LAKH}', 1)} FROM g_trends) AS revenue_l,
-  (SELECT sum(total_units_sold) FROM g_trends) AS units,
+  (SELECT CAST(sum(total_units_sold) AS BIGINT) FROM g_trends) AS units,
   (SELECT {rnd('revenue_growth_pct', 1)} FROM g_trends WHERE month IS NOT NULL
      ORDER BY month DESC LIMIT 1) AS latest_growth_pct,
   (SELECT count(*) FILTER (WHERE movement_category = 'Fast-moving') FROM g_movement) AS fast_moving_count

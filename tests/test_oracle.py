@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
+from check_types import SPARK_TO_DUCK  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
 NAMES = sorted(E.queries())
@@ -42,10 +43,14 @@ def test_query_matches_sql(spark, con, name):
     if name not in E.oracle_sql():
         assert len(rows) > 0
         return
-    cur = con.execute(E.oracle_sql()[name])
+    sql = E.oracle_sql()[name]
+    cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    spark_types = {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in df.dtypes}
+    assert spark_types == duck_types
     assert len(rows) == len(want)
     assert digest(rows, df.columns, None)[0] == digest(want, cols, None)[0]
 
