@@ -12,9 +12,6 @@ from godown.plans.registry import query
 from godown.schemas import INGEST_TS, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS, SUPPLIER_TRACKED
 from godown.sources.feeds import SNAPSHOT_DATES
 
-HIST = ("supplier_id", "supplier_name", "address", "contact_email", "rating")
-
-
 def _snapshots(spark, sf_dir):
     return Layers(spark, sf_dir).supplier_snapshots.drop(SOURCE_FILE, INGEST_TS)
 
