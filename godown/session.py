@@ -28,6 +28,25 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster run, sized from the bytes a job reads.
+
+    The shuffle starts with enough partitions for ~``target_partition_bytes``
+    each (never fewer than 200); AQE then coalesces small ones to the
+    advisory size and splits skewed ones.  Scans split files at the same
+    size, so a task's input fits executor memory.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # runtime broadcast only for join sides measured below 64 MB
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str = "local[8]", app: str = "godown", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
