@@ -6,14 +6,16 @@ carry the lineage of earlier layers (an executor lost while building Gold
 re-reads Silver files instead of recomputing raw feeds).
 
 With ``quality=True`` the rule-checked Silver tables keep only passing
-rows and the failures are appended to ``<table>_quarantine`` - once per
-(key, rule), so daily re-runs do not pile up copies (D9).  Everything is
+rows (the failing ones stay in the same write, in another partition) and
+the failures are appended to ``<table>_quarantine`` - once per (key,
+rule), so daily re-runs do not pile up copies (D9).  Everything is
 written under ``root``: a folder on the cluster's shared storage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from godown.operators import quality
 from godown.plans import gold
@@ -23,6 +25,36 @@ from godown.sources import store
 
 SILVER = ("products", "warehouse", "inventory", "orders", "sales", "suppliers_scd2")
 CHECKED = ("inventory", "sales", "orders", "products")
+PASSED = "_dq_passed"
+
+
+class SilverTable:
+    """A written Silver table; rule-checked ones hold passed and failed rows.
+
+    A checked table is written once, partitioned by ``_dq_passed``: Silver
+    readers see the ``true`` partition (partition pruning reads nothing
+    else), the quarantine takes the ``false`` one.  No row is written twice.
+    """
+
+    def __init__(self, table: store.VersionedTable, checked: bool):
+        self.table = table
+        self.checked = checked
+
+    def current_version(self) -> int | None:
+        return self.table.current_version()
+
+    def read(self) -> DataFrame:
+        df = self.table.read()
+        if self.checked:
+            df = df.where(F.col(PASSED).cast("string") == "true").drop(PASSED, quality.FAILED)
+        return df
+
+    def failed(self) -> DataFrame:
+        return self.table.read().where(F.col(PASSED).cast("string") == "false").drop(PASSED)
+
+    def data_path(self) -> str:
+        v = self.table.path(self.table.current_version())
+        return f"{v}/{PASSED}=true" if self.checked else v
 
 
 def _quarantine_path(root: str, name: str) -> str:
@@ -34,22 +66,21 @@ def write_silver(spark: SparkSession, layers: Layers, root: str, quality_checks:
     for name in SILVER:
         df = getattr(layers, name)
         table = store.VersionedTable(spark, f"{root}/silver/{name}")
-        if quality_checks and name in CHECKED:
-            # tag once, write once; passed rows and failures are read back from it
-            staged = store.VersionedTable(spark, f"{root}/staging/{name}")
-            v = staged.write(quality.tag_rules(df, FEEDS[name].rules))
-            tagged = staged.read(v)
-            failed = quality.quarantined_rows(tagged)
+        checked = quality_checks and name in CHECKED
+        if checked:
+            tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
+            table.write(tagged, partition_by=PASSED)
+        else:
+            table.write(df)
+        silver = SilverTable(table, checked)
+        if checked:
             q_path = _quarantine_path(root, name)
             try:
                 existing = spark.read.parquet(q_path)
             except Exception:  # noqa: BLE001 - first run: no quarantine table yet
                 existing = None
-            store.append(quality.new_quarantine_rows(failed, existing, FEEDS[name].key), q_path)
-            table.write(quality.passed_rows(tagged))
-        else:
-            table.write(df)
-        out[name] = table
+            store.append(quality.new_quarantine_rows(silver.failed(), existing, FEEDS[name].key), q_path)
+        out[name] = silver
     return out
 
 
@@ -76,7 +107,8 @@ def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) ->
     """Expose the committed versions as ``<schema>.<table>`` in the catalog."""
     store.create_schema(spark, schema, f"{root}/_schemas/{schema}")
     for name, t in tables.items():
-        store.publish(spark, f"{schema}.{name}", t.path(t.current_version()))
+        path = t.data_path() if isinstance(t, SilverTable) else t.path(t.current_version())
+        store.publish(spark, f"{schema}.{name}", path)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, quality_checks: bool = True) -> DataFrame:

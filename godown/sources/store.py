@@ -61,12 +61,15 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version under {self.root}")
         return self.spark.read.parquet(self.path(v))
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
+    def write(self, df: DataFrame, version: int | None = None, partition_by: str | None = None) -> int:
         """1.9 / 1.11: write a new full version and commit it."""
         if version is None:
             cur = self.current_version()
             version = 1 if cur is None else cur + 1
-        df.write.mode("overwrite").parquet(self.path(version))
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(self.path(version))
         commit = self.spark.createDataFrame(
             [(int(version), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
             "version long, committed_at timestamp_ntz")
