@@ -14,6 +14,8 @@ written under ``root``: a folder on the cluster's shared storage.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,30 +63,39 @@ def _quarantine_path(root: str, name: str) -> str:
     return f"{root}/silver/{name}_quarantine"
 
 
-def write_silver(spark: SparkSession, layers: Layers, root: str, quality_checks: bool = True) -> dict:
-    out = {}
-    for name in SILVER:
-        df = getattr(layers, name)
-        table = store.VersionedTable(spark, f"{root}/silver/{name}")
-        checked = quality_checks and name in CHECKED
-        if checked:
-            tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
-            table.write(tagged, partition_by=PASSED)
-        else:
-            table.write(df)
-        silver = SilverTable(table, checked)
-        if checked:
-            q_path = _quarantine_path(root, name)
-            try:
-                existing = spark.read.parquet(q_path)
-            except Exception:  # noqa: BLE001 - first run: no quarantine table yet
-                existing = None
-            store.append(quality.new_quarantine_rows(silver.failed(), existing, FEEDS[name].key), q_path)
-        out[name] = silver
-    return out
-
-
-def write_gold(spark: SparkSession, silver: dict, root: str) -> dict:
+def _write_one_silver(spark: SparkSession, layers: Layers, root: str, name: str, checked: bool) -> SilverTable:
+    df = getattr(layers, name)
+    table = store.VersionedTable(spark, f"{root}/silver/{name}")
+    if checked:
+        tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
+        table.write(tagged, partition_by=PASSED)
+    else:
+        table.write(df)
+    silver = SilverTable(table, checked)
+    if checked:
+        q_path = _quarantine_path(root, name)
+        try:
+            existing = spark.read.parquet(q_path)
+        except Exception:  # noqa: BLE001 - first run: no quarantine table yet
+            existing = None
+        store.append(quality.new_quarantine_rows(silver.failed(), existing, FEEDS[name].key), q_path)
+    return silver
+
+
+def _in_parallel(fn, names, workers: int) -> dict:
+    """Submit independent table jobs together so small ones share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = {n: pool.submit(fn, n) for n in names}
+        return {n: f.result() for n, f in futures.items()}
+
+
+def write_silver(spark: SparkSession, layers: Layers, root: str, quality_checks: bool = True,
+                 workers: int = 4) -> dict:
+    return _in_parallel(
+        lambda n: _write_one_silver(spark, layers, root, n, quality_checks and n in CHECKED), SILVER, workers)
+
+
+def write_gold(spark: SparkSession, silver: dict, root: str, workers: int = 4) -> dict:
     s = {n: t.read() for n, t in silver.items()}
     snapshot = gold.inventory_snapshot(s["inventory"], s["products"], s["warehouse"])
     tables = {
@@ -95,12 +106,12 @@ def write_gold(spark: SparkSession, silver: dict, root: str) -> dict:
         "sales_summary": gold.sales_summary(s["sales"], s["products"], s["warehouse"]),
         "sales_trends": gold.sales_trends(s["sales"]),
     }
-    out = {}
-    for name, df in tables.items():
+    def write(name: str) -> store.VersionedTable:
         t = store.VersionedTable(spark, f"{root}/gold/{name}")
-        t.write(df)
-        out[name] = t
-    return out
+        t.write(tables[name])
+        return t
+
+    return _in_parallel(write, list(tables), workers)
 
 
 def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) -> None:
@@ -111,16 +122,19 @@ def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) ->
         store.publish(spark, f"{schema}.{name}", path)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str, quality_checks: bool = True) -> DataFrame:
+def run_pipeline(spark: SparkSession, sf_dir: str, root: str, quality_checks: bool = True,
+                 workers: int = 4) -> DataFrame:
     """Raw feeds -> Silver -> Gold on disk; returns the row-count audit (1.14).
 
     The written versions are also published as ``silver.*`` and ``gold.*``
-    catalog tables.
+    catalog tables.  The tables of one layer are independent jobs and are
+    submitted ``workers`` at a time, so small tables do not leave the
+    cluster idle while one large table finishes.
     """
     layers = Layers(spark, sf_dir)
-    silver = write_silver(spark, layers, root, quality_checks)
+    silver = write_silver(spark, layers, root, quality_checks, workers)
     publish_layer(spark, "silver", silver, root)
-    gold_tables = write_gold(spark, silver, root)
+    gold_tables = write_gold(spark, silver, root, workers)
     publish_layer(spark, "gold", gold_tables, root)
     every = {f"silver.{n}": t.read() for n, t in silver.items()}
     every.update({f"gold.{n}": t.read() for n, t in gold_tables.items()})
