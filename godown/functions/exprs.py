@@ -22,6 +22,22 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def first_row_flag(keys, order_sql) -> Column:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order_sql)``, built as one SQL expression.
+
+    ``order_sql`` items are SQL sort items (``"`c` ASC NULLS FIRST"``).
+    One expression string keeps the plan-building cost independent of the
+    number of sort columns.
+    """
+    part = ", ".join(quote(k) for k in keys)
+    return F.expr(f"row_number() OVER (PARTITION BY {part} ORDER BY {', '.join(order_sql)})")
+
+
 def lenient_cast(c, to: str) -> Column:
     """Bad text becomes NULL instead of failing the job (ANSI mode)."""
     return col(c).try_cast(to)

@@ -11,25 +11,29 @@ was bad although a later row was good.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from godown.functions.exprs import lenient_cast
+from godown.functions.exprs import first_row_flag, lenient_cast, quote
 from godown.schemas import (INGEST_TS, INVENTORY, LINEAGE, ORDERS, PRODUCTS, SALES, SOURCE_FILE,
                             WAREHOUSE, FeedSpec)
 
 
 def try_types(df: DataFrame, casts: dict, zero_fill=()) -> DataFrame:
-    """Lenient casts (3.1, 3.2) and NULL -> 0 for listed quantities (3.4)."""
+    """Lenient casts (3.1, 3.2) and NULL -> 0 for listed quantities (3.4).
+
+    ``try_cast`` returns NULL for text that does not parse, where a plain
+    cast would fail the job under ANSI mode.
+    """
     out = []
     for c in df.columns:
-        e = F.col(c)
+        e = quote(c)
         if c in casts:
-            e = lenient_cast(c, casts[c])
+            e = f"try_cast({e} AS {casts[c]})"
         if c in zero_fill:
-            e = F.coalesce(e, F.lit(0).cast(casts.get(c, "int")))
-        out.append(e.alias(c))
-    return df.select(*out)
+            e = f"coalesce({e}, CAST(0 AS {casts.get(c, 'int')}))"
+        out.append(e if e == quote(c) else f"{e} AS {quote(c)}")
+    return df.selectExpr(*out)
 
 
 def drop_incomplete(df: DataFrame, required) -> DataFrame:
@@ -60,8 +64,8 @@ def dedupe(df: DataFrame, keys, order_by=None) -> DataFrame:
     """
     keys = list(keys)
     order = list(order_by) if order_by is not None else default_order(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    rn = first_row_flag(keys, [f"{quote(c)} ASC NULLS FIRST" for c in order])
+    return df.withColumn("_rn", rn).where("_rn = 1").drop("_rn")
 
 
 def dedupe_rows(df: DataFrame, ignore=LINEAGE) -> DataFrame:

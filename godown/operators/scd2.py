@@ -34,27 +34,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from godown.functions.exprs import first_row_flag, quote
 from godown.operators.joins import salted_join
 
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
 
 
-def _order(df: DataFrame, tie, exclude) -> list:
+def _order(df: DataFrame, tie, exclude) -> list[str]:
     """Descending tie-break: explicit tie columns, then every other column."""
     tie = list(tie)
     rest = [c for c in df.columns if c not in tie and c not in exclude]
-    return [F.col(c).desc_nulls_last() for c in tie + rest]
+    return [f"{quote(c)} DESC NULLS LAST" for c in tie + rest]
 
 
-def last_per_key(df: DataFrame, keys, order_desc) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order_desc)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def last_per_key(df: DataFrame, keys, order_desc_sql) -> DataFrame:
+    """First row per key in the given (descending) order; a partial group limit runs before the shuffle."""
+    return df.withColumn("_rn", first_row_flag(keys, order_desc_sql)).where("_rn = 1").drop("_rn")
 
 
 def latest_per_key(df: DataFrame, key, at: str, tie=()) -> DataFrame:
     """5.2 / 8.1: the latest row per key (by ``at``, then tie-break)."""
     key = [key] if isinstance(key, str) else list(key)
-    return last_per_key(df, key, [F.col(at).desc_nulls_last()] + _order(df, tie, key + [at]))
+    return last_per_key(df, key, [f"{quote(at)} DESC NULLS LAST"] + _order(df, tie, key + [at]))
 
 
 def _day_rows(df: DataFrame, key, at, tie) -> DataFrame:
