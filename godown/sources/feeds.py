@@ -57,11 +57,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ts_literal(ts: dt.datetime) -> Column:
-    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ '{ts.isoformat(sep=' ')}'")
 
 
 def _lineage(df: DataFrame, source_file: str, ts: dt.datetime = RUN_TS) -> DataFrame:
-    return df.withColumn(SOURCE_FILE, F.lit(source_file)).withColumn(INGEST_TS, ts_literal(ts))
+    return df.withColumns({SOURCE_FILE: F.lit(source_file), INGEST_TS: ts_literal(ts)})
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
