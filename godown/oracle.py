@@ -182,7 +182,7 @@ SELECT *, CAST(date_diff('day', expected_delivery, actual_delivery) AS INTEGER)
 """
 SILVER["sal_typed"] = """
 SELECT sale_id, product_id, warehouse_id, sale_date, coalesce(quantity_sold, 0) AS quantity_sold,
-       unit_price, revenue, _source_file, _ingest_timestamp
+       unit_price, CAST(revenue AS DOUBLE) AS revenue, _source_file, _ingest_timestamp
 FROM raw_sales WHERE sale_id IS NOT NULL AND product_id IS NOT NULL AND warehouse_id IS NOT NULL
   AND coalesce(quantity_sold, 0) > 0
 """

@@ -33,7 +33,8 @@ LEFT JOIN (SELECT supplier_id, supplier_name, rating FROM s_suppliers_scd2 WHERE
   ON a.supplier_id = c.supplier_id
 """,
     "g_move_base": """
-SELECT product_id, CAST(sum(quantity_sold) AS BIGINT) AS total_units_sold, sum(revenue) AS rev,
+SELECT product_id, CAST(sum(quantity_sold) AS BIGINT) AS total_units_sold,
+       sum(CAST(revenue AS DECIMAL(18,2))) AS rev,
        count(sale_id) AS num_sales_txns
 FROM s_sales GROUP BY product_id
 """,
@@ -48,14 +49,14 @@ FROM g_move_base b CROSS JOIN g_move_cuts c LEFT JOIN s_products p ON b.product_
 """,
     "g_summary": """
 SELECT s.warehouse_id, w.warehouse_name, p.category, CAST(sum(s.quantity_sold) AS BIGINT) AS total_units_sold,
-       CAST(sum(s.revenue) AS DOUBLE) AS total_revenue, count(s.sale_id) AS num_transactions
+       CAST(sum(CAST(s.revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, count(s.sale_id) AS num_transactions
 FROM s_sales s LEFT JOIN s_products p ON s.product_id = p.product_id
 LEFT JOIN s_warehouse w ON s.warehouse_id = w.warehouse_id
 GROUP BY s.warehouse_id, w.warehouse_name, p.category
 """,
     "g_trend_base": """
 SELECT strftime(sale_date, '%Y-%m') AS month, CAST(sum(quantity_sold) AS BIGINT) AS total_units_sold,
-       sum(revenue) AS rev, count(sale_id) AS num_transactions
+       sum(CAST(revenue AS DECIMAL(18,2))) AS rev, count(sale_id) AS num_transactions
 FROM s_sales GROUP BY 1
 """,
     "g_trends": f"""

@@ -60,7 +60,8 @@ _SALES_TYPED = {**SALES.casts, "sale_id": "bigint", "product_id": "bigint", "war
 
 
 @query("bronze_stream_available_now", with_ctes(
-    "SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, revenue FROM raw_sales"))
+    "SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, "
+    "CAST(revenue AS DOUBLE) AS revenue FROM raw_sales"))
 def q_bronze_stream_available_now(spark, sf_dir):
     """Two deliveries of the sales feed, three availableNow runs (the last finds nothing)."""
     root = scratch_path(spark, "stream_sales")

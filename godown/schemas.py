@@ -84,7 +84,7 @@ SALES = FeedSpec(
              "unit_price", "revenue"),
     key=("sale_id",),
     casts={"sale_date": "date", "quantity_sold": "int", "unit_price": "double",
-           "revenue": "decimal(18,2)"},
+           "revenue": "double"},
     zero_fill=("quantity_sold",),
     required=("sale_id", "product_id", "warehouse_id"),
     row_filter="quantity_sold > 0",
