@@ -9,13 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Movement classes, their dashboard pill classes, and the
-# month abbreviations used in chart labels.
+# Fixed values (results and labels must equal the reference's):
+# movement classes and their quantile cuts, the dashboard pill classes,
+# month abbreviations, the lakh unit, and the display formats.
 FAST, MEDIUM, SLOW = "Fast-moving", "Medium-moving", "Slow-moving"
+FAST_QUANTILE, SLOW_QUANTILE = 0.66, 0.33
 PILL_CLASS = {"Fast-moving": "fast", "Medium-moving": "medium", "Slow-moving": "slow"}
+MOVING_SUFFIX = "-moving"
 MONTH_ABBR = ("Jan", "Feb", "Mar", "Apr", "May", "Jun",
               "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 LAKH = 1e5
+DELAY_FORMAT, PCT_FORMAT, RATING_FORMAT = "%.2fd", "%.1f%%", "%.1f"
+GROWTH_FORMAT, NO_GROWTH = "%+.1f%%", "N/A"
+DOWN_CLASS, UP_CLASS = "danger", "good"
 
 
 def col(c) -> Column:
@@ -83,7 +89,7 @@ def first_word(c) -> Column:
 
 
 def short_movement(c) -> Column:
-    return F.replace(col(c), F.lit("-moving"), F.lit(""))
+    return F.replace(col(c), F.lit(MOVING_SUFFIX), F.lit(""))
 
 
 def pill_class(c) -> Column:
@@ -95,12 +101,12 @@ def pill_class(c) -> Column:
 
 def signed_pct_label(c) -> Column:
     """'+4.8%' / '-51.8%', 'N/A' for NULL."""
-    return F.when(col(c).isNull(), F.lit("N/A")).otherwise(F.format_string("%+.1f%%", col(c)))
+    return F.when(col(c).isNull(), F.lit(NO_GROWTH)).otherwise(F.format_string(GROWTH_FORMAT, col(c)))
 
 
 def sign_class(c) -> Column:
     return (F.when(col(c).isNull(), F.lit(""))
-             .when(col(c) < 0, F.lit("danger")).otherwise(F.lit("good")))
+             .when(col(c) < 0, F.lit(DOWN_CLASS)).otherwise(F.lit(UP_CLASS)))
 
 
 def any_null_safe_change(left: str, right: str, cols) -> Column:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from godown.functions.exprs import (FAST, first_word, lakh, month_label, pill_class, short_movement,
-                                    sign_class, signed_pct_label)
+from godown.functions.exprs import (DELAY_FORMAT, FAST, PCT_FORMAT, RATING_FORMAT, first_word, lakh,
+                                    month_label, pill_class, short_movement, sign_class, signed_pct_label)
 
 
 def _arg_best(value: str, measure: str, tie: str):
@@ -76,9 +76,9 @@ def supplier_scorecard(performance: DataFrame) -> DataFrame:
     """K3: every supplier, best on-time share first, with display labels."""
     return (performance
             .select("supplier_id", "supplier_name", "total_orders",
-                    _fmt("%.2fd", "avg_delay_days").alias("avg_delay_label"),
-                    _fmt("%.1f%%", "on_time_pct").alias("on_time_label"),
-                    _fmt("%.1f", "current_rating").alias("rating_label"),
+                    _fmt(DELAY_FORMAT, "avg_delay_days").alias("avg_delay_label"),
+                    _fmt(PCT_FORMAT, "on_time_pct").alias("on_time_label"),
+                    _fmt(RATING_FORMAT, "current_rating").alias("rating_label"),
                     "on_time_pct")
             .orderBy(F.desc_nulls_last("on_time_pct"), F.asc("supplier_id")))
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from godown.functions.exprs import classify_movement, growth_pct, month_bucket
+from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE, classify_movement, growth_pct, month_bucket
 
 # Presentation order of each Gold table (descending measure, key as tie-break).
 ORDERING = {
@@ -109,7 +109,7 @@ def movement_base(sales: DataFrame) -> DataFrame:
 
 def movement_cuts(base: DataFrame, approx: bool = False):
     """Cuts at the 0.66 and 0.33 quantile of units sold, as one scalar subquery."""
-    probs = F.array(F.lit(0.66), F.lit(0.33))
+    probs = F.array(F.lit(FAST_QUANTILE), F.lit(SLOW_QUANTILE))
     if approx:
         q = F.percentile_approx("total_units_sold", probs, 100)
     else:

@@ -34,7 +34,7 @@ RUN_TS = dt.datetime(2026, 7, 2, 6, 0, 0)          # pipeline run stamp of the r
 RESEND_TS = dt.datetime(2026, 7, 2, 6, 5, 0)       # the later re-sent product file
 SNAPSHOT_DATES = (dt.date(1996, 1, 1), dt.date(1998, 1, 1), dt.date(2000, 1, 1))
 N_WAREHOUSES = 25                                  # warehouse = nation key of the supplier slot
-DELAY_BY_SLOT = {3: 1, 4: 2, 5: 3, 6: -1}          # (orderkey+linenumber) % 7 -> delay days, else 0
+DELAY_CHOICES = (0, 0, 0, 1, 2, 3, -1)             # delivery delay in days, picked by line slot
 
 
 _TABLES: dict = {}
@@ -123,10 +123,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    slot = (F.col("l_orderkey") + F.col("l_linenumber")) % 7
-    delay = F.lit(0)
-    for s, d in DELAY_BY_SLOT.items():
-        delay = F.when(slot == s, F.lit(d)).otherwise(delay)
+    slot = (F.col("l_orderkey") + F.col("l_linenumber")) % len(DELAY_CHOICES)
+    delay = F.element_at(F.array(*[F.lit(d) for d in DELAY_CHOICES]), (slot + 1).cast("int"))
     lead = (F.lit(3) + F.col("l_partkey") % 8
             - F.when(F.col("l_orderkey") % 89 == 0, F.lit(12)).otherwise(F.lit(0))).cast("int")
     order_date = F.to_date("o_orderdate")
