@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import first_row_flag, lenient_cast, quote
+from godown.operators.quantiles import percentile_value
 from godown.schemas import (INGEST_TS, INVENTORY, LINEAGE, ORDERS, PRODUCTS, SALES, SOURCE_FILE,
                             WAREHOUSE, FeedSpec)
 
@@ -81,23 +82,25 @@ def dedupe_rows(df: DataFrame, ignore=LINEAGE) -> DataFrame:
     return dedupe(df, business, lineage)
 
 
-def median_value(df: DataFrame, c: str, approx: bool = False):
-    """Global median of a column as a scalar-subquery Column (7.8, 7.9)."""
-    if approx:
-        agg = F.percentile_approx(c, 0.5, 100)   # relative rank error 0.01
-    else:
-        agg = F.percentile(c, 0.5)
-    return df.agg(agg.alias("m")).scalar()
+def median_value(df: DataFrame, c: str, approx: bool = False, method: str | None = None):
+    """Global median of a column as a scalar-subquery Column (7.8, 7.9).
+
+    ``approx=True``: a sketch value with relative rank error 0.01 (accuracy
+    100).  ``method="banded"``: exact with bounded task memory for columns
+    with very many distinct values (``godown.operators.quantiles``).
+    """
+    return percentile_value(df, c, 0.5, method or ("approx" if approx else "exact"), accuracy=100)
 
 
-def impute_median(df: DataFrame, c: str, by: str | None = None, approx: bool = False) -> DataFrame:
+def impute_median(df: DataFrame, c: str, by: str | None = None, approx: bool = False,
+                  method: str | None = None) -> DataFrame:
     """Fill NULLs of ``c`` with the median (3.7), or the median per group (3.8).
 
     Global: the median is a scalar subquery, evaluated once.  Per group: one
     row per group, joined back (AQE broadcasts it when it is small).
     """
     if by is None:
-        m = median_value(df, c, approx)
+        m = median_value(df, c, approx, method)
         return df.withColumn(c, F.coalesce(F.col(c), m.cast(df.schema[c].dataType)))
     agg = F.percentile_approx(c, 0.5, 100) if approx else F.percentile(c, 0.5)
     med = df.groupBy(by).agg(agg.alias("_median"))

@@ -103,3 +103,17 @@ def test_salted_join_equals_plain_join(spark):
     plain = facts.join(dim, "k", "left")
     salted = salted_join(facts, dim, "k", "left", salts=8, sample_fraction=0.2)
     assert sorted(map(tuple, salted.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("p", [0.5, 0.33, 0.66, 0.0, 1.0])
+@pytest.mark.parametrize("shape", ["hot_value", "distinct"])
+def test_banded_percentile_equals_exact(spark, p, shape):
+    from godown.operators.quantiles import banded_percentile
+    if shape == "hot_value":   # many duplicates and one value holding a third of the rows
+        v = F.when(F.col("id") % 3 == 0, F.lit(500.0)).otherwise((F.col("id") * 7919 % 1000).cast("double"))
+    else:                      # all values distinct
+        v = (F.col("id") * 7919 % 100003) / 3.0
+    df = spark.range(20000).select(v.alias("v"))
+    exact = df.agg(F.percentile("v", p)).first()[0]
+    banded = spark.range(1).select(banded_percentile(df, "v", p, accuracy=200).alias("q")).first().q
+    assert banded == pytest.approx(exact, abs=1e-9)
