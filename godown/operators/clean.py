@@ -125,9 +125,11 @@ def clean_feed(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 # ---- per-feed cleaners (3.10 - 3.14) ---------------------------------------
 
-def clean_products(raw: DataFrame, category_median: bool = False, approx: bool = False) -> DataFrame:
+def clean_products(raw: DataFrame, category_median: bool = False, approx: bool = False,
+                   method: str | None = None) -> DataFrame:
     df = clean_feed(raw, PRODUCTS)
-    return impute_median(df, "unit_price", by="category" if category_median else None, approx=approx)
+    return impute_median(df, "unit_price", by="category" if category_median else None, approx=approx,
+                         method=method)
 
 
 def clean_warehouse(raw: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE, classify_movement, growth_pct, month_bucket
+from godown.operators.quantiles import banded_percentile
 
 # Presentation order of each Gold table (descending measure, key as tie-break).
 ORDERING = {
@@ -107,8 +108,15 @@ def movement_base(sales: DataFrame) -> DataFrame:
     )
 
 
-def movement_cuts(base: DataFrame, approx: bool = False):
-    """Cuts at the 0.66 and 0.33 quantile of units sold, as one scalar subquery."""
+def movement_cuts(base: DataFrame, approx: bool = False, method: str | None = None):
+    """Cuts at the 0.66 and 0.33 quantile of units sold, as scalar subqueries.
+
+    ``method="banded"`` computes each cut exactly with bounded task memory
+    (``godown.operators.quantiles``) instead of one ``percentile`` pass.
+    """
+    if method == "banded":
+        return (banded_percentile(base, "total_units_sold", FAST_QUANTILE),
+                banded_percentile(base, "total_units_sold", SLOW_QUANTILE))
     probs = F.array(F.lit(FAST_QUANTILE), F.lit(SLOW_QUANTILE))
     if approx:
         q = F.percentile_approx("total_units_sold", probs, 100)
@@ -118,7 +126,8 @@ def movement_cuts(base: DataFrame, approx: bool = False):
     return cuts[0], cuts[1]
 
 
-def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False) -> DataFrame:
+def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False,
+                     method: str | None = None) -> DataFrame:
     """G4: units, revenue and a fast/medium/slow class per product.
 
     Exact interpolated quantiles by default (the reference's golden
@@ -127,7 +136,7 @@ def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False
     by the number of products, not by the number of sales.
     """
     base = movement_base(sales)
-    fast, slow = movement_cuts(base, approx)
+    fast, slow = movement_cuts(base, approx, method)
     p = products.select("product_id", "product_name", "category")
     return (base.join(p, "product_id", "left")
             .select("product_id", "product_name", "category", "total_units_sold",

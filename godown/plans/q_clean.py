@@ -27,6 +27,12 @@ def q_clean_products_approx_median(spark, sf_dir):
     return clean.clean_products(Layers(spark, sf_dir).raw("products"), approx=True)
 
 
+@query("clean_products_banded_median", with_ctes("SELECT * FROM s_products"))
+def q_clean_products_banded_median(spark, sf_dir):
+    """3.7 with the bounded-memory exact median; equal to ``clean_products``."""
+    return clean.clean_products(Layers(spark, sf_dir).raw("products"), method="banded")
+
+
 @query("clean_warehouse", with_ctes("SELECT * FROM s_warehouse"))
 def q_clean_warehouse(spark, sf_dir):
     return Layers(spark, sf_dir).warehouse

@@ -100,6 +100,13 @@ def q_product_movement_approx(spark, sf_dir):
     return gold.product_movement(L.sales, L.products, approx=True)
 
 
+@query("product_movement_banded", gold_sql("SELECT * FROM g_movement"))
+def q_product_movement_banded(spark, sf_dir):
+    """G4 with the cuts computed by the bounded-memory exact quantile."""
+    L = Layers(spark, sf_dir)
+    return gold.product_movement(L.sales, L.products, method="banded")
+
+
 @query("sales_summary", gold_sql("SELECT * FROM g_summary"))
 def q_sales_summary(spark, sf_dir):
     return Layers(spark, sf_dir).sales_summary
