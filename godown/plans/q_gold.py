@@ -43,9 +43,10 @@ FROM s_sales GROUP BY product_id
     "g_movement": """
 SELECT b.product_id, p.product_name, p.category, b.total_units_sold, CAST(b.rev AS DOUBLE) AS total_revenue,
        b.num_sales_txns,
-       CASE WHEN b.total_units_sold >= c.fast_cut THEN 'Fast-moving'
-            WHEN b.total_units_sold <= c.slow_cut THEN 'Slow-moving' ELSE 'Medium-moving' END AS movement_category
-FROM g_move_base b CROSS JOIN g_move_cuts c LEFT JOIN s_products p ON b.product_id = p.product_id
+       CASE WHEN b.total_units_sold >= (SELECT fast_cut FROM g_move_cuts) THEN 'Fast-moving'
+            WHEN b.total_units_sold <= (SELECT slow_cut FROM g_move_cuts) THEN 'Slow-moving'
+            ELSE 'Medium-moving' END AS movement_category
+FROM g_move_base b LEFT JOIN s_products p ON b.product_id = p.product_id
 """,
     "g_summary": """
 SELECT s.warehouse_id, w.warehouse_name, p.category, CAST(sum(s.quantity_sold) AS BIGINT) AS total_units_sold,
