@@ -256,3 +256,24 @@ def test_one_stream_per_feed(spark, tmp_dir):
                                       "other": (WAREHOUSE.raw_schema(), f"{tmp_dir}/raw/other")}, f"{tmp_dir}/bronze")
     assert got == {"warehouse": 1, "other": 2}
     assert spark.read.parquet(f"{tmp_dir}/bronze/other").count() == 2
+
+
+def test_presentation_order(spark):
+    snap = spark.createDataFrame([(1, 5, 10), (2, 1, 10), (3, 7, 10), (4, 1, 10)],
+                                 "inventory_id int, quantity_on_hand int, reorder_threshold int")
+    rows = gold.ordered(gold.low_stock_alerts(snap), "low_stock_alerts").collect()
+    assert [(r.inventory_id, r.shortfall) for r in rows] == [(2, 9), (4, 9), (1, 5), (3, 3)]   # 9.1 + key tie-break
+
+
+def test_publish_switches_and_evolves(spark, tmp_dir):
+    from godown.sources import store
+    t = store.VersionedTable(spark, f"{tmp_dir}/t")
+    store.create_schema(spark, "edge_layer", f"{tmp_dir}/schema")
+    t.write(spark.range(3))
+    store.publish(spark, "edge_layer.t", t.path(1))
+    t.write(spark.range(5))
+    store.publish(spark, "edge_layer.t", t.path(2))
+    assert spark.table("edge_layer.t").count() == 5
+    t.write(spark.range(2).withColumn("extra", F.lit("x")))
+    store.publish(spark, "edge_layer.t", t.path(3))
+    assert spark.table("edge_layer.t").columns == ["id", "extra"]
