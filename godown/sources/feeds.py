@@ -4,9 +4,10 @@ The supply-chain pipeline expects six raw feeds (products, warehouse,
 inventory, purchase orders, sales, supplier snapshots).  These functions
 derive them lazily from ``part``, ``nation``/``region``, ``lineitem``,
 ``orders`` and ``supplier`` so that every query's work grows with the
-tables.  The derivations are pure column arithmetic on each row (no joins
-except lineitem->orders for purchase-order dates and a tiny nation->region
-lookup), and the defects the cleaning layer has to handle are injected by
+tables.  The derivations are column arithmetic on each row, plus one
+join (lineitem -> orders, for purchase-order dates), one aggregate
+(inventory per product and warehouse slot) and a tiny nation -> region
+lookup.  The defects the cleaning layer has to handle are injected by
 fixed rules on the keys:
 
 * products: NULL price, re-sent rows, a NULL name fixed by a re-send (D12)
