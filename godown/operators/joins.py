@@ -31,6 +31,12 @@ SALT = "_salt"
 HOT = "_hot"
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of each row's hashable columns (map columns cannot be hashed)."""
+    cols = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
+    return F.xxhash64(*cols)
+
+
 def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, max_hot_keys: int = 1000) -> DataFrame:
     """The most frequent keys of a sample; at most ``max_hot_keys`` rows.
 
@@ -42,7 +48,7 @@ def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, max_hot_keys:
         sample = fact.select(*keys)
     else:
         every = max(1, int(round(1.0 / sample_fraction)))
-        pick = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(every)) == 0
+        pick = F.pmod(_row_hash(fact), F.lit(every)) == 0
         sample = fact.where(pick).select(*keys)
     present = F.lit(True)
     for k in keys:
@@ -66,7 +72,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "left", residu
         raise ValueError("salted_join supports inner and left joins")
     hot = F.broadcast(hot_keys(fact, keys, sample_fraction, max_hot_keys))
 
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    row_hash = _row_hash(fact)
     f = (fact.join(hot, keys, "left")
          .withColumn(SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
          .drop(HOT))
