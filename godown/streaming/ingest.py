@@ -11,6 +11,7 @@ table by ``foreachBatch``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from godown.operators import clean, scd2
@@ -69,22 +70,46 @@ def stream_scd2(spark: SparkSession, schema: T.StructType, in_dir: str, store_ro
     already committed and does nothing (idempotent).  The new version is
     computed from the *written* previous version, which cuts the lineage
     between batches.  Several snapshot dates in one batch are fine
-    (``scd2.apply_batch`` replays the touched keys).
+    (``scd2.apply_batch`` replays the touched keys from their versions).
+
+    Late snapshots (a date not after the key's newest version) cannot be
+    merged from versions alone - an unchanged snapshot that was folded into
+    a version may have to reappear.  Every batch's rows are therefore also
+    appended to ``<store_root>/_snapshots``; keys with a late row are
+    replayed from all their snapshots, the others are merged from versions.
     """
     key = [key] if isinstance(key, str) else list(key)
     store = VersionedTable(spark, store_root)
+    snapshots = f"{store_root.rstrip('/')}/_snapshots"
+    attrs = [c for c in columns if c not in key]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
         if store.has_version(version):
             return
         rows = clean.dedupe_rows(clean.try_types(batch, casts)).drop(SOURCE_FILE, INGEST_TS)
-        rows = rows.select(*key, *[c for c in columns if c not in key], at, *tie)
-        if store.exists():
-            new = scd2.apply_batch(store.read(), rows, key, tracked, at, tie)
-        else:
-            new = scd2.scd2_replay(rows, key, tracked, at, tie, columns=columns)
-        store.write(new, version)
+        rows = rows.select(*key, *attrs, at, *tie)
+        if not store.exists():
+            rows.write.mode("append").parquet(snapshots)
+            store.write(scd2.scd2_replay(rows, key, tracked, at, tie, columns=columns), version)
+            return
+        # late = not after the newest snapshot already seen for the key (folded
+        # unchanged snapshots count: they are not visible in the versions)
+        seen = spark.read.parquet(snapshots).groupBy(*key).agg(F.max(at).alias("_seen"))
+        late_path = f"{store_root.rstrip('/')}/_late/batch={batch_id}"
+        (rows.join(seen, key).where(F.col(at) <= F.col("_seen")).select(*key).distinct()
+         .write.mode("overwrite").parquet(late_path))          # fixed before the snapshots grow
+        late = spark.read.parquet(late_path)
+        # a batch re-run after a failure appends its rows again: its keys then
+        # count as late and are replayed, and identical snapshot rows collapse
+        # in the replay's one-row-per-(key, date) step
+        rows.write.mode("append").parquet(snapshots)
+        current = store.read()
+        in_order = scd2.apply_batch(current.join(late, key, "left_anti"), rows.join(late, key, "left_anti"),
+                                    key, tracked, at, tie)
+        all_rows = spark.read.parquet(snapshots).join(late, key, "left_semi")
+        replayed = scd2.scd2_replay(all_rows, key, tracked, at, tie, columns=columns)
+        store.write(in_order.unionByName(replayed), version)
 
     q = (file_stream(spark, schema, in_dir).writeStream
          .foreachBatch(merge_batch)

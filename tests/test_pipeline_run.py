@@ -51,3 +51,21 @@ def test_stream_scd2_equals_replay(spark):
     got = E.queries()["bronze_stream_scd2"](spark, SF_SMALL)
     want = Layers(spark, SF_SMALL).suppliers_scd2
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_scd2_with_a_late_snapshot_equals_replay(spark, tmp_dir):
+    # snapshots arrive 1996, 2000, then the late 1998 file; the late file must be spliced in
+    import datetime as dt
+    from godown.operators import clean
+    from godown.schemas import INGEST_TS, LINEAGE, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS, SUPPLIER_TRACKED, SUPPLIERS
+    raw = feeds.raw_supplier_snapshots(spark, SF_SMALL).drop(*LINEAGE)
+    casts = {**SUPPLIERS.casts, "supplier_id": "bigint"}
+    for i, d in enumerate([feeds.SNAPSHOT_DATES[0], feeds.SNAPSHOT_DATES[2], feeds.SNAPSHOT_DATES[1]]):
+        bronze.write_csv(raw.where(F.col("source_date") == F.lit(d)), f"{tmp_dir}/landing/drop{i}")
+        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{tmp_dir}/landing/*", f"{tmp_dir}/history",
+                           f"{tmp_dir}/ck", "supplier_id", SUPPLIER_TRACKED, "source_date", casts,
+                           SUPPLIER_HISTORY_COLUMNS)
+    got = store.VersionedTable(spark, f"{tmp_dir}/history").read()
+    want = Layers(spark, SF_SMALL).suppliers_scd2
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
