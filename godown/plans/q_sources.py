@@ -110,6 +110,21 @@ def q_bronze_stream_scd2(spark, sf_dir):
     return store.VersionedTable(spark, f"{root}/history").read()
 
 
+@query("bronze_stream_scd2_late", with_ctes("SELECT * FROM s_suppliers_scd2"))
+def q_bronze_stream_scd2_late(spark, sf_dir):
+    """11.4 with a late delivery: the middle snapshot file arrives last and is spliced in."""
+    root = scratch_path(spark, "stream_suppliers_late")
+    raw = feeds.raw_supplier_snapshots(spark, sf_dir).drop(*LINEAGE)
+    landing = f"{root}/landing"
+    d = feeds.SNAPSHOT_DATES
+    for i, day in enumerate((d[0], d[2], d[1])):
+        bronze.write_csv(raw.where(F.col("source_date") == F.lit(day)), f"{landing}/drop{i}")
+        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{landing}/*", f"{root}/history",
+                           f"{root}/_checkpoint", "supplier_id", SUPPLIER_TRACKED, "source_date",
+                           _SUP_TYPED, SUPPLIER_HISTORY_COLUMNS)
+    return store.VersionedTable(spark, f"{root}/history").read()
+
+
 # ---- 1.14: row-count audit --------------------------------------------------
 _COUNTED = ("products", "warehouse", "inventory", "orders", "sales", "suppliers_scd2",
             "inventory_snapshot", "low_stock_alerts", "supplier_performance", "product_movement",
