@@ -73,3 +73,31 @@ def test_approx_cuts_within_rank_error(spark):
         below = base.where(F.col("total_units_sold") <= cut).count() / n
         assert abs(below - p) <= 0.01 + 2.0 / n + 0.02   # sketch error + ties on integer totals
     base.unpersist()
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["inventory_snapshot", "supplier_performance", "product_movement", "sales_summary",
+                                  "scd2_merge", "scd2_asof_join", "scd2_apply_batch", "synthetic_sales",
+                                  "kpi_scalars", "clean_products_category_median"])
+def test_large_scale_plans_keep_equi_joins(spark, no_broadcast, name):
+    """With nothing small enough to broadcast (as at 100 TB), every join stays a keyed shuffle join."""
+    text = plan(E.queries()[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    joins = text.count("SortMergeJoin") + text.count("ShuffledHashJoin")
+    explicit = text.count("BroadcastHashJoin")   # only the bounded hot-key table of salted joins
+    assert joins > 0
+    if "salt" not in text:
+        assert explicit == 0, text
