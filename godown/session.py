@@ -2,13 +2,12 @@
 
 Everything that has to survive an executor loss (stream checkpoints,
 bronze tables written by a query, versioned SCD2 stores) is written under
-the folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent (unit tests, a bare laptop) do we create one ourselves.
+the folder the cluster names in ``spark.checkpoint.dir``.  Only a local
+session (unit tests, a bare laptop) may leave it unset.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,12 +62,15 @@ def build_session(master: str = "local[8]", app: str = "godown", shuffle_partiti
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Read from the session; set our own only where it is unset.
+    Read from the session.  Only a ``local`` session, whose executors are
+    the driver itself, may leave it unset and gets a folder of its own; on a
+    cluster that would be a place other machines don't see, so it raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="godown-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -78,10 +80,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique (not yet existing) folder under the checkpoint root for one run."""
-    base = checkpoint_root(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    parent = "/".join([base, "godown", *parts])
-    if "://" not in parent:
-        os.makedirs(parent, exist_ok=True)
-    return f"{parent}/{uuid.uuid4().hex[:12]}"
+    return "/".join([checkpoint_root(spark), "godown", *parts, uuid.uuid4().hex[:12]])
