@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files whose data frames are no longer in use (Spark drops them with the garbage)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -29,14 +38,14 @@ def crc_mod(col, n: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
-def slices(batches, text_col: str = "text"):
-    """Cut Arrow batches into pieces of about SLICE_BYTES of text (at least one row)."""
+def slices(batches, text_col: str = "text", size: int = SLICE_BYTES):
+    """Cut Arrow batches into pieces of about ``size`` bytes of text (at least one row)."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(text_col))
         if batch.num_rows == 0:
             continue
         sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
-        part = np.cumsum(sizes) // SLICE_BYTES
+        part = np.cumsum(sizes) // size
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(int(a), int(b - a))

@@ -132,3 +132,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          "group_size", "digest"))
         found = feed.join(bad, "digest", "left_anti").join(groups, "digest").select(*out).unionByName(split)
     return found.withColumn("kept", F.col("locator") == F.col("keep_locator"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``exact_dedup`` drops, all columns as they were."""
+    kept = written(exact_dedup(docs, id_col, text_col).where("kept").select("locator"), "dedup_kept")
+    columns = F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("row")
+    try:
+        rows = docs.select(columns, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("locator"))
+    except AnalysisException:
+        rows = docs.select(columns, F.concat(F.lit("id:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("locator"))
+    return rows.join(kept, "locator", "left_semi").select("row.*")

@@ -118,6 +118,56 @@ def op6(spark, sf_dir):
             .select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages")))
 
 
+@query("op7_imatch")
+def op7(spark, sf_dir):
+    from godown.llm.imatch import edited_fingerprints, lexicon
+    docs = table(spark, sf_dir, "documents")
+    return edited_fingerprints(docs, lexicon(docs))
+
+
+SUBSTRING_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i:i + 12], ' '))) AS k
+        FROM w WHERE len(ws) >= 13),
+f AS (SELECT k, min(doc_id) AS first_id FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM win JOIN f USING (k) WHERE first_id < doc_id),
+one AS (SELECT doc_id, unnest(ws) AS t, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY j) AS kept, count(*) AS n FROM one ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op8_fm_substring", SUBSTRING_SQL)
+def op8(spark, sf_dir):
+    from godown.llm.substring_dedup import dedup_substrings
+    return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+           WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id != y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach(node, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.other),
+root AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, root.component_id FROM documents d
+LEFT JOIN n USING (doc_id) JOIN root ON root.node = d.doc_id
+"""
+
+
+@query("op9_jaccard_skip", JACCARD_SQL)
+def op9(spark, sf_dir):
+    from godown.llm.jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 DEDUP_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)

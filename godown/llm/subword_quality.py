@@ -138,40 +138,66 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
     return raw["vec"].reshape(BUCKETS, DIM), raw["layer"].reshape(DIM, 2), raw["bias"]
 
 
+def scorer(model):
+    """Texts -> scores, as a function for tasks; ``model`` as (a weight per bucket, bias)."""
+    weights, bias = model
+    table: dict[bytes, tuple[float, int]] = {}
+
+    def run(texts) -> list[float]:
+        out = []
+        for text in texts:
+            words = tokens(text)
+            if len(table) > TABLE_ROWS:
+                table.clear()
+            got = []
+            for w in words:
+                s = table.get(w)
+                if s is None:
+                    f = features(w)
+                    s = (float(weights[f].sum()), len(f))
+                    table[w] = s
+                got.append(s)
+            n = sum([s[1] for s in got])
+            z = bias + (sum([s[0] for s in got]) / n if n else 0.0)
+            out.append(float(1.0 / (1.0 + np.exp(-max(-50.0, min(50.0, z))))))
+        return out
+
+    return run
+
+
+def reduced(model) -> tuple[np.ndarray, float]:
+    """The model as the difference of its two outputs: a weight per bucket, and the bias."""
+    if model is None:
+        return np.zeros(BUCKETS, dtype=np.float32), 0.0
+    vec, layer, b = model
+    return vec @ (layer[:, 1] - layer[:, 0]), float(b[1] - b[0])
+
+
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score: probability of class 1 of every whole text.
 
     Null and empty text has no features: its score is that of the bias
     alone.  Without a model (a class without rows) every score is 0.5.
     """
-    if model is None:
-        weights, bias = np.zeros(BUCKETS, dtype=np.float32), 0.0
-    else:
-        vec, layer, b = model
-        weights, bias = vec @ (layer[:, 1] - layer[:, 0]), float(b[1] - b[0])
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(reduced(model))
 
     def run(batches):
-        weights = shared.value
-        table: dict[bytes, tuple[float, int]] = {}
+        scores = scorer(shared.value)
         for b in slices(batches):
-            out = []
-            for text in b.column(1).to_pylist():
-                words = tokens(text)
-                if len(table) > TABLE_ROWS:
-                    table.clear()
-                got = []
-                for w in words:
-                    s = table.get(w)
-                    if s is None:
-                        f = features(w)
-                        s = (float(weights[f].sum()), len(f))
-                        table[w] = s
-                    got.append(s)
-                n = sum([s[1] for s in got])
-                z = bias + (sum([s[0] for s in got]) / n if n else 0.0)
-                out.append(1.0 / (1.0 + np.exp(-max(-50.0, min(50.0, z)))))
-            yield out_batch(["doc_id", "score"], [b.column(0), pa.array(out, pa.float64())])
+            yield out_batch(["doc_id", "score"], [b.column(0), pa.array(scores(b.column(1).to_pylist()), pa.float64())])
 
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep(docs: DataFrame, model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(reduced(model))
+
+    def run(batches):
+        scores = scorer(shared.value)
+        for b in slices(batches, text_col):
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            yield b.filter(pa.array([s >= least for s in scores(texts)]))
+
+    return docs.mapInArrow(run, docs.schema)
