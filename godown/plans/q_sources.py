@@ -1,4 +1,4 @@
-"""Registered source / sink / streaming queries (1.x, 11.x) and the feed generator (1.16).
+"""Registered source / sink / streaming queries (1.x, 11.x) and the price lookup (6.7).
 
 The ingestion queries first drop feed files derived from the driver's
 tables into a fresh folder under ``spark.checkpoint.dir`` (that is the
@@ -17,7 +17,7 @@ from godown.operators import clean
 from godown.operators.joins import salted_join
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
-from godown.schemas import (INGEST_TS, LINEAGE, ORDERS, SALES, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS,
+from godown.schemas import (FEEDS, INGEST_TS, LINEAGE, ORDERS, SALES, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS,
                             SUPPLIER_TRACKED, SUPPLIERS)
 from godown.session import scratch_path
 from godown.sources import bronze, feeds, store
@@ -75,18 +75,73 @@ def q_bronze_stream_available_now(spark, sf_dir):
     runs.append(ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt))
     if runs[2] != 0:
         raise RuntimeError(f"re-run ingested {runs[2]} rows again")
-    landed = spark.read.parquet(out)
+    landed = ingest.read_landed(spark, out)
     return _business(clean.try_types(landed, _SALES_TYPED), SALES)
 
 
+# ---- columns by name, files of any age ---------------------------------------
+_RAW_SALES = ("SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, "
+              "CAST(revenue AS DOUBLE) AS revenue FROM raw_sales")
+
+
+def _two_deliveries(spark, sf_dir, root, second, out_columns, age_days=None):
+    """The sales feed in two deliveries, the second one changed by ``second``; what has landed, typed."""
+    raw = _business(feeds.raw_sales(spark, sf_dir), SALES)
+    first = F.col("sale_date") < F.lit(SPLIT_DATE)
+    landing, out, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    bronze.write_csv(raw.where(first), f"{landing}/drop1")
+    ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt)
+    bronze.write_csv(second(raw.where(~first | F.col("sale_date").isNull())), f"{landing}/drop2")
+    if age_days:
+        set_file_age(spark, f"{landing}/drop2", age_days)
+    ingest.stream_feed(spark, SALES.raw_schema(), f"{landing}/*", out, ckpt)
+    return clean.try_types(ingest.read_landed(spark, out), _SALES_TYPED).select(*out_columns)
+
+
+def set_file_age(spark, folder: str, days: int) -> None:
+    """Date the files of a folder back, as an upstream system that delivers late would have them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(path):
+        fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+
+
+@query("bronze_header_order", with_ctes(_RAW_SALES))
+def q_bronze_header_order(spark, sf_dir):
+    """1.1: the second delivery has its columns in another order; they land by name."""
+    return _two_deliveries(spark, sf_dir, scratch_path(spark, "header_order"),
+                           lambda df: df.select(*reversed(SALES.columns)), SALES.columns)
+
+
+@query("bronze_old_file", with_ctes(_RAW_SALES))
+def q_bronze_old_file(spark, sf_dir):
+    """1.2: files of the second delivery are nine days older than the newest one read so far; they land all the same."""
+    return _two_deliveries(spark, sf_dir, scratch_path(spark, "old_file"), lambda df: df, SALES.columns, age_days=9)
+
+
 # ---- 1.3 / 1.4: additive schema evolution ----------------------------------
 @query("bronze_schema_evolution", with_ctes(f"""
+SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, CAST(revenue AS DOUBLE) AS revenue,
+       CASE WHEN sale_date < DATE '{SPLIT_DATE}' THEN NULL ELSE 'ch-' || (product_id % 7) END AS channel
+FROM raw_sales
+"""))
+def q_bronze_schema_evolution(spark, sf_dir):
+    """1.4 on the stream: the second delivery has a new column in the middle; it is NULL in what landed before."""
+    def with_channel(df):
+        cols = list(SALES.columns)
+        channel = F.concat(F.lit("ch-"), (F.col("product_id") % 7).cast("string")).alias("channel")
+        return df.select(*cols[:3], channel, *cols[3:])
+
+    return _two_deliveries(spark, sf_dir, scratch_path(spark, "evolving_sales"), with_channel, (*SALES.columns, "channel"))
+
+
+@query("bronze_evolving_tables", with_ctes(f"""
 SELECT order_id, product_id, supplier_id, order_date, expected_delivery, actual_delivery, quantity_ordered,
        CASE WHEN order_date < DATE '{SPLIT_DATE}' THEN NULL ELSE status END AS status
 FROM raw_orders
 """))
-def q_bronze_schema_evolution(spark, sf_dir):
-    """Orders delivered first without, later with the ``status`` column."""
+def q_bronze_evolving_tables(spark, sf_dir):
+    """1.4 in a batch read: orders delivered first without, later with the ``status`` column."""
     root = scratch_path(spark, "evolving_orders")
     raw = _business(feeds.raw_orders(spark, sf_dir), ORDERS)
     first = F.col("order_date") < F.lit(SPLIT_DATE)
@@ -95,6 +150,67 @@ def q_bronze_schema_evolution(spark, sf_dir):
     return bronze.read_evolving(spark, [f"{root}/part1", f"{root}/part2"]).select(*ORDERS.columns)
 
 
+# ---- the job over CSV feeds, from Bronze on ----------------------------------
+_FEED_TABLES = {"products": "products", "warehouse": "warehouse", "inventory": "inventory", "orders": "orders",
+                "sales": "sales", "suppliers": "supplier_snapshots"}
+
+
+def _job(spark, sf_dir, name: str):
+    """Cleaned rows as CSV feeds, delivered, then delivered again in part; the job runs after each delivery."""
+    from godown.plans.run import run_pipeline
+    root = scratch_path(spark, name)
+    L = Layers(spark, sf_dir)
+    dirs = {f: f"{root}/in/{f}/*" for f in _FEED_TABLES}
+    for f, t in _FEED_TABLES.items():
+        bronze.write_csv(getattr(L, t).select(*FEEDS[f].columns), f"{root}/in/{f}/drop1")
+    first = run_pipeline(spark, None, f"{root}/lake", feed_dirs=dirs)
+    for f, t in _FEED_TABLES.items():
+        key = F.xxhash64(*FEEDS[f].key)
+        bronze.write_csv(getattr(L, t).select(*FEEDS[f].columns).where(F.pmod(key, F.lit(3)) == 0), f"{root}/in/{f}/drop2")
+    again = run_pipeline(spark, None, f"{root}/lake", feed_dirs=dirs)
+    return f"{root}/lake", first, again
+
+
+@query("pipeline_silver_sales", with_ctes(
+    "SELECT sale_id, product_id, warehouse_id, sale_date, quantity_sold, unit_price, revenue FROM s_sales WHERE revenue >= 0"))
+def q_pipeline_silver_sales(spark, sf_dir):
+    """1.9 - 1.13, 4.8, 11.3: Silver sales of the job over CSV feeds after two runs, read from its catalog table's data."""
+    root, _, _ = _job(spark, sf_dir, "job_sales")
+    t = store.VersionedTable(spark, f"{root}/silver/sales")
+    rows = t.read().where("_dq_passed = 'true'").select(*SALES.columns)
+    return clean.try_types(rows, _SALES_TYPED)
+
+
+@query("pipeline_quarantine", with_ctes("""
+SELECT 'sales' AS feed, CAST(sale_id AS VARCHAR) AS business_key, 'revenue_non_negative' AS failed FROM s_sales WHERE revenue IS NULL OR revenue < 0
+UNION ALL
+SELECT 'inventory', CAST(inventory_id AS VARCHAR), 'quantity_on_hand_non_negative' FROM s_inventory WHERE quantity_on_hand < 0
+UNION ALL
+SELECT 'orders', CAST(order_id AS VARCHAR), 'expected_after_order' FROM s_orders
+WHERE expected_delivery IS NULL OR order_date IS NULL OR expected_delivery < order_date
+"""))
+def q_pipeline_quarantine(spark, sf_dir):
+    """4.8: the quarantine tables after two runs over overlapping deliveries; each failure is there once."""
+    root, _, _ = _job(spark, sf_dir, "job_quarantine")
+    parts = [spark.read.parquet(f"{root}/silver/{f}_quarantine")
+             .select(F.lit(f).alias("feed"), F.col(FEEDS[f].key[0]).cast("string").alias("business_key"), F.col("_dq_failed_rule").alias("failed"))
+             for f in ("sales", "inventory", "orders")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("pipeline_counts", with_ctes("""
+SELECT 'silver.products' AS table_name, count(*) AS row_count FROM s_products WHERE unit_price > 0
+UNION ALL SELECT 'silver.warehouse', count(*) FROM s_warehouse
+UNION ALL SELECT 'silver.inventory', count(*) FROM s_inventory WHERE quantity_on_hand >= 0 AND reorder_threshold >= 0
+UNION ALL SELECT 'silver.orders', count(*) FROM s_orders WHERE expected_delivery >= order_date
+UNION ALL SELECT 'silver.sales', count(*) FROM s_sales WHERE quantity_sold > 0 AND revenue >= 0
+UNION ALL SELECT 'silver.suppliers_scd2', count(*) FROM s_suppliers_scd2
+"""))
+def q_pipeline_counts(spark, sf_dir):
+    """1.14: the audit of the written Silver tables after two runs."""
+    return _job(spark, sf_dir, "job_counts")[2].where("table_name LIKE 'silver.%'")
+
+
 # ---- 11.4: supplier snapshots streamed into the SCD2 history ---------------
 @query("bronze_stream_scd2", with_ctes("SELECT * FROM s_suppliers_scd2"))
 def q_bronze_stream_scd2(spark, sf_dir):
@@ -144,14 +260,15 @@ def _table_counts_sql():
 
 @query("table_counts", _table_counts_sql())
 def q_table_counts(spark, sf_dir):
-    """Rows per Silver and Gold table."""
-    L = Layers(spark, sf_dir)
-    return store.row_counts({t: getattr(L, t) for t in _COUNTED})
+    """Rows per Silver and Gold table, counted on the tables that the job has written."""
+    from godown.plans.run import run_pipeline
+    audit = run_pipeline(spark, sf_dir, scratch_path(spark, "audit"), quality_checks=False)
+    return audit.select(F.regexp_replace("table_name", "^(silver|gold)[.]", "").alias("table_name"), "row_count")
 
 
-# ---- 1.16 / 6.7 / 10.11 - 10.14: synthetic sales feed ----------------------
-# Fixed values of the generator: warehouse codes, the first sale date, the
-# day span, the quantity range and the default price of unknown products.
+# ---- 6.7 / 10.11 - 10.14: price lookup with a default, labels and picks -----
+# Chosen here: warehouse codes, first date, day span, quantity range and the
+# price of unknown products.
 GEN_WAREHOUSES = ("WH01", "WH02", "WH03")
 GEN_START = dt.date(2026, 5, 1)
 GEN_DAYS = 72
@@ -159,7 +276,7 @@ GEN_MAX_QTY = 20
 GEN_DEFAULT_PRICE = 100.0
 
 
-@query("synthetic_sales", with_ctes(f"""
+@query("line_price_lookup", with_ctes(f"""
 SELECT printf('SALE%08d', i) AS sale_id, g.product_id,
        ['WH01', 'WH02', 'WH03'][CAST((i * 7 + 3) % 3 AS INTEGER) + 1] AS warehouse_id,
        DATE '{GEN_START}' + CAST((i * 13) % {GEN_DAYS} AS INTEGER) AS sale_date,
@@ -171,8 +288,8 @@ FROM (SELECT l_orderkey * 10 + l_linenumber AS i, l_partkey AS product_id FROM l
 LEFT JOIN gen_products p ON g.product_id = p.product_id
 """, {"gen_products": first_per("raw_products", ["product_id"],
                                 LINEAGE_ORDER + ["product_name", "category", "unit_price", "supplier_id"])}))
-def q_synthetic_sales(spark, sf_dir):
-    """A sales feed generated from every line id: picks by id arithmetic, price lookup with a default."""
+def q_line_price_lookup(spark, sf_dir):
+    """Every order line priced from the product list (a default for unknown ones), with a padded label and picks by id."""
     li = feeds.table(spark, sf_dir, "lineitem")
     products = clean.dedupe(feeds.raw_products(spark, sf_dir), ["product_id"]).select("product_id", "unit_price")
     i = F.col("l_orderkey") * 10 + F.col("l_linenumber")

@@ -2,7 +2,7 @@
 
 * ``read_feed`` reads one feed from any number of files in one scan with a
   declared schema (every business column a string, so bad text survives
-  to Silver), and adds ``_source_file`` (base name of the file each row
+  to Silver), CSV columns matched by header name, and adds ``_source_file`` (base name of the file each row
   came from) and ``_ingest_timestamp`` (the run's stamp, one value for the
   whole run).
 * ``infer_schema`` infers a schema once from a sample and stores it next
@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import json
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from godown.schemas import INGEST_TS, SOURCE_FILE, FeedSpec
+from godown.sources.paths import if_exists
 
 
 def lineage(df: DataFrame, ingest_ts: dt.datetime | None = None) -> DataFrame:
@@ -31,6 +33,50 @@ def lineage(df: DataFrame, ingest_ts: dt.datetime | None = None) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_name")).withColumn(INGEST_TS, ts)
 
 
+def headers(spark: SparkSession, paths, base: str | None = None) -> dict[str, tuple[str, ...]]:
+    """The column names of each CSV file, from its first line (one job for all files, a row per file)."""
+    reader = spark.read.option("basePath", base) if base else spark.read
+    lines = reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
+                                      F.col("_metadata.file_block_start").alias("start"))
+    # a file's first block is read by one task, in order
+    first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line")).collect()
+    return {r["file"]: tuple(next(csv.reader([r["line"].lstrip("\ufeff")]))) for r in first}
+
+
+def read_csv_by_name(spark: SparkSession, paths, schema: T.StructType, base: str | None = None,
+                     date_format: str | None = None, keep_new: bool = True) -> DataFrame:
+    """CSV files whose columns are matched to ``schema`` by header name, file by file.
+
+    Files with the same header are read together.  A column that a file
+    lacks is NULL there; columns that ``schema`` doesn't know follow as text
+    (``keep_new``; 1.4) instead of shifting the others.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in headers(spark, paths, base).items():
+        groups.setdefault(names, []).append(file)
+    known = {f.name: f for f in schema}
+    out = None
+    for names, files in sorted(groups.items()):
+        reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
+                  .schema(T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])))
+        if base:
+            reader = reader.option("basePath", base)
+        if date_format:
+            reader = reader.option("dateFormat", date_format)
+        df = lineage_file(reader.csv(sorted(files)))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        return lineage_file(spark.read.schema(schema).csv(paths))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in out.columns]
+    out = out.select("*", *missing)
+    new = [c for c in out.columns if c not in known and c != SOURCE_FILE]
+    return out.select(*known, *(new if keep_new else []), SOURCE_FILE)
+
+
+def lineage_file(df: DataFrame) -> DataFrame:
+    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+
+
 def read_feed(spark: SparkSession, spec: FeedSpec | None, paths, schema: T.StructType | None = None,
               ingest_ts: dt.datetime | None = None, fmt: str = "csv",
               date_format: str | None = None) -> DataFrame:
@@ -39,17 +85,17 @@ def read_feed(spark: SparkSession, spec: FeedSpec | None, paths, schema: T.Struc
     Without ``schema`` every business column is read as text (Bronze keeps
     what arrived).  A typed ``schema`` with DATE columns and
     ``date_format`` parses dates while reading; unparseable values become
-    NULL (PERMISSIVE mode).
+    NULL (PERMISSIVE mode).  CSV columns are matched by header name.
     """
+    base = paths if isinstance(paths, str) else None
     paths = [paths] if isinstance(paths, str) else list(paths)
     schema = schema or spec.raw_schema()
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
-        if date_format:
-            reader = reader.option("dateFormat", date_format)
-    df = reader.format(fmt).load(paths)
-    return lineage(df, ingest_ts)
+        ts = (F.lit(ingest_ts.isoformat(sep=" ")).cast("timestamp_ntz") if ingest_ts is not None
+              else F.current_timestamp().cast("timestamp_ntz"))
+        folder = base if base and not any(x in base for x in "*?[{") and not base.endswith(".csv") else None
+        return read_csv_by_name(spark, paths, schema, folder, date_format).withColumn(INGEST_TS, ts)
+    return lineage(spark.read.schema(schema).format(fmt).load(paths), ingest_ts)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -63,16 +109,13 @@ def infer_schema(spark: SparkSession, paths, schema_dir: str, sampling_ratio: fl
     The stored copy is a one-line text dataset written by Spark, so it
     lives on whatever shared file system the checkpoint uses.
     """
-    try:
-        line = spark.read.text(schema_dir).first()
-        if line is not None:
-            return T.StructType.fromJson(json.loads(line[0]))
-    except Exception:  # noqa: BLE001 - no stored schema yet
-        pass
+    stored = if_exists(lambda: spark.read.text(schema_dir))
+    if stored is not None:
+        return T.StructType.fromJson(json.loads(stored.first()[0]))
     paths = [paths] if isinstance(paths, str) else list(paths)
     st = (spark.read.option("header", True).option("inferSchema", True)
           .option("samplingRatio", sampling_ratio).csv(paths).schema)
-    spark.createDataFrame([(st.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_dir)
+    spark.createDataFrame([(st.json(),)], "value string").coalesce(1).write.text(schema_dir)
     return st
 
 

@@ -24,6 +24,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from godown.sources.paths import if_exists
+
+COMMITS = "version long, committed_at timestamp_ntz"
 
 
 class VersionedTable:
@@ -35,22 +40,21 @@ class VersionedTable:
     def _commits(self) -> str:
         return f"{self.root}/_commits"
 
+    def _log(self) -> DataFrame | None:
+        """The commits, or None before the first one; an unreadable log raises."""
+        return if_exists(lambda: self.spark.read.schema(COMMITS).parquet(self._commits))
+
     def current_version(self) -> int | None:
         """Highest committed version, or None if the table does not exist (1.13)."""
-        try:
-            row = self.spark.read.parquet(self._commits).agg(F.max("version")).first()
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return None
-        return None if row is None else row[0]
+        log = self._log()
+        return None if log is None else log.agg(F.max("version")).first()[0]
 
     def exists(self) -> bool:
         return self.current_version() is not None
 
     def has_version(self, version: int) -> bool:
-        try:
-            return self.spark.read.parquet(self._commits).where(F.col("version") == version).limit(1).count() > 0
-        except Exception:  # noqa: BLE001
-            return False
+        log = self._log()
+        return log is not None and not log.where(F.col("version") == version).isEmpty()
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version}"
@@ -62,17 +66,26 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(v))
 
     def write(self, df: DataFrame, version: int | None = None, partition_by: str | None = None) -> int:
-        """1.9 / 1.11: write a new full version and commit it."""
+        """1.9 / 1.11: write a new full version and commit it.
+
+        A folder that is already there is never replaced, with one
+        exception: a caller that names its ``version`` (a stream batch that
+        runs again) replaces what an earlier, uncommitted attempt left.
+        """
+        mode = "errorifexists"
         if version is None:
             cur = self.current_version()
             version = 1 if cur is None else cur + 1
-        writer = df.write.mode("overwrite")
+        elif self.has_version(version):
+            raise FileExistsError(f"version {version} of {self.root} is committed")
+        else:
+            mode = "overwrite"
+        writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(version))
         commit = self.spark.createDataFrame(
-            [(int(version), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            "version long, committed_at timestamp_ntz")
+            [(int(version), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], COMMITS)
         commit.coalesce(1).write.mode("append").parquet(self._commits)
         return version
 
@@ -111,17 +124,19 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def publish(spark: SparkSession, name: str, path: str) -> None:
-    """Point catalog table ``name`` at the parquet data in ``path``.
+def publish(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """Point catalog table ``name`` at the parquet data in ``path``, with the columns of ``schema``.
 
     Same schema: the location is switched in one catalog update.  A new
     schema (additive evolution) re-creates the external table; the data
     files are never touched.
     """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     if table_exists(spark, name):
-        if spark.table(name).schema == spark.read.parquet(path).schema:
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
+        if same:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.sql(f"REFRESH TABLE {name}")
             return
         spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")

@@ -16,39 +16,67 @@ from pyspark.sql import types as T
 
 from godown.operators import clean, scd2
 from godown.schemas import INGEST_TS, SOURCE_FILE
-from godown.sources.bronze import infer_schema, lineage
+from godown.sources.bronze import infer_schema, lineage, read_feed
 from godown.sources.store import VersionedTable
 
+#: Partition column of landed batches.
+BATCH = "_batch"
 
-def file_stream(spark: SparkSession, schema: T.StructType, in_dir: str, fmt: str = "csv",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+
+#: Files are never too old to be read: the source would skip those a week older than the newest one.
+ANY_AGE = "36500d"
+FILE_ROW = "path string, modificationTime timestamp, length long, content binary"
+
+
+def new_files(spark: SparkSession, in_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of the files of a folder, each once; their contents are not read by it."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_ROW).option("maxFileAge", ANY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return lineage(reader.format(fmt).load(in_dir))
+    return reader.load(in_dir).select("path")
+
+
+def read_files(spark: SparkSession, schema: T.StructType, files: list[str], fmt: str) -> DataFrame:
+    """The rows of one delivery with lineage; columns by name, new ones kept (1.4)."""
+    if fmt == "csv":
+        return read_feed(spark, None, files, schema=schema)
+    df = lineage(spark.read.option("mergeSchema", True).format(fmt).load(files))
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in df.columns])
+
+
+def read_landed(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What ``stream_feed`` has landed: all batches, columns that came later NULL in earlier ones."""
+    return spark.read.option("mergeSchema", True).parquet(out_dir).drop(BATCH)
 
 
 def stream_feed(spark: SparkSession, schema: T.StructType | None, in_dir: str, out_dir: str, checkpoint: str,
-                fmt: str = "csv", out_fmt: str = "parquet", max_files_per_trigger: int | None = 1000) -> int:
+                fmt: str = "csv", max_files_per_trigger: int | None = 1000) -> int:
     """1.2 / 11.1 / 11.2: ingest everything available, then stop.
 
     ``schema=None`` infers the schema once from the files present and
     stores it next to the checkpoint (1.3); later runs reuse the stored
     schema.  ``max_files_per_trigger`` bounds each micro-batch, so a large
-    backlog is worked off in several checkpointed batches.
-    Returns the number of input rows this run processed (0 when nothing new).
+    backlog is worked off in several checkpointed batches.  A batch lands in
+    a folder of its own that a repeated batch replaces, so each file lands
+    exactly once.  Returns the number of rows that this run landed.
     """
     if schema is None:
         schema = infer_schema(spark, in_dir, checkpoint.rstrip("/") + "_schema")
-    q = (file_stream(spark, schema, in_dir, fmt, max_files_per_trigger).writeStream
-         .format(out_fmt)
+    landed = []
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        files = [r["path"] for r in batch.collect()]              # at most max_files_per_trigger
+        if files:
+            path = f"{out_dir}/{BATCH}={batch_id}"
+            read_files(spark, schema, files, fmt).write.mode("overwrite").parquet(path)
+            landed.append(spark.read.parquet(path).count())
+
+    q = (new_files(spark, in_dir, max_files_per_trigger).writeStream.foreachBatch(land)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
-         .start(out_dir))
+         .start())
     q.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    return sum(landed)
 
 
 def stream_feeds(spark: SparkSession, feeds: dict, root: str) -> dict[str, int]:
@@ -83,10 +111,12 @@ def stream_scd2(spark: SparkSession, schema: T.StructType, in_dir: str, store_ro
     snapshots = f"{store_root.rstrip('/')}/_snapshots"
     attrs = [c for c in columns if c not in key]
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+    def merge_batch(files: DataFrame, batch_id: int) -> None:
         version = batch_id + 1
-        if store.has_version(version):
+        names = [r["path"] for r in files.collect()]
+        if not names or store.has_version(version):
             return
+        batch = read_files(spark, schema, names, "csv")
         rows = clean.dedupe_rows(clean.try_types(batch, casts)).drop(SOURCE_FILE, INGEST_TS)
         rows = rows.select(*key, *attrs, at, *tie)
         if not store.exists():
@@ -111,7 +141,7 @@ def stream_scd2(spark: SparkSession, schema: T.StructType, in_dir: str, store_ro
         replayed = scd2.scd2_replay(all_rows, key, tracked, at, tie, columns=columns)
         store.write(in_order.unionByName(replayed), version)
 
-    q = (file_stream(spark, schema, in_dir).writeStream
+    q = (new_files(spark, in_dir, 1000).writeStream
          .foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

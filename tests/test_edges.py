@@ -120,17 +120,25 @@ def test_reingested_file_makes_no_version(spark):
     assert scd2.scd2_replay(rows, "k", ["v"], "d").count() == 1
 
 
-def test_merge_equals_replay_and_late_rows_leave_merge_unchanged(spark):
+def test_merge_equals_replay_for_late_rows_null_keys_and_same_day_corrections(spark):
     s = "k string, v double, d date"
-    b1 = spark.createDataFrame([("a", 1.0, D(2026, 1, 1)), ("b", 1.0, D(2026, 1, 1))], s)
-    b2 = spark.createDataFrame([("a", 2.0, D(2026, 2, 1)), ("c", 5.0, D(2026, 2, 1))], s)
+    b1 = spark.createDataFrame([("a", 1.0, D(2026, 1, 1)), ("b", 1.0, D(2026, 1, 1)), (None, 7.0, D(2026, 1, 1))], s)
+    b2 = spark.createDataFrame([("a", 2.0, D(2026, 2, 1)), ("c", 5.0, D(2026, 2, 1)), (None, 8.0, D(2026, 2, 1))], s)
+    b3 = spark.createDataFrame([("a", 9.0, D(2026, 1, 15)), ("c", 6.0, D(2026, 2, 1)), ("b", 1.0, D(2026, 3, 1))], s)
     h = scd2.first_load(b1, "k", "d")
-    h = scd2.scd2_merge(h, b2, "k", ["v"], "d")
-    replay = scd2.scd2_replay(b1.unionByName(b2), "k", ["v"], "d")
-    assert sorted(map(str, h.collect())) == sorted(map(str, replay.collect()))
-    late = spark.createDataFrame([("a", 9.0, D(2026, 1, 15))], s)
-    h2 = scd2.scd2_merge(h, late, "k", ["v"], "d")
-    assert sorted(map(str, h2.collect())) == sorted(map(str, h.collect()))
+    h = scd2.scd2_merge(h, b2, "k", ["v"], "d", snapshots=b1)
+    assert sorted(map(str, h.collect())) == sorted(map(str, scd2.scd2_replay(b1.unionByName(b2), "k", ["v"], "d").collect()))
+    every = b1.unionByName(b2).unionByName(b3)
+    want = sorted(map(str, scd2.scd2_replay(every, "k", ["v"], "d").collect()))
+    assert sorted(map(str, scd2.scd2_merge(h, b3, "k", ["v"], "d", snapshots=b1.unionByName(b2)).collect())) == want
+    assert sorted(map(str, scd2.scd2_merge(h, b3, "k", ["v"], "d").collect())) == want
+
+
+def test_snapshots_without_a_date_go_to_quarantine(spark):
+    rows = spark.createDataFrame([("a", D(2026, 1, 1)), ("b", None)], "k string, d date")
+    good, bad = scd2.split_snapshots(rows, "k", "d")
+    assert [r.k for r in good.collect()] == ["a"]
+    assert [(r.k, r._dq_failed_rule) for r in bad.collect()] == [("b", "snapshot_date_valid")]
 
 
 def test_apply_batch_with_several_dates(spark):
@@ -157,7 +165,7 @@ def test_orphan_orders_kept_and_unknown_delay_not_late(spark):
         "order_id int, supplier_id string, delay_days int, quantity_ordered int")
     hist = spark.createDataFrame([("S1", "One", 4.0, True)],
                                  "supplier_id string, supplier_name string, rating double, is_current boolean")
-    got = {r.supplier_id: r for r in gold.supplier_performance(orders, hist).collect()}
+    got = {r.supplier_id: r for r in gold.supplier_performance(orders, hist, count_unknown=True).collect()}
     assert got["S1"].on_time_pct == 50.0 and got["S1"].orders_unknown_delay == 1   # D7
     assert got["S1"].total_orders == 3
     assert got["SX"].supplier_name is None and got["SX"].total_orders == 1        # D6
@@ -270,10 +278,83 @@ def test_publish_switches_and_evolves(spark, tmp_dir):
     t = store.VersionedTable(spark, f"{tmp_dir}/t")
     store.create_schema(spark, "edge_layer", f"{tmp_dir}/schema")
     t.write(spark.range(3))
-    store.publish(spark, "edge_layer.t", t.path(1))
+    store.publish(spark, "edge_layer.t", t.path(1), t.read().schema)
     t.write(spark.range(5))
-    store.publish(spark, "edge_layer.t", t.path(2))
+    store.publish(spark, "edge_layer.t", t.path(2), t.read().schema)
     assert spark.table("edge_layer.t").count() == 5
     t.write(spark.range(2).withColumn("extra", F.lit("x")))
-    store.publish(spark, "edge_layer.t", t.path(3))
+    store.publish(spark, "edge_layer.t", t.path(3), t.read().schema)
     assert spark.table("edge_layer.t").columns == ["id", "extra"]
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_dir):
+    from godown.schemas import WAREHOUSE
+    write_text(f"{tmp_dir}/in/a.csv", "warehouse_id,warehouse_name,location,capacity\nW1,one,x,5\n")
+    write_text(f"{tmp_dir}/in/b.csv", "warehouse_name,warehouse_id,region,capacity\n\"two, b\",W2,North,6\n")
+    got = {r.warehouse_id: r for r in bronze.read_feed(spark, WAREHOUSE, f"{tmp_dir}/in").collect()}
+    assert (got["W2"].warehouse_name, got["W2"].capacity, got["W2"].location, got["W2"].region) == ("two, b", "6", None, "North")
+    assert (got["W1"].location, got["W1"].region, got["W1"]._source_file) == ("x", None, "a.csv")
+
+
+def test_a_damaged_commit_log_raises_and_keeps_the_table(spark, tmp_dir):
+    import glob
+    from godown.sources import store
+    t = store.VersionedTable(spark, f"{tmp_dir}/t")
+    t.write(spark.range(5))
+    for f in glob.glob(f"{tmp_dir}/t/_commits/part-*"):
+        with open(f, "w") as fh:
+            fh.write("garbled")
+    for f in glob.glob(f"{tmp_dir}/t/_commits/.*.crc"):
+        with open(f, "w") as fh:
+            fh.write("garbled")
+    with pytest.raises(Exception):
+        t.exists()
+    with pytest.raises(Exception):
+        t.write(spark.range(1))
+    assert spark.read.parquet(t.path(1)).count() == 5
+
+
+def test_versions_are_never_replaced(spark, tmp_dir):
+    from godown.sources import store
+    t = store.VersionedTable(spark, f"{tmp_dir}/t")
+    t.write(spark.range(5), 1)
+    with pytest.raises(FileExistsError):
+        t.write(spark.range(1), 1)
+    spark.range(3).write.parquet(t.path(2))                  # left by an attempt that didn't commit
+    with pytest.raises(Exception):
+        t.write(spark.range(1))
+    t.write(spark.range(2), 2)
+    assert t.read().count() == 2
+
+
+def test_old_files_land_and_many_batches_are_counted(spark, tmp_dir):
+    import os
+    import time
+    from godown.schemas import WAREHOUSE
+    from godown.streaming import ingest
+    for i in range(6):
+        write_text(f"{tmp_dir}/in/f{i}.csv", f"warehouse_id,warehouse_name,location,capacity\nW{i},n,l,5\n")
+    os.utime(f"{tmp_dir}/in/f3.csv", (time.time() - 30 * 86400,) * 2)
+    n = ingest.stream_feed(spark, WAREHOUSE.raw_schema(), f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck", max_files_per_trigger=1)
+    assert n == 6 and ingest.read_landed(spark, f"{tmp_dir}/out").count() == 6
+
+
+def test_quarantine_knows_null_keys_and_empty_tables(spark, tmp_dir):
+    rows = spark.createDataFrame([(None, "r1"), (1, "r1")], "id int, _dq_failed_rule string")
+    assert quality.new_quarantine_rows(rows, rows, ["id"]).count() == 0
+    from godown.plans import run
+    from godown.plans.pipeline import Layers
+
+    class Empty(Layers):
+        products = spark.createDataFrame([], "product_id string, product_name string, category string, unit_price double, supplier_id string")
+    for _ in range(2):
+        t = run._write_one_silver(spark, Empty(spark, ""), tmp_dir, "products", True)
+        assert t.read().count() == 0 and "_dq_failed_rule" not in t.read().columns
+
+
+def test_matrix_rows_add_up(spark):
+    from godown.plans import dashboard
+    s = spark.createDataFrame([(1, "w", "A", 10.0), (1, "w", None, 5.0), (1, "w", "Z", 7.0)],
+                              "warehouse_id int, warehouse_name string, category string, total_revenue double")
+    row = dashboard.sales_matrix(s, ["A"]).first()
+    assert (row.revenue_a, row.revenue_other) == (10.0, 12.0)
