@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import first_row_flag, quote
+from godown.operators import quality
 from godown.operators.joins import salted_join
 
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
@@ -107,39 +108,76 @@ def change_condition(tracked, left: str = "t", right: str = "s"):
     return cond
 
 
-def scd2_merge(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=()) -> DataFrame:
-    """5.4 + 5.5: one MERGE step of a stored history with a batch.
+def split_snapshots(rows: DataFrame, key, at: str) -> tuple[DataFrame, DataFrame]:
+    """3.3: (usable snapshots, quarantine).
 
-    The batch is reduced to its latest row per key.  Current versions are
-    matched with it on the key (closed versions never match); a changed
-    match is expired at the batch date and a new current version is
-    inserted for every new or changed key.  A batch row not newer than the
-    open version of its key is a late arrival: the merge leaves the key
-    unchanged and the history must be rebuilt with ``scd2_replay`` from
-    Bronze (a merge cannot undo a dropped unchanged snapshot).
+    A snapshot without a readable date can't be placed in a history; it is
+    set aside, tagged like every other failed rule.
+    """
+    return quality.split(rows, {"snapshot_date_valid": F.col(at).isNotNull()})
+
+
+def _same_key(left: str, right: str, key):
+    cond = F.lit(True)
+    for k in key:
+        cond = cond & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}"))
+    return cond
+
+
+def keys_only(df: DataFrame, key, prefix: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(prefix + k) for k in key]).distinct()
+
+
+def with_keys(df: DataFrame, keys: DataFrame, key, prefix: str, how: str) -> DataFrame:
+    """Rows whose key is (``left_semi``) or isn't (``left_anti``) in ``keys``; NULL is a key like others."""
+    return df.join(keys, _same_key("", prefix, key), how)
+
+
+def scd2_merge(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=(),
+               snapshots: DataFrame | None = None) -> DataFrame:
+    """5.4 + 5.5: one MERGE step of a stored history with a batch; equals the replay of everything.
+
+    The batch is reduced to its latest row per key and joined once with the
+    target (NULL is a key like others): closed versions are carried along,
+    a changed open version is expired at the batch date, new and changed
+    keys get a new open version.  A key with a batch row that is not newer
+    than its open version (a late row, or a correction of the same day) can't
+    be merged: it is replayed from ``snapshots`` (all rows before this
+    batch), or from its stored versions where none are given.  Rows without
+    a date belong in quarantine (``split_snapshots``) and are left out.
     """
     key = [key] if isinstance(key, str) else list(key)
-    hist_cols = [c for c in target.columns if c not in key and c not in (START, END, CURRENT)]
-    latest = latest_per_key(batch, key, at, tie).select(*key, *hist_cols, at)
-    closed = target.where(~F.col(CURRENT))
-    cur = target.where(F.col(CURRENT))
-    t, s = cur.alias("t"), latest.alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in key]
-    j = t.join(s, on, "full_outer")
-    t_present = F.col(f"t.{key[0]}").isNotNull()
-    s_present = F.col(f"s.{key[0]}").isNotNull()
-    changed = s_present & t_present & (F.col(f"s.{at}") > F.col(f"t.{START}")) & change_condition(tracked)
-    old = j.where(t_present).select(
-        *[F.col(f"t.{c}").alias(c) for c in key + hist_cols],
-        F.col(f"t.{START}").alias(START),
-        F.when(changed, F.col(f"s.{at}")).otherwise(F.col(f"t.{END}")).alias(END),
-        (~changed).alias(CURRENT))
-    new = j.where(s_present & (~t_present | changed)).select(
-        *[F.col(f"s.{c}").alias(c) for c in key + hist_cols],
-        F.col(f"s.{at}").alias(START),
-        F.lit(None).cast(target.schema[START].dataType).alias(END),
-        F.lit(True).alias(CURRENT))
-    return closed.unionByName(old).unionByName(new)
+    own = [c for c in target.columns if c not in (START, END, CURRENT)]
+    hist_cols = [c for c in own if c not in key]
+    rows = batch.where(F.col(at).isNotNull())
+    rest = [c for c in rows.columns if c not in (*key, at, *tie)]
+    best = rows.groupBy(*[F.col(k).alias(f"_s_{k}") for k in key]).agg(
+        F.min(at).alias("_earliest"), F.max(F.struct(at, *tie, *rest)).alias("_s"))
+    opened = F.max(F.when(F.col(CURRENT), F.col(START))).over(Window.partitionBy(*key))
+    t = target.withColumn("_open", opened).withColumn("_t", F.lit(True))
+    j = t.join(best, _same_key("", "_s_", key), "full_outer")
+    known, fresh = F.col("_t").isNotNull(), F.col("_s").isNotNull()
+    late = known & fresh & (F.col("_earliest") <= F.col("_open"))
+    changed = F.lit(False)
+    for c in tracked:
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"_s.{c}"))
+    changed = known & fresh & F.coalesce(F.col(CURRENT), F.lit(False)) & changed
+    no_end = F.lit(None).cast(target.schema[START].dataType)
+    old = F.struct(*own, START, F.when(changed, F.col(f"_s.{at}")).otherwise(F.col(END)).alias(END),
+                   (F.col(CURRENT) & ~changed).alias(CURRENT))
+    new = F.struct(*[(F.col(f"_s_{c}") if c in key else F.col(f"_s.{c}")).alias(c) for c in own],
+                   F.col(f"_s.{at}").alias(START), no_end.alias(END), F.lit(True).alias(CURRENT))
+    steps = F.when(~known, F.array(new)).when(changed, F.array(old, new)).otherwise(F.array(old))
+    merged = j.where(~F.coalesce(late, F.lit(False))).select(F.explode(steps).alias("_v")).select("_v.*")
+    late_keys = keys_only(j.where(late), key, "_l_")
+    if snapshots is None:
+        before = target.select(*own, F.col(START).alias(at), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in tie])
+    else:
+        before = snapshots.where(F.col(at).isNotNull()).select(*own, at, *tie)
+    every = before.withColumn("_seq", F.lit(0)).unionByName(rows.select(*own, at, *tie).withColumn("_seq", F.lit(1)))
+    order = ("_seq",) if snapshots is None else tie      # against versions, the batch has the last word of a day
+    again = scd2_replay(with_keys(every, late_keys, key, "_l_", "left_semi"), key, tracked, at, order, columns=own)
+    return merged.select(*own, START, END, CURRENT).unionByName(again.select(*own, START, END, CURRENT))
 
 
 def apply_batch(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=()) -> DataFrame:
@@ -152,9 +190,9 @@ def apply_batch(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=
     """
     key = [key] if isinstance(key, str) else list(key)
     hist_cols = [c for c in target.columns if c not in key and c not in (START, END, CURRENT)]
-    touched = batch.select(*key).distinct()
-    mine = target.join(touched, key, "left_semi")
-    rest = target.join(touched, key, "left_anti")
+    touched = keys_only(batch, key, "_k_")
+    mine = with_keys(target, touched, key, "_k_", "left_semi")
+    rest = with_keys(target, touched, key, "_k_", "left_anti")
     as_rows = mine.select(*key, *hist_cols, F.col(START).alias(at),
                           *[F.lit(None).cast(batch.schema[t].dataType).alias(t) for t in tie])
     replayed = scd2_replay(as_rows.unionByName(batch.select(*key, *hist_cols, at, *tie)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from godown.oracle import SNAP_DATES, last_per, with_ctes
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
 from godown.schemas import INGEST_TS, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS, SUPPLIER_TRACKED
+from godown.session import scratch_path
 from godown.sources.feeds import SNAPSHOT_DATES
+from godown.sources.store import VersionedTable
 
 def _snapshots(spark, sf_dir):
     return Layers(spark, sf_dir).supplier_snapshots.drop(SOURCE_FILE, INGEST_TS)
@@ -67,12 +71,82 @@ def q_scd2_first_load(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
+    """First load and one merge per later file; the history is written between batches, as a job would."""
     snaps = _snapshots(spark, sf_dir)
+    store = VersionedTable(spark, scratch_path(spark, "merged_suppliers"))
     by_date = [snaps.where(F.col("source_date") == F.lit(d)) for d in SNAPSHOT_DATES]
-    hist = scd2.first_load(by_date[0], "supplier_id", "source_date", columns=SUPPLIER_HISTORY_COLUMNS)
-    for batch in by_date[1:]:
-        hist = scd2.scd2_merge(hist, batch, "supplier_id", SUPPLIER_TRACKED, "source_date")
-    return hist
+    store.write(scd2.first_load(by_date[0], "supplier_id", "source_date", columns=SUPPLIER_HISTORY_COLUMNS))
+    for i, batch in enumerate(by_date[1:], 1):
+        before = snaps.where(F.col("source_date") < F.lit(SNAPSHOT_DATES[i]))
+        store.write(scd2.scd2_merge(store.read(), batch, "supplier_id", SUPPLIER_TRACKED, "source_date", snapshots=before))
+    return store.read()
+
+
+# Deliveries that a merge must not get wrong: suppliers without an id, a date
+# that doesn't parse, a correction of an earlier day, and a late snapshot.
+_D1, _D2 = SNAPSHOT_DATES[1], SNAPSHOT_DATES[2]
+_LATE = dt.timedelta(days=10)
+
+_IRREGULAR = {
+    "irr": f"""
+SELECT CASE WHEN supplier_id % 50 = 7 THEN NULL ELSE supplier_id END AS supplier_id, supplier_name, address, contact_email,
+       rating, CASE WHEN supplier_id % 30 = 4 AND source_date = DATE '{_D1}' THEN NULL ELSE source_date END AS source_date
+FROM sup_rows
+UNION ALL
+SELECT CASE WHEN supplier_id % 50 = 7 THEN NULL ELSE supplier_id END, supplier_name, 'zz-corrected', contact_email, rating, source_date
+FROM sup_rows WHERE source_date = DATE '{_D2}' AND supplier_id % 20 = 3
+UNION ALL
+SELECT CASE WHEN supplier_id % 50 = 7 THEN NULL ELSE supplier_id END, supplier_name, address, contact_email, 4.9, DATE '{_D1 - _LATE}'
+FROM sup_rows WHERE source_date = DATE '{_D1}' AND supplier_id % 20 = 11
+""",
+    "irr_day": last_per("irr", ["supplier_id", "source_date"], ["supplier_name", "address", "contact_email", "rating"]),
+}
+
+
+def _deliveries(spark, sf_dir):
+    """Typed snapshots with the delivery each arrived in."""
+    s = _snapshots(spark, sf_dir)
+    k = F.col("supplier_id")
+    date = F.col("source_date")
+    n = F.when(date == F.lit(SNAPSHOT_DATES[0]), 0).when(date == F.lit(_D1), 1).otherwise(2)
+    text = F.when((k % 30 == 4) & (date == F.lit(_D1)), "01/02/xx").otherwise(date.cast("string"))
+    regular = s.withColumn("delivery", n).withColumn("source_date", text)
+    fixed = (s.where((date == F.lit(_D2)) & (k % 20 == 3)).withColumn("address", F.lit("zz-corrected"))
+             .withColumn("delivery", F.lit(3)).withColumn("source_date", date.cast("string")))
+    late = (s.where((date == F.lit(_D1)) & (k % 20 == 11)).withColumn("rating", F.lit(4.9))
+            .withColumn("delivery", F.lit(3)).withColumn("source_date", F.lit((_D1 - _LATE).isoformat())))
+    rows = regular.unionByName(fixed).unionByName(late)
+    return rows.withColumn("supplier_id", F.when(k % 50 != 7, k)).withColumn("source_date", F.expr("try_cast(source_date AS date)"))
+
+
+@query("scd2_merge_irregular", with_ctes("""
+SELECT supplier_id, supplier_name, address, contact_email, rating, source_date AS effective_start,
+       lead(source_date) OVER (PARTITION BY supplier_id ORDER BY source_date) AS effective_end,
+       lead(source_date) OVER (PARTITION BY supplier_id ORDER BY source_date) IS NULL AS is_current
+FROM (SELECT *, lag(source_date) OVER w IS NULL OR address IS DISTINCT FROM lag(address) OVER w
+                OR rating IS DISTINCT FROM lag(rating) OVER w AS _new
+      FROM irr_day WHERE source_date IS NOT NULL WINDOW w AS (PARTITION BY supplier_id ORDER BY source_date))
+WHERE _new
+""", _IRREGULAR))
+def q_scd2_merge_irregular(spark, sf_dir):
+    """5.4 - 5.6 over deliveries with NULL keys, bad dates, same-day corrections and late rows; equals the replay."""
+    good = scd2.split_snapshots(_deliveries(spark, sf_dir), "supplier_id", "source_date")[0]
+    store = VersionedTable(spark, scratch_path(spark, "irregular_suppliers"))
+    args = ("supplier_id", SUPPLIER_TRACKED, "source_date")
+    store.write(scd2.first_load(good.where("delivery = 0").drop("delivery"), "supplier_id", "source_date", columns=SUPPLIER_HISTORY_COLUMNS))
+    for i in (1, 2, 3):
+        store.write(scd2.scd2_merge(store.read(), good.where(F.col("delivery") == i).drop("delivery"), *args,
+                                    snapshots=good.where(F.col("delivery") < i).drop("delivery")))
+    return store.read()
+
+
+@query("scd2_snapshot_quarantine", with_ctes(
+    "SELECT supplier_id, supplier_name, address, contact_email, rating, 'snapshot_date_valid' AS _dq_failed_rule "
+    "FROM irr WHERE source_date IS NULL", _IRREGULAR))
+def q_scd2_snapshot_quarantine(spark, sf_dir):
+    """3.3: snapshots whose date doesn't parse, set aside with their rule."""
+    bad = scd2.split_snapshots(_deliveries(spark, sf_dir), "supplier_id", "source_date")[1]
+    return bad.drop("source_date", "delivery")
 
 
 @query("scd2_merge", with_ctes("SELECT * FROM s_suppliers_scd2"))

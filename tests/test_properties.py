@@ -11,7 +11,7 @@ D0 = dt.date(2026, 1, 1)
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 # snapshot files: each a list of (key, value) with distinct keys; value may be NULL
-snapshot = st.dictionaries(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 2)), min_size=1, max_size=5)
+snapshot = st.dictionaries(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 2)), min_size=1, max_size=5)
 
 
 def _rows(snaps):
@@ -42,6 +42,23 @@ def test_merge_in_date_order_equals_replay(spark, snaps):
         assert _as_set(applied) == _as_set(replay)
 
 
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 2), st.integers(0, 4)), min_size=1, max_size=3),
+                min_size=2, max_size=3))
+def test_merge_of_any_deliveries_equals_replay(spark, deliveries):
+    """Equal dates, late rows and NULL keys in any order; one date per key and delivery."""
+    schema = "k int, v double, d date"
+    batches = []
+    for rows in deliveries:
+        once = {k: (k, float(v), D0 + dt.timedelta(days=d)) for k, v, d in rows}
+        batches.append(spark.createDataFrame(list(once.values()), schema))
+    hist, before = scd2.first_load(batches[0], "k", "d"), batches[0]
+    for b in batches[1:]:
+        hist = scd2.scd2_merge(hist, b, "k", ["v"], "d", snapshots=before)
+        before = before.unionByName(b)
+    assert _as_set(hist) == _as_set(scd2.scd2_replay(before, "k", ["v"], "d"))
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-2, 2))), min_size=1, max_size=30))
 def test_dedupe_and_quality_keep_everything_accounted(spark, pairs):
