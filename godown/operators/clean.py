@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import first_row_flag, lenient_cast, quote
-from godown.operators.quantiles import percentile_value
+from godown.operators.quantiles import group_quantiles, percentile_value
 from godown.schemas import (INGEST_TS, INVENTORY, LINEAGE, ORDERS, PRODUCTS, SALES, SOURCE_FILE,
                             WAREHOUSE, FeedSpec)
 
@@ -82,31 +82,21 @@ def dedupe_rows(df: DataFrame, ignore=LINEAGE) -> DataFrame:
     return dedupe(df, business, lineage)
 
 
-def median_value(df: DataFrame, c: str, approx: bool = False, method: str | None = None):
-    """Global median of a column as a scalar-subquery Column (7.8, 7.9).
-
-    ``approx=True``: a sketch value with relative rank error 0.01 (accuracy
-    100).  ``method="banded"``: exact with bounded task memory for columns
-    with very many distinct values (``godown.operators.quantiles``).
-    """
-    return percentile_value(df, c, 0.5, method or ("approx" if approx else "exact"), accuracy=100)
-
-
-def impute_median(df: DataFrame, c: str, by: str | None = None, approx: bool = False,
-                  method: str | None = None) -> DataFrame:
+def impute_median(df: DataFrame, c: str, by: str | None = None, approx: bool = False) -> DataFrame:
     """Fill NULLs of ``c`` with the median (3.7), or the median per group (3.8).
 
-    Global: the median is a scalar subquery, evaluated once.  Per group: one
-    row per group, joined back (AQE broadcasts it when it is small).
+    Exact and with bounded memory, or with ``approx=True`` a sketch value
+    with relative rank error 0.01 (7.8, 7.9).  Global: a scalar subquery,
+    evaluated once.  Per group: one row per group, joined back (AQE
+    broadcasts it when it is small).
     """
+    method = "approx" if approx else "exact"
+    kind = df.schema[c].dataType
     if by is None:
-        m = median_value(df, c, approx, method)
-        return df.withColumn(c, F.coalesce(F.col(c), m.cast(df.schema[c].dataType)))
-    agg = F.percentile_approx(c, 0.5, 100) if approx else F.percentile(c, 0.5)
-    med = df.groupBy(by).agg(agg.alias("_median"))
-    out = df.join(med, on=[df[by].eqNullSafe(med[by])], how="left").drop(med[by])
-    return out.withColumn(c, F.coalesce(F.col(c), F.col("_median").cast(df.schema[c].dataType))) \
-              .drop("_median").select(*df.columns)
+        return df.withColumn(c, F.coalesce(F.col(c), percentile_value(df, c, 0.5, method).cast(kind)))
+    med = group_quantiles(df, c, 0.5, by, method).select(F.col("g").alias("_g"), F.col("q").alias("_median"))
+    out = df.join(med, F.col(by).eqNullSafe(F.col("_g")), "left")
+    return out.withColumn(c, F.coalesce(F.col(c), F.col("_median").cast(kind))).select(*df.columns)
 
 
 def clean_feed(df: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -125,11 +115,9 @@ def clean_feed(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 # ---- per-feed cleaners (3.10 - 3.14) ---------------------------------------
 
-def clean_products(raw: DataFrame, category_median: bool = False, approx: bool = False,
-                   method: str | None = None) -> DataFrame:
+def clean_products(raw: DataFrame, category_median: bool = False, approx: bool = False) -> DataFrame:
     df = clean_feed(raw, PRODUCTS)
-    return impute_median(df, "unit_price", by="category" if category_median else None, approx=approx,
-                         method=method)
+    return impute_median(df, "unit_price", by="category" if category_median else None, approx=approx)
 
 
 def clean_warehouse(raw: DataFrame) -> DataFrame:

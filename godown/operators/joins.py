@@ -10,8 +10,9 @@ would receive every fact row of a key that holds a third of the table.
 ``salted_join`` spreads such keys explicitly:
 
 1. Hot keys are detected on a hash-chosen sample of the fact (detection
-   only; every fact row takes part in the join).  At most ``max_hot_keys`` keys are
-   kept, so the hot-key table has a fixed size bound and is broadcast.
+   only; every fact row takes part in the join).  Hot is a key that holds at
+   least ``hot_share`` of the sample, so there are at most ``1 / hot_share``
+   and their table is broadcast.
 2. Fact rows of a hot key get a salt ``0 .. salts-1`` from a hash of the
    row; other rows get salt 0.
 3. Dimension rows of a hot key are repeated once per salt; others once.
@@ -37,8 +38,8 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*cols)
 
 
-def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, max_hot_keys: int = 1000) -> DataFrame:
-    """The most frequent keys of a sample; at most ``max_hot_keys`` rows.
+def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, hot_share: float = 0.001) -> DataFrame:
+    """The keys with at least ``hot_share`` of a sample's rows; at most ``1 / hot_share`` rows.
 
     The sample is chosen by a hash of each row's values, not by a random
     draw, so a recomputed task (lost executor, second use of the plan)
@@ -54,12 +55,13 @@ def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, max_hot_keys:
     for k in keys:
         present = present & F.col(k).isNotNull()
     counts = sample.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.desc("_n"), *keys).limit(max_hot_keys).select(*keys, F.lit(True).alias(HOT))
+    total = sample.where(present).agg(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_n") >= total * F.lit(hot_share)).select(*keys, F.lit(True).alias(HOT))
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "left", residual: Column | None = None,
                 dim_keys=None, salts: int = 16, sample_fraction: float = 0.01,
-                max_hot_keys: int = 1000) -> DataFrame:
+                hot_share: float = 0.001) -> DataFrame:
     """``fact JOIN dim ON fact.keys = dim.dim_keys [AND residual]`` with hot keys salted.
 
     ``how`` is ``inner`` or ``left`` (fact rows are never multiplied or
@@ -70,7 +72,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "left", residu
     dim_keys = keys if dim_keys is None else ([dim_keys] if isinstance(dim_keys, str) else list(dim_keys))
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(fact, keys, sample_fraction, max_hot_keys))
+    hot = F.broadcast(hot_keys(fact, keys, sample_fraction, hot_share))
 
     row_hash = _row_hash(fact)
     f = (fact.join(hot, keys, "left")

@@ -1,18 +1,13 @@
-"""Quantiles of a column as scalar-subquery Columns (7.7 - 7.9).
-
-Three ways, same interpolation (position ``p * (n - 1)`` between the two
-neighbouring order statistics) for the exact ones:
-
-* ``exact``  - Spark's ``percentile``: one pass, but its final merge holds
-  every distinct value in one task.  Right for columns with few distinct
-  values (per-product totals, prices in cents).
-* ``approx`` - ``percentile_approx``: bounded sketch, an existing value
-  within rank error ``1/accuracy``.
-* ``banded`` - exact for any number of distinct values with bounded task
-  memory: a sketch brackets the target rank in ``[lo, hi]`` (its rank
-  error is a guarantee, not a probability), the rows below ``lo`` are only
-  counted, and only the rows inside the band (about ``4 n / accuracy``)
-  are ranked to pick the two order statistics.
+"""Quantiles of a column, global or per group (3.7, 3.8, 7.7 - 7.9).
+
+``exact`` is the interpolated quantile at position ``p * (n - 1)`` between
+two order statistics, with bounded memory whatever the ties: rows become
+(group, value, count) first, so a value or a group that holds most rows
+costs one row per task; a sketch whose rank error is a guarantee brackets
+the target rank in ``[lo, hi]``; distinct values below are summed, and only
+the distinct values inside the bracket (about ``4 n / accuracy`` of them)
+are ordered.  ``approx`` is ``percentile_approx``: an existing value within
+rank error ``1 / accuracy``.
 """
 
 from __future__ import annotations
@@ -20,32 +15,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from godown.operators.joins import salted_join
 
-def percentile_value(df: DataFrame, c: str, p: float, method: str = "exact", accuracy: int = 100) -> Column:
+SKETCH = 1_000_000
+
+
+def _pick(ranked: DataFrame, by: list[str], pos: Column) -> DataFrame:
+    """The two order statistics around ``pos`` from rows (x, w = copies, upto = copies up to x, below), interpolated."""
+    last = F.coalesce("below", F.lit(0)) + F.col("upto") - 1
+    first = last - F.col("w") + 1
+    v0 = F.max(F.when((first <= F.floor(pos)) & (F.floor(pos) <= last), F.col("x")))
+    v1 = F.max(F.when((first <= F.ceil(pos)) & (F.ceil(pos) <= last), F.col("x")))
+    return (ranked.groupBy(*by).agg(v0.alias("v0"), v1.alias("v1"), F.max(pos).alias("pos"))
+            .select(*by, (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))).alias("q")))
+
+
+def _ends(p: float, accuracy: int) -> Column:
+    margin = 2.0 / accuracy
+    return F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
+
+
+def exact_quantile(df: DataFrame, c: str, p: float, accuracy: int = SKETCH) -> Column:
+    """The exact interpolated quantile of the whole column, as a scalar subquery."""
+    x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
+    stats = x.agg(F.struct(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", _ends(p, accuracy), accuracy).alias("b"))).scalar()
+    lo, hi = stats["b"][0], stats["b"][1]
+    values = x.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+    below = values.where(F.col("x") < lo).agg(F.sum("w")).scalar()
+    band = values.where((F.col("x") >= lo) & (F.col("x") <= hi))          # distinct values of the bracket only
+    ranked = band.withColumn("upto", F.sum("w").over(Window.orderBy("x"))).withColumn("below", below)
+    return _pick(ranked, [], (stats["n"] - 1) * F.lit(p)).scalar()
+
+
+def exact_quantiles(df: DataFrame, c: str, p: float, by: str, accuracy: int = SKETCH) -> DataFrame:
+    """(g, q): the exact interpolated quantile of ``c`` per value of ``by``; NULL is a group like others."""
+    x = df.select(F.col(by).alias("g"), F.to_json(F.struct(F.col(by).alias("g"))).alias("k"), F.col(c).cast("double").alias("x"))
+    x = x.where(F.col("x").isNotNull())
+    stats = x.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", _ends(p, accuracy), accuracy).alias("b"))
+    values = x.groupBy("g", "k", "x").agg(F.count(F.lit(1)).alias("w"))
+    near = salted_join(values, stats, "k", "inner")                       # few groups may hold all values
+    below = near.where(F.col("x") < F.col("b")[0]).groupBy("k").agg(F.sum("w").alias("below"))
+    band = near.where((F.col("x") >= F.col("b")[0]) & (F.col("x") <= F.col("b")[1]))
+    ranked = band.withColumn("upto", F.sum("w").over(Window.partitionBy("k").orderBy("x"))).join(below, "k", "left")
+    return _pick(ranked, ["k", "g"], (F.col("n") - 1) * F.lit(p)).select("g", "q")
+
+
+def group_quantiles(df: DataFrame, c: str, p: float, by: str, method: str = "exact", accuracy: int = 100) -> DataFrame:
+    """(g, q) per value of ``by``."""
     if method == "exact":
-        return df.agg(F.percentile(c, p).alias("q")).scalar()
+        return exact_quantiles(df, c, p, by)
     if method == "approx":
-        return df.agg(F.percentile_approx(c, p, accuracy).alias("q")).scalar()
-    if method == "banded":
-        return banded_percentile(df, c, p)
+        return df.groupBy(F.col(by).alias("g")).agg(F.percentile_approx(c, p, accuracy).alias("q"))
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def banded_percentile(df: DataFrame, c: str, p: float, accuracy: int = 1_000_000) -> Column:
-    """The exact interpolated ``p``-quantile of ``c`` (equal to ``percentile(c, p)``)."""
-    x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-    margin = 2.0 / accuracy
-    lo_p, hi_p = max(0.0, p - margin), min(1.0, p + margin)
-    stats = x.agg(F.struct(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b"))).scalar()
-    n, lo, hi = stats["n"], stats["b"][0], stats["b"][1]
-    pos = (n - 1) * F.lit(p)
-    below = x.where(F.col("x") < lo).agg(F.count(F.lit(1))).scalar()
-    band = x.where((F.col("x") >= lo) & (F.col("x") <= hi))
-    # global 0-based rank of each band row; the band is bounded, so one ordered partition is fine
-    ranked = band.withColumn("r", F.row_number().over(Window.orderBy("x")) - 1 + below)
-    k0, k1 = F.floor(pos), F.ceil(pos)
-    picked = ranked.where((F.col("r") == k0) | (F.col("r") == k1)).agg(
-        F.min_by("x", "r").alias("v0"), F.max_by("x", "r").alias("v1"))
-    return picked.select((F.col("v0") + (F.col("v1") - F.col("v0")) * (pos - k0)).alias("q")).scalar()
+def percentile_value(df: DataFrame, c: str, p: float, method: str = "exact", accuracy: int = 100) -> Column:
+    """The quantile of the whole column as a scalar-subquery Column."""
+    if method == "exact":
+        return exact_quantile(df, c, p)
+    if method == "approx":
+        return df.agg(F.percentile_approx(c, p, accuracy).alias("q")).scalar()
+    raise ValueError(f"unknown quantile method {method!r}")

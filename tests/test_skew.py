@@ -87,7 +87,7 @@ def test_salting_spreads_the_hot_key_over_tasks(spark, skew_conf):
     from godown.operators.joins import SALT, hot_keys
     facts = _skewed_facts(spark)
     hot = hot_keys(facts, ["k"], 0.05).collect()
-    assert len(hot) <= 1000 and hot[0]["k"] == 0                     # the hot key is found on a 5% sample
+    assert len(hot) <= 1000 and 0 in {r["k"] for r in hot}                     # the hot key is found on a 5% sample
     # salted fact rows of key 0 land in many distinct reducer partitions
     from pyspark.sql import functions as F
     salted = facts.join(F.broadcast(hot_keys(facts, ["k"])), "k", "left") \
@@ -107,13 +107,38 @@ def test_salted_join_equals_plain_join(spark):
 
 @pytest.mark.parametrize("p", [0.5, 0.33, 0.66, 0.0, 1.0])
 @pytest.mark.parametrize("shape", ["hot_value", "distinct"])
-def test_banded_percentile_equals_exact(spark, p, shape):
-    from godown.operators.quantiles import banded_percentile
-    if shape == "hot_value":   # many duplicates and one value holding a third of the rows
-        v = F.when(F.col("id") % 3 == 0, F.lit(500.0)).otherwise((F.col("id") * 7919 % 1000).cast("double"))
+def test_bracketed_quantiles_equal_percentile(spark, p, shape):
+    from godown.operators.quantiles import exact_quantile, exact_quantiles
+    if shape == "hot_value":   # one value holds 70 % of the rows
+        v = F.when(F.col("id") % 10 < 7, F.lit(500.0)).otherwise((F.col("id") * 7919 % 1000).cast("double"))
     else:                      # all values distinct
         v = (F.col("id") * 7919 % 100003) / 3.0
-    df = spark.range(20000).select(v.alias("v"))
+    df = spark.range(20000).select(v.alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"))
     exact = df.agg(F.percentile("v", p)).first()[0]
-    banded = spark.range(1).select(banded_percentile(df, "v", p, accuracy=200).alias("q")).first().q
-    assert banded == pytest.approx(exact, abs=1e-9)
+    assert spark.range(1).select(exact_quantile(df, "v", p, accuracy=200).alias("q")).first().q == pytest.approx(exact, abs=1e-9)
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", p).alias("q")).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, "v", p, "k", accuracy=200).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_bracketed_quantile_orders_distinct_values_only(spark):
+    """70 % of two hundred thousand rows share a value: no ordered partition sees more than the distinct ones."""
+    from pyspark.sql import Window
+
+    from godown.operators import quantiles
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 < 7, F.lit(5.0)).otherwise(F.col("id") % 40 + 0.0).alias("v"))
+    seen = []
+    real = Window.orderBy
+
+    def spy(*cols):
+        seen.append(cols)
+        return real(*cols)
+    try:
+        Window.orderBy = staticmethod(spy)
+        q = quantiles.exact_quantile(df, "v", 0.5)
+    finally:
+        Window.orderBy = real
+    assert seen and spark.range(1).select(q.alias("q")).first().q == 5.0
+    text = spark.range(1).select(q)._jdf.queryExecution().executedPlan().toString()
+    window = text.index("Window [")
+    assert "HashAggregate" in text[window:]       # the window's input is grouped by value
