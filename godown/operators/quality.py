@@ -65,4 +65,8 @@ def new_quarantine_rows(quarantine: DataFrame, existing: DataFrame | None, key)
     if existing is None:
         return quarantine
     k = list(key) + [FAILED]
-    return quarantine.join(existing.select(*k).distinct(), k, "left_anti")
+    seen = existing.select(*[F.col(c).alias(f"_q_{c}") for c in k]).distinct()
+    same = F.lit(True)
+    for c in k:
+        same = same & F.col(c).eqNullSafe(F.col(f"_q_{c}"))       # a failure with a NULL key is known, too
+    return quarantine.join(seen, same, "left_anti")

@@ -85,5 +85,21 @@ class Layers:
     def sales_trends(self) -> DataFrame:
         return gold.sales_trends(self.sales)
 
+    def movement_and_trends(self) -> tuple[DataFrame, DataFrame]:
+        """G4 and G6 from one pass over the sales: deduplicated once, summed per product and month."""
+        monthly = gold.sales_by_product_month(self.sales)
+        return gold.product_movement(monthly, self.products), gold.sales_trends(monthly)
+
     def gold_tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in gold.ORDERING}
+
+
+class BronzeLayers(Layers):
+    """The same layers over landed Bronze tables (feed -> rows as text, with lineage)."""
+
+    def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame]):
+        super().__init__(spark, "")
+        self.bronze = bronze
+
+    def raw(self, name: str) -> DataFrame:
+        return self.bronze["suppliers" if name == "supplier_snapshots" else name]

@@ -18,12 +18,15 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from godown.operators import quality
 from godown.plans import gold
-from godown.plans.pipeline import Layers
+from godown.plans.pipeline import BronzeLayers, Layers
 from godown.schemas import FEEDS
 from godown.sources import store
+from godown.sources.paths import if_exists
+from godown.streaming import ingest
 
 SILVER = ("products", "warehouse", "inventory", "orders", "sales", "suppliers_scd2")
 CHECKED = ("inventory", "sales", "orders", "products")
@@ -38,25 +41,33 @@ class SilverTable:
     else), the quarantine takes the ``false`` one.  No row is written twice.
     """
 
-    def __init__(self, table: store.VersionedTable, checked: bool):
+    def __init__(self, table: store.VersionedTable, checked: bool, schema: T.StructType):
+        self.spark = table.spark
         self.table = table
         self.checked = checked
+        self.schema = schema
 
     def current_version(self) -> int | None:
         return self.table.current_version()
 
+    def _rows(self) -> DataFrame:
+        # the schema is given: a checked table without rows has no files to infer it from
+        return self.spark.read.schema(self.schema).parquet(self.table.path(self.table.current_version()))
+
     def read(self) -> DataFrame:
-        df = self.table.read()
+        df = self._rows()
         if self.checked:
             df = df.where(F.col(PASSED).cast("string") == "true").drop(PASSED, quality.FAILED)
         return df
 
     def failed(self) -> DataFrame:
-        return self.table.read().where(F.col(PASSED).cast("string") == "false").drop(PASSED)
+        return self._rows().where(F.col(PASSED).cast("string") == "false").drop(PASSED)
 
-    def data_path(self) -> str:
+    def publish(self, name: str) -> None:
+        """Silver readers in the catalog see the rows and columns that ``read`` gives: passing rows, no tags."""
         v = self.table.path(self.table.current_version())
-        return f"{v}/{PASSED}=true" if self.checked else v
+        path = f"{v}/{PASSED}=true" if self.checked else v
+        store.publish(self.spark, name, path, self.read().schema)
 
 
 def _quarantine_path(root: str, name: str) -> str:
@@ -66,19 +77,16 @@ def _quarantine_path(root: str, name: str) -> str:
 def _write_one_silver(spark: SparkSession, layers: Layers, root: str, name: str, checked: bool) -> SilverTable:
     df = getattr(layers, name)
     table = store.VersionedTable(spark, f"{root}/silver/{name}")
-    if checked:
-        tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
-        table.write(tagged, partition_by=PASSED)
-    else:
+    if not checked:
         table.write(df)
-    silver = SilverTable(table, checked)
-    if checked:
-        q_path = _quarantine_path(root, name)
-        try:
-            existing = spark.read.parquet(q_path)
-        except Exception:  # noqa: BLE001 - first run: no quarantine table yet
-            existing = None
-        store.append(quality.new_quarantine_rows(silver.failed(), existing, FEEDS[name].key), q_path)
+        return SilverTable(table, False, df.schema)
+    tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
+    table.write(tagged, partition_by=PASSED)
+    silver = SilverTable(table, True, tagged.schema)
+    q_path = _quarantine_path(root, name)
+    failed = silver.failed()
+    existing = if_exists(lambda: spark.read.schema(failed.schema).parquet(q_path))
+    store.append(quality.new_quarantine_rows(failed, existing, FEEDS[name].key), q_path)
     return silver
 
 
@@ -95,6 +103,12 @@ def write_silver(spark: SparkSession, layers: Layers, root: str, quality_checks:
         lambda n: _write_one_silver(spark, layers, root, n, quality_checks and n in CHECKED), SILVER, workers)
 
 
+def write_bronze(spark: SparkSession, feed_dirs: dict[str, str], root: str) -> dict[str, DataFrame]:
+    """11.3: one stream per feed, run until it has caught up; what has landed so far."""
+    ingest.stream_feeds(spark, {n: (FEEDS[n].raw_schema(), d) for n, d in feed_dirs.items()}, f"{root}/bronze")
+    return {n: ingest.read_landed(spark, f"{root}/bronze/{n}") for n in feed_dirs}
+
+
 def write_gold(spark: SparkSession, silver: dict, root: str, workers: int = 4) -> dict:
     s = {n: t.read() for n, t in silver.items()}
     snapshot = gold.inventory_snapshot(s["inventory"], s["products"], s["warehouse"])
@@ -118,20 +132,27 @@ def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) ->
     """Expose the committed versions as ``<schema>.<table>`` in the catalog."""
     store.create_schema(spark, schema, f"{root}/_schemas/{schema}")
     for name, t in tables.items():
-        path = t.data_path() if isinstance(t, SilverTable) else t.path(t.current_version())
-        store.publish(spark, f"{schema}.{name}", path)
+        if isinstance(t, SilverTable):
+            t.publish(f"{schema}.{name}")
+        else:
+            store.publish(spark, f"{schema}.{name}", t.path(t.current_version()), t.read().schema)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str, quality_checks: bool = True,
-                 workers: int = 4) -> DataFrame:
+def run_pipeline(spark: SparkSession, sf_dir: str | None, root: str, quality_checks: bool = True,
+                 workers: int = 4, feed_dirs: dict[str, str] | None = None) -> DataFrame:
     """Raw feeds -> Silver -> Gold on disk; returns the row-count audit (1.14).
 
+    ``feed_dirs`` (feed -> folder or glob of its CSV deliveries) makes it the
+    full job: every feed is first streamed into Bronze under ``root``, each
+    file once over all runs, and Silver is read from Bronze.  Without it the
+    feeds are derived from the tables in ``sf_dir``.
+
     The written versions are also published as ``silver.*`` and ``gold.*``
     catalog tables.  The tables of one layer are independent jobs and are
     submitted ``workers`` at a time, so small tables do not leave the
     cluster idle while one large table finishes.
     """
-    layers = Layers(spark, sf_dir)
+    layers = Layers(spark, sf_dir) if feed_dirs is None else BronzeLayers(spark, write_bronze(spark, feed_dirs, root))
     silver = write_silver(spark, layers, root, quality_checks, workers)
     publish_layer(spark, "silver", silver, root)
     gold_tables = write_gold(spark, silver, root, workers)
