@@ -16,8 +16,6 @@ FAST, MEDIUM, SLOW = "Fast-moving", "Medium-moving", "Slow-moving"
 FAST_QUANTILE, SLOW_QUANTILE = 0.66, 0.33
 PILL_CLASS = {"Fast-moving": "fast", "Medium-moving": "medium", "Slow-moving": "slow"}
 MOVING_SUFFIX = "-moving"
-MONTH_ABBR = ("Jan", "Feb", "Mar", "Apr", "May", "Jun",
-              "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 LAKH = 1e5
 DELAY_FORMAT, PCT_FORMAT, RATING_FORMAT = "%.2fd", "%.1f%%", "%.1f"
 GROWTH_FORMAT, NO_GROWTH = "%+.1f%%", "N/A"
@@ -49,11 +47,6 @@ def lenient_cast(c, to: str) -> Column:
     return col(c).try_cast(to)
 
 
-def money_total(c) -> Column:
-    """Exact sum of a money column, reported as double."""
-    return F.sum(col(c).cast("decimal(18,2)")).cast("double")
-
-
 def classify_movement(units, fast_cut, slow_cut) -> Column:
     """Three-way class; ``>= fast`` is tested before ``<= slow``."""
     u = col(units)
@@ -78,10 +71,7 @@ def month_bucket(c) -> Column:
 
 def month_label(ym) -> Column:
     """'2026-05' -> 'May 2026'."""
-    m = col(ym)
-    abbr = F.element_at(F.array(*[F.lit(a) for a in MONTH_ABBR]),
-                        F.substring(m, 6, 2).try_cast("int"))
-    return F.when(m.isNotNull(), F.concat_ws(" ", abbr, F.substring(m, 1, 4)))
+    return F.date_format(F.to_date(col(ym), "yyyy-MM"), "MMM yyyy")
 
 
 def first_word(c) -> Column:
@@ -107,11 +97,3 @@ def signed_pct_label(c) -> Column:
 def sign_class(c) -> Column:
     return (F.when(col(c).isNull(), F.lit(""))
              .when(col(c) < 0, F.lit(DOWN_CLASS)).otherwise(F.lit(UP_CLASS)))
-
-
-def any_null_safe_change(left: str, right: str, cols) -> Column:
-    """True when any tracked column differs, NULL-safe (D5)."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | ~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond

@@ -78,7 +78,7 @@ FROM lineitem
 RAW["raw_orders"] = f"""
 SELECT order_id, product_id, supplier_id, order_date, expected_delivery,
        CASE WHEN o_orderstatus = 'O' THEN NULL
-            ELSE expected_delivery + CAST([0, 0, 0, 1, 2, 3, -1][order_id_slot % 7 + 1] AS INTEGER) END
+            ELSE expected_delivery + CAST([-2, 0, 4, 0, 1, 0, 6][order_id_slot % 7 + 1] AS INTEGER) END
          AS actual_delivery,
        quantity_ordered, status, 'orders.csv' AS _source_file, {TS_RUN} AS _ingest_timestamp
 FROM (

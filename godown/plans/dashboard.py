@@ -8,7 +8,7 @@ small merge).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import (DELAY_FORMAT, FAST, PCT_FORMAT, RATING_FORMAT, first_word, lakh,
@@ -21,8 +21,7 @@ def _arg_best(value: str, measure: str, tie: str):
     return F.min_by(value, rank)
 
 
-def kpi_scalars(spark: SparkSession, snapshot: DataFrame, alerts: DataFrame, performance: DataFrame,
-                movement: DataFrame, trends: DataFrame) -> DataFrame:
+def kpi_scalars(snapshot: DataFrame, performance: DataFrame, movement: DataFrame, trends: DataFrame) -> DataFrame:
     """K1: the fourteen headline numbers in one row.
 
     One one-row aggregate per Gold table; the four rows are stacked (union
@@ -31,7 +30,6 @@ def kpi_scalars(spark: SparkSession, snapshot: DataFrame, alerts: DataFrame, per
     through the driver.  The low-stock count is counted on the snapshot:
     the alert table is the snapshot filtered by stock < threshold.
     """
-    del spark, alerts
     low = F.col("quantity_on_hand") < F.col("reorder_threshold")
     parts = [
         snapshot.agg(lakh(F.sum("stock_value")).alias("total_stock_value_l"),
@@ -127,10 +125,11 @@ def sales_matrix(summary: DataFrame, categories) -> DataFrame:
     """7.16: revenue matrix warehouse x category with declared categories.
 
     Declaring the pivot values avoids the extra job that collects the
-    distinct categories to the driver.
+    distinct categories to the driver.  Revenue of unknown or undeclared
+    categories is in ``revenue_other``, so each row adds up to the summary.
     """
     cats = list(categories)
-    wide = summary.groupBy("warehouse_id", "warehouse_name").pivot("category", cats).agg(
-        F.sum("total_revenue"))
-    return wide.select("warehouse_id", "warehouse_name",
-                       *[F.col(f"`{c}`").alias(f"revenue_{c.lower()}") for c in cats])
+    known = F.col("category").isin(cats)
+    of = [F.sum(F.when(F.col("category") == c, F.col("total_revenue"))).alias(f"revenue_{c.lower()}") for c in cats]
+    other = F.sum(F.when(~F.coalesce(known, F.lit(False)), F.col("total_revenue"))).alias("revenue_other")
+    return summary.groupBy("warehouse_id", "warehouse_name").agg(*of, other)

@@ -10,7 +10,9 @@ products, warehouses and the current suppliers):
 * No broadcast hint is put on data-derived dimensions: AQE turns a join
   into a broadcast join only when the measured shuffle output is below
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
-  sort-merge join and AQE splits skewed partitions.
+  sort-merge join.  A dimension that comes out of a dedupe window is
+  partitioned by its key already, and AQE can't split such a join: the
+  un-aggregated fact of G1 is therefore salted (``operators/joins``).
 * Quantile cuts are one-row aggregates used as scalar subqueries.
 * Results are not globally sorted; ``ORDERING`` states the presentation
   order for readers (top-n reads use ``orderBy().limit()``).
@@ -22,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE, classify_movement, growth_pct, month_bucket
-from godown.operators.quantiles import banded_percentile
+from godown.operators.joins import salted_join
+from godown.operators.quantiles import percentile_value
 
 # Presentation order of each Gold table (descending measure, key as tie-break).
 ORDERING = {
@@ -49,8 +52,8 @@ def inventory_snapshot(inventory: DataFrame, products: DataFrame, warehouse: Dat
     """G1: stock per product and warehouse with its value."""
     p = products.select("product_id", "product_name", "category", "unit_price")
     w = warehouse.select("warehouse_id", "warehouse_name")
-    return (inventory.join(p, "product_id", "left")
-            .join(w, "warehouse_id", "left")
+    # both dimensions arrive partitioned by their key (a dedupe window), which AQE can't split
+    return (salted_join(salted_join(inventory, p, "product_id"), w, "warehouse_id")
             .select("inventory_id", "product_id", "product_name", "category",
                     "warehouse_id", "warehouse_name", "quantity_on_hand", "reorder_threshold",
                     (F.col("quantity_on_hand") * F.col("unit_price")).alias("stock_value"),
@@ -68,15 +71,15 @@ def low_stock_alerts(snapshot: DataFrame) -> DataFrame:
 
 
 def supplier_performance(orders: DataFrame, supplier_history: DataFrame,
-                         drop_null_groups: bool = False) -> DataFrame:
+                         drop_null_groups: bool = False, count_unknown: bool = False) -> DataFrame:
     """G3: delivery performance per supplier.
 
     Orders are aggregated per supplier first, then joined to the current
     supplier rows (one per supplier).  Orders of suppliers without a
     current row stay as their own group with NULL name (D6).  An order
     without a delivery date has NULL delay: it is left out of both
-    averages instead of counting as late (D7) and reported in
-    ``orders_unknown_delay``.  ``drop_null_groups=True`` drops groups with a
+    averages instead of counting as late (D7); ``count_unknown=True`` adds
+    their number as ``orders_unknown_delay``.  ``drop_null_groups=True`` drops groups with a
     NULL supplier id or name, as a pandas group-by would.
     """
     on_time = (F.col("delay_days") <= 0).cast("int")
@@ -97,46 +100,47 @@ def supplier_performance(orders: DataFrame, supplier_history: DataFrame,
                     F.round(F.col("_on_time") * 100, 1).alias("on_time_pct"),
                     "total_qty_ordered",
                     F.col("rating").alias("current_rating"),
-                    "orders_unknown_delay"))
+                    *(["orders_unknown_delay"] if count_unknown else [])))
 
 
-def movement_base(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("product_id").agg(
-        F.sum("quantity_sold").cast("bigint").alias("total_units_sold"),
+def sales_by_product_month(sales: DataFrame) -> DataFrame:
+    """Sales summed per product and month; G4 and G6 can both start from it (``_n`` counts the sales)."""
+    return sales.groupBy("product_id", month_bucket("sale_date").alias("month")).agg(
+        F.sum("quantity_sold").cast("bigint").alias("_units"),
         F.sum(F.col("revenue").cast("decimal(18,2)")).alias("_revenue"),
-        F.count("sale_id").alias("num_sales_txns"),
+        F.count("sale_id").alias("_n"),
     )
 
 
-def movement_cuts(base: DataFrame, approx: bool = False, method: str | None = None):
-    """Cuts at the 0.66 and 0.33 quantile of units sold, as scalar subqueries.
+def _totals(sales: DataFrame, units: str, n: str):
+    """Units, revenue and sales of ``sales`` or of ``sales_by_product_month``."""
+    if "_n" in sales.columns:
+        return (F.sum("_units").cast("bigint").alias(units), F.sum("_revenue").alias("_revenue"), F.sum("_n").cast("bigint").alias(n))
+    return (F.sum("quantity_sold").cast("bigint").alias(units),
+            F.sum(F.col("revenue").cast("decimal(18,2)")).alias("_revenue"), F.count("sale_id").alias(n))
 
-    ``method="banded"`` computes each cut exactly with bounded task memory
-    (``godown.operators.quantiles``) instead of one ``percentile`` pass.
-    """
-    if method == "banded":
-        return (banded_percentile(base, "total_units_sold", FAST_QUANTILE),
-                banded_percentile(base, "total_units_sold", SLOW_QUANTILE))
-    probs = F.array(F.lit(FAST_QUANTILE), F.lit(SLOW_QUANTILE))
+
+def movement_base(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("product_id").agg(*_totals(sales, "total_units_sold", "num_sales_txns"))
+
+
+def movement_cuts(base: DataFrame, approx: bool = False):
+    """Cuts at the 0.66 and 0.33 quantile of units sold, as scalar subqueries."""
     if approx:
-        q = F.percentile_approx("total_units_sold", probs, 100)
-    else:
-        q = F.percentile("total_units_sold", probs)
-    cuts = base.agg(q.alias("cuts")).scalar()
-    return cuts[0], cuts[1]
+        probs = F.array(F.lit(FAST_QUANTILE), F.lit(SLOW_QUANTILE))
+        cuts = base.agg(F.percentile_approx("total_units_sold", probs, 100).alias("cuts")).scalar()
+        return cuts[0], cuts[1]
+    return percentile_value(base, "total_units_sold", FAST_QUANTILE), percentile_value(base, "total_units_sold", SLOW_QUANTILE)
 
 
-def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False,
-                     method: str | None = None) -> DataFrame:
+def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False) -> DataFrame:
     """G4: units, revenue and a fast/medium/slow class per product.
 
     Exact interpolated quantiles by default (the reference's golden
-    values); ``approx=True`` uses a 0.01 rank-error sketch instead.  The
-    exact percentile holds one entry per distinct total, which is bounded
-    by the number of products, not by the number of sales.
+    values); ``approx=True`` uses a 0.01 rank-error sketch instead.
     """
     base = movement_base(sales)
-    fast, slow = movement_cuts(base, approx, method)
+    fast, slow = movement_cuts(base, approx)
     p = products.select("product_id", "product_name", "category")
     return (base.join(p, "product_id", "left")
             .select("product_id", "product_name", "category", "total_units_sold",
@@ -179,11 +183,8 @@ def sales_trends(sales: DataFrame) -> DataFrame:
     month is NULL (D14).  The unpartitioned window runs on one row per
     month, after aggregation.
     """
-    base = sales.groupBy(month_bucket("sale_date").alias("month")).agg(
-        F.sum("quantity_sold").cast("bigint").alias("total_units_sold"),
-        F.sum(F.col("revenue").cast("decimal(18,2)")).alias("_revenue"),
-        F.count("sale_id").alias("num_transactions"),
-    )
+    month = F.col("month") if "_n" in sales.columns else month_bucket("sale_date").alias("month")
+    base = sales.groupBy(month).agg(*_totals(sales, "total_units_sold", "num_transactions"))
     w = Window.partitionBy(F.col("month").isNull()).orderBy("month")
     prev = F.lag("_revenue").over(w)
     return base.select(

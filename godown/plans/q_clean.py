@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import functions as F
+
 from godown.operators import clean
 from godown.oracle import LINEAGE_ORDER, first_per, with_ctes
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
-from godown.schemas import FEEDS
+from godown.schemas import FEEDS, PRODUCTS
 
 
 @query("clean_products", with_ctes("SELECT * FROM s_products"))
@@ -21,16 +23,28 @@ def q_clean_products_category_median(spark, sf_dir):
     return clean.clean_products(Layers(spark, sf_dir).raw("products"), category_median=True)
 
 
-@query("clean_products_approx_median")
+@query("clean_products_approx_median", with_ctes(
+    "SELECT count(*) AS products, TRUE AS one_existing_price, TRUE AS within_rank_error FROM s_products"))
 def q_clean_products_approx_median(spark, sf_dir):
-    """D1 option: the median as an existing value from a rank-error-0.01 sketch."""
-    return clean.clean_products(Layers(spark, sf_dir).raw("products"), approx=True)
+    """D1 option: is the imputed price an existing one, within rank error 0.01 of the median?  Over all products."""
+    raw = Layers(spark, sf_dir).raw("products")
+    known = clean.clean_feed(raw, PRODUCTS).select("product_id", F.col("unit_price").alias("known"))
+    both = clean.clean_products(raw, approx=True).join(known, "product_id")
+    filled = F.when(F.col("known").isNull(), F.col("unit_price"))
+    cut = both.agg(F.max(filled)).scalar()
+    n = F.count("known")
+    return both.agg(
+        F.count(F.lit(1)).alias("products"),
+        ((F.min(filled).eqNullSafe(F.max(filled))) & (F.count_if(F.col("known") == cut) > 0)).alias("one_existing_price"),
+        ((F.count_if(F.col("known") < cut) <= n * 0.51) & (F.count_if(F.col("known") <= cut) >= n * 0.49)).alias("within_rank_error"))
 
 
 @query("clean_products_banded_median", with_ctes("SELECT * FROM s_products"))
 def q_clean_products_banded_median(spark, sf_dir):
-    """3.7 with the bounded-memory exact median; equal to ``clean_products``."""
-    return clean.clean_products(Layers(spark, sf_dir).raw("products"), method="banded")
+    """3.7 with every category sharing one group: the grouped bracket method must give the global median."""
+    L = Layers(spark, sf_dir)
+    df = clean.clean_feed(L.raw("products"), PRODUCTS).withColumn("_all", F.lit(None).cast("string"))
+    return clean.impute_median(df, "unit_price", by="_all").drop("_all")
 
 
 @query("clean_warehouse", with_ctes("SELECT * FROM s_warehouse"))
@@ -73,18 +87,21 @@ def q_dedup_all_columns(spark, sf_dir):
 
 _STEP_FEEDS = ("products", "warehouse", "inventory", "orders", "sales")
 
+# What the steps mean, written out for SQL: (zero-filled, required, filter, key).
+_STEPS = {
+    "products": ("FALSE", "product_id IS NOT NULL AND product_name IS NOT NULL", "TRUE", "product_id"),
+    "warehouse": ("FALSE", "TRUE", "TRUE", "warehouse_id"),
+    "inventory": ("quantity_on_hand IS NULL OR reorder_threshold IS NULL", "product_id IS NOT NULL AND warehouse_id IS NOT NULL",
+                  "TRUE", "inventory_id"),
+    "orders": ("quantity_ordered IS NULL", "order_id IS NOT NULL AND supplier_id IS NOT NULL AND product_id IS NOT NULL",
+               "TRUE", "order_id"),
+    "sales": ("quantity_sold IS NULL", "sale_id IS NOT NULL AND product_id IS NOT NULL AND warehouse_id IS NOT NULL",
+              "coalesce(quantity_sold, 0) > 0", "sale_id"),
+}
+
 
 def _step_sql(name: str) -> str:
-    spec = FEEDS[name]
-    req = " AND ".join(f"{c} IS NOT NULL" for c in spec.required) or "TRUE"
-    flt = "TRUE"
-    if spec.row_filter:
-        # zero-filled quantities: NULL counts as 0 before the filter
-        flt = spec.row_filter
-        for c in spec.zero_fill:
-            flt = flt.replace(c, f"coalesce({c}, 0)")
-    k = spec.key[0]
-    zf = " OR ".join(f"{c} IS NULL" for c in spec.zero_fill) or "FALSE"
+    zf, req, flt, k = _STEPS[name]
     return (f"SELECT '{name}' AS feed, count(*) AS rows_in, count(*) FILTER (WHERE {zf}) AS zero_filled, "
             f"count(*) FILTER (WHERE {req}) AS after_required, "
             f"count(*) FILTER (WHERE {req} AND {flt}) AS after_filter, "

@@ -42,8 +42,7 @@ SELECT
 def q_kpi_scalars(spark, sf_dir):
     """K1, 7.10 - 7.13, 2.10, 10.4."""
     L = Layers(spark, sf_dir)
-    return dashboard.kpi_scalars(spark, L.inventory_snapshot, L.low_stock_alerts, L.supplier_performance,
-                                 L.product_movement, L.sales_trends)
+    return dashboard.kpi_scalars(L.inventory_snapshot, L.supplier_performance, *L.movement_and_trends())
 
 
 @query("top_shortfalls", gold_sql("""
@@ -129,6 +128,8 @@ def q_trend_growth(spark, sf_dir):
 
 _MATRIX_COLS = ", ".join(
     f"sum(total_revenue) FILTER (WHERE category = '{c}') AS revenue_{c.lower()}" for c in CATEGORIES)
+_MATRIX_COLS += (", sum(total_revenue) FILTER (WHERE category IS NULL OR category NOT IN ("
+                 + ", ".join(f"'{c}'" for c in CATEGORIES) + ")) AS revenue_other")
 
 
 @query("sales_matrix", gold_sql(f"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE
 from godown.oracle import rnd, with_ctes
 from godown.plans import gold
 from godown.plans.pipeline import Layers
@@ -23,11 +26,10 @@ GOLD_CTES = {
     "g_supplier_perf": f"""
 SELECT a.supplier_id, c.supplier_name, a.total_orders,
        {rnd('a.avg_delay', 2)} AS avg_delay_days, {rnd('a.on_time * 100', 1)} AS on_time_pct,
-       a.total_qty_ordered, c.rating AS current_rating, a.orders_unknown_delay
+       a.total_qty_ordered, c.rating AS current_rating
 FROM (SELECT supplier_id, count(order_id) AS total_orders, avg(delay_days) AS avg_delay,
              avg(CAST(delay_days <= 0 AS INTEGER)) AS on_time,
-             CAST(sum(quantity_ordered) AS BIGINT) AS total_qty_ordered,
-             count(*) FILTER (WHERE delay_days IS NULL) AS orders_unknown_delay
+             CAST(sum(quantity_ordered) AS BIGINT) AS total_qty_ordered
       FROM s_orders GROUP BY supplier_id) a
 LEFT JOIN (SELECT supplier_id, supplier_name, rating FROM s_suppliers_scd2 WHERE is_current) c
   ON a.supplier_id = c.supplier_id
@@ -94,19 +96,24 @@ def q_product_movement(spark, sf_dir):
     return Layers(spark, sf_dir).product_movement
 
 
-@query("product_movement_approx")
+@query("product_movement_approx", gold_sql("SELECT 'fast' AS cut, TRUE AS within_rank_error UNION ALL SELECT 'slow', TRUE "
+                                           "WHERE (SELECT count(*) FROM g_move_base) > 0"))
 def q_product_movement_approx(spark, sf_dir):
-    """7.8: sketch-based cuts (rank error 0.01); checked by a rank-error test."""
-    L = Layers(spark, sf_dir)
-    return gold.product_movement(L.sales, L.products, approx=True)
+    """7.8: are the sketch's cuts of G4 within rank error 0.01 of the exact rank?  Counted over all products."""
+    base = gold.movement_base(Layers(spark, sf_dir).sales)
+    fast, slow = gold.movement_cuts(base, approx=True)
+    cuts = base.select("total_units_sold", fast.alias("fast"), slow.alias("slow"))
+    units, n = F.col("total_units_sold"), F.count(F.lit(1))
+    # some rank of an existing value lies in [below / n, upto / n]
+    row = cuts.agg(*[((F.count_if(units < F.col(c)) <= n * (p + 0.01)) & (F.count_if(units <= F.col(c)) >= n * (p - 0.01))).alias(c)
+                     for c, p in (("fast", FAST_QUANTILE), ("slow", SLOW_QUANTILE))])
+    return row.select(F.expr("stack(2, 'fast', fast, 'slow', slow) AS (cut, within_rank_error)"))
 
 
 @query("product_movement_banded", gold_sql("SELECT * FROM g_movement"))
 def q_product_movement_banded(spark, sf_dir):
-    """G4 with the cuts computed by the bounded-memory exact quantile."""
-    L = Layers(spark, sf_dir)
-    return gold.product_movement(L.sales, L.products, method="banded")
-
+    """G4 from sales summed per product and month (the shared pass of the KPIs); equal to ``product_movement``."""
+    return Layers(spark, sf_dir).movement_and_trends()[0]
 
 @query("sales_summary", gold_sql("SELECT * FROM g_summary"))
 def q_sales_summary(spark, sf_dir):
