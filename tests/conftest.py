@@ -10,10 +10,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from godown.session import build_session, checkpoint_root
-    s = build_session(master="local[4]", app="godown-tests", shuffle_partitions=4)
-    checkpoint_root(s)      # sets our own folder only when the session has none
+def spark(tmp_path_factory):
+    from godown.session import build_session
+    s = build_session(master="local[4]", app="godown-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()
 
