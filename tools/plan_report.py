@@ -36,16 +36,23 @@ def final_plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
-    text = buf.getvalue()
-    return text.split("== Initial Plan ==")[0]
+    out, skip = [], None
+    for line in buf.getvalue().splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and indent >= skip and "== Initial Plan ==" not in line:
+            continue                                  # nested plans (scalar subqueries) have initial plans of their own
+        skip = indent if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
 
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from godown.session import build_session
-    import __spark_entry__ as E
+    from godown.plans.registry import load_all
     spark = build_session(shuffle_partitions=16)
-    qs = E.queries()
+    qs, _ = load_all()
     rows = []
     for n in sorted(qs):
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()       # warm-up
