@@ -28,9 +28,10 @@ def release(spark: SparkSession) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, "llm", name)
+    spark, schema = df.sparkSession, df.schema
     df.write.parquet(path)
-    release(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def crc_mod(col, n: int):

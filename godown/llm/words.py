@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+#: Bytes that are hashed at once.
+BLOCK_BYTES = 1 << 18
 MULT = np.uint64(0x9E3779B97F4A7C15)      # odd, so powers never vanish modulo 2^64
 
 
@@ -49,11 +51,15 @@ def word_hashes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
     cuts = np.searchsorted(starts, off)
     if not len(starts):
         return np.zeros(0, np.uint64), cuts
-    cum = np.cumsum(lens) - lens
-    place = np.arange(int(lens.sum())) - np.repeat(cum, lens)
-    at = place + np.repeat(starts, lens)
-    value = byte_values(lower)[data[at]] * powers(int(lens.max()))[place]
-    return mix(np.add.reduceat(value, cum) + lens.astype(np.uint64)), cuts
+    value, power = byte_values(lower), powers(int(lens.max()))
+    sums = np.empty(len(starts), np.uint64)
+    blocks = np.flatnonzero(np.diff(np.cumsum(lens) // BLOCK_BYTES)) + 1
+    for i, j in zip([0, *blocks.tolist()], [*blocks.tolist(), len(starts)]):
+        n = lens[i:j]
+        cum = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(cum, n)
+        sums[i:j] = np.add.reduceat(value[data[place + np.repeat(starts[i:j], n)]] * power[place], cum)
+    return mix(sums + lens.astype(np.uint64)), cuts
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
