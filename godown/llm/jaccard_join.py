@@ -36,6 +36,8 @@ PERCENT = 80
 SAMPLE = 16
 #: Frequent: in at least this share of the sampled documents, and at least LEAST of them.
 FREQUENT, LEAST = 1 / 2000, 3
+#: Pairs that a task remembers, so that it doesn't name them again.
+SEEN = 1_000_000
 #: Rows of a list that are compared at once.
 BLOCK = 512
 
@@ -160,7 +162,7 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def open_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of lists (token, doc, n, pos, root, leader, dist): pairs that sizes, positions and distances leave open."""
+    """(a, b) of lists (lead, token, doc, n, pos, root, leader, dist): pairs that sizes, positions and distances leave open."""
     def compare(doc, n, pos, root, leader, dist):
         order = np.argsort(n, kind="stable")
         doc, n, pos, root, leader, dist = (v[order] for v in (doc, n, pos, root, leader, dist))
@@ -185,34 +187,35 @@ def open_pairs(lists: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         carry: list = []
         seen: set = set()
+        lead = last = None
 
-        def done(token_rows):
-            cols = [np.concatenate(c) for c in zip(*token_rows)]
-            for a, b in compare(*cols):
-                fresh = [(x, y) for x, y in zip(a.tolist(), b.tolist()) if x != y and (x, y) not in seen]
-                if len(seen) > 500_000:
-                    seen.clear()
+        def done(parts):
+            for a, b in compare(*[np.concatenate(c) for c in zip(*parts)]):
+                fresh = [p for p in zip(a.tolist(), b.tolist()) if p[0] != p[1] and p not in seen]
                 seen.update(fresh)
                 if fresh:
-                    yield out_batch(["a", "b"], [np.array([f[0] for f in fresh], np.int64), np.array([f[1] for f in fresh], np.int64)])
+                    yield out_batch(["a", "b"], [np.array(c, np.int64) for c in zip(*fresh)])
 
-        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token = batch.column(0).to_numpy()
-            cols = [batch.column(i).to_numpy() for i in range(1, 7)]
-            cuts = [0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)]
+            leads, tokens = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cols = [batch.column(i).to_numpy() for i in range(2, 8)]
+            cuts = [0, *(np.flatnonzero((np.diff(tokens) != 0) | (np.diff(leads) != 0)) + 1).tolist(), len(tokens)]
             for i, j in zip(cuts, cuts[1:]):
-                if last is not None and token[i] != last and carry:
+                if carry and (leads[i], tokens[i]) != (lead, last):
                     yield from done(carry)
                     carry = []
-                last = token[i]
+                if leads[i] != lead or len(seen) > SEEN:
+                    seen.clear()
+                lead, last = leads[i], tokens[i]
                 carry.append([c[i:j] for c in cols])
         if carry:
             yield from done(carry)
 
-    return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long").distinct()
+    # lists of one passage have the same first document: dealt by it, a pair is compared for all of them at once
+    return (lists.select("lead", "token", "doc", "n", "pos", "root", "leader", "dist").repartition("lead")
+            .sortWithinPartitions("lead", "token").mapInArrow(run, "a long, b long").distinct())
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE,
@@ -256,7 +259,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
              .select("token", "doc", "n", "pos", F.coalesce("root", "doc").alias("root"),
                      F.coalesce("leader", "doc").alias("leader"), F.coalesce("dist", F.lit(0.0)).alias("dist")))
     state = written(state, "jaccard_state")
-    mixed = written(state.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("token"), "jaccard_mixed")
+    mixed = (state.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("doc").alias("lead"))
+             .where("x != y").select("token", "lead"))
+    mixed = written(mixed, "jaccard_mixed")
     rest = open_pairs(state.join(mixed, "token"), percent).join(star, ["a", "b"], "left_anti")
     again = verified(written(rest, "jaccard_rest"), reps, src, percent, size)
     roots = components(links.unionByName(linked(again, percent)))
