@@ -110,9 +110,9 @@ class TreeTable:
         escape = sorted({k for _, t in trees for k in t}, key=packed)
         return (order, len(trees),
                 np.array([packed(k) for k in known], dtype=np.uint64),
-                np.array([[cls._bits(k, *t) for t in trees] for k in known]).reshape(-1, len(trees)),
+                np.array([[cls._bits(k, *t) for t in trees] for k in known]).reshape(len(known), len(trees)),
                 np.array([packed(k) for k in escape], dtype=np.uint64),
-                np.array([[t[1].get(k, 0.0) for t in trees] for k in escape]).reshape(-1, len(trees)))
+                np.array([[t[1].get(k, 0.0) for t in trees] for k in escape]).reshape(len(escape), len(trees)))
 
     @staticmethod
     def _bits(key: bytes, known: dict, escape: dict) -> float:
