@@ -82,7 +82,7 @@ def no_broadcast(spark):
 
 
 @pytest.mark.parametrize("name", ["inventory_snapshot", "supplier_performance", "product_movement", "sales_summary",
-                                  "scd2_merge", "scd2_asof_join", "scd2_apply_batch", "line_price_lookup",
+                                  "scd2_asof_join", "scd2_apply_batch", "line_price_lookup",
                                   "kpi_scalars", "clean_products_category_median"])
 def test_large_scale_plans_keep_equi_joins(spark, no_broadcast, name):
     """With nothing small enough to broadcast (as at 100 TB), every join stays a keyed shuffle join."""
