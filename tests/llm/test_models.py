@@ -107,8 +107,8 @@ def test_toxicity_held_out(spark):
 
 def test_toxicity_edges(spark):
     rng = random.Random(2)
-    texts = [" ".join(rng.choice(["calm", "nice", "day", "walk", "tree"]) for _ in range(30)) for _ in range(80)]
-    texts = [t + " you vile vile creature" if i < 40 else t for i, t in enumerate(texts)] + [None, "", " ", "calm " * 20000 + "vile vile vile vile"]
+    texts = [" ".join(rng.choice(["vile"] if i < 40 and k % 6 == 0 else ["word%d" % rng.randrange(300)]) for k in range(30)) for i in range(80)]
+    texts += [None, "", " ", "calm " * 20000 + "vile vile vile vile"]
     docs = frame(spark, texts).withColumnRenamed("lang", "toxic")
     labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, toxic int")
     model = toxic_segments.train(docs, labels)
