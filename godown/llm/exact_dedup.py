@@ -24,8 +24,11 @@ from godown.llm.common import written
 from godown.session import scratch_path
 
 SPACE = r"[\x20\x09-\x0D]+"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; without reserved space, as there are many small stores.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: A digest is hot from this share of all rows on; so at most 1/HOT_SHARE digests are.
 HOT_SHARE = 0.001
 SALTS = 64
@@ -61,15 +64,17 @@ def stream_state(spark: SparkSession, feed_path: str, schema: T.StructType, chec
     keep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "locator")).alias("keep")
     feed = (spark.readStream.schema(schema).option("maxFileAge", "36500d")
             .option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path))
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         q = (feed.groupBy("digest").agg(keep, F.count(F.lit(1)).alias("group_size"))
              .writeStream.format("noop").outputMode("update").trigger(availableNow=True)
              .option("checkpointLocation", checkpoint).start())
         q.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     state = spark.read.format("statestore").load(checkpoint)
     value = [f.name for f in state.schema["value"].dataType.fields]   # the two buffers, in order
     return state.select(F.col("key.digest").alias("digest"),
