@@ -9,7 +9,7 @@ is expected to hold K n exp(-lambda s) segments of score s or more.  Lambda
 solves the Karlin-Altschul equation over the clean token counts, K comes
 from the clean training texts.  A text's score is a logistic function of its
 surprise, lambda s - ln(K n) summed over significant segments, calibrated on
-the training texts.
+the training texts; texts without a significant segment share a base rate.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from godown.llm.common import out_batch, slices, written
 
-#: Labelled documents that are learned from, per class: the first in order of a hash of their id.
-TRAIN_PER_CLASS = 1500
+#: Labelled documents that are learned from, of class 0 and 1: the first in order of a hash of their id.
+TRAIN_PER_CLASS = (4000, 1500)
 #: Weight of the prior (the pooled counts), as a share of all counts.
-PRIOR = 0.1
+PRIOR = 0.05
 #: Tokens whose log-odds are nearer to 0 than this many standard errors score as the drift alone.
 MIN_Z = 2.5
 #: Nor do tokens below this log-odds score: they are chance, or marks of a group of copies.
@@ -161,23 +161,31 @@ def text_surprise(tokens, m: dict) -> float:
 def fit(texts, labels, weights=(1.0, 1.0)) -> dict:
     """The model: log-odds, drift, lambda, K, and the logistic's slope and shift.
 
-    The logistic is fitted on texts scored by log-odds of the other half, so
-    tokens that are toxic by chance don't make it overconfident.
+    Every third text of a class is kept from learning and calibrates the
+    logistic, so tokens that are toxic by chance don't make it overconfident.
     ``weights``: how many rows a row of class 0 / 1 stands for.
     """
     tokens = [[t for t in map(norm, (x or "").split()) if t] for x in texts]
     labels = np.asarray(labels)
-    x = np.zeros(len(tokens))
-    half = np.zeros(len(tokens), dtype=bool)
+    aside = np.zeros(len(tokens), dtype=bool)
     for y in (0, 1):
-        half[np.flatnonzero(labels == y)[::2]] = True
-    for side in (half, ~half):
-        known = [(tokens[i], labels[i]) for i in np.flatnonzero(side)]
-        m = extreme_values(*zip(*known), learn(*zip(*known))) if known else None
-        for i in np.flatnonzero(~side):
-            x[i] = text_surprise(tokens[i], m) if m else -20.0
-    slope, shift = logistic(x, labels, weights)
-    return extreme_values(tokens, labels, learn(tokens, labels)) | {"slope": slope, "shift": shift}
+        aside[np.flatnonzero(labels == y)[2::3]] = True
+    known = [(tokens[i], labels[i]) for i in np.flatnonzero(~aside)]
+    m = extreme_values(*zip(*known), learn(*zip(*known)))
+    x = np.array([text_surprise(tokens[i], m) for i in np.flatnonzero(aside)])
+    y = labels[aside]
+    w = np.where(y == 1, weights[1], weights[0])
+    over = x > 0                          # texts with a significant segment; the others share one base rate
+    base = min(0.49, float((w * y)[~over].sum() / max(w[~over].sum(), 1e-9)))
+    slope, shift = logistic(x[over], y[over], w[over]) if len(set(y[over].tolist())) == 2 else (1.0, 0.0)
+    return m | {"slope": slope, "shift": shift, "base": base}
+
+
+def probability(x: float, m: dict) -> float:
+    """The score of a text with surprise x; never falls as x grows."""
+    if x <= 0:
+        return m["base"] * 2.0 ** (x / 20)
+    return max(m["base"], 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, m["slope"] * x + m["shift"])))))
 
 
 def logistic(x, y, weights, steps: int = 60) -> tuple[float, float]:
@@ -185,8 +193,7 @@ def logistic(x, y, weights, steps: int = 60) -> tuple[float, float]:
     x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
     scale = max(float(np.abs(x).max()), 1.0)
     a = np.stack([x / scale, np.ones(len(x))], axis=1)
-    w = np.where(y > 0, weights[1], weights[0])
-    w = w / w.sum()
+    w = np.asarray(weights) / np.sum(weights)
     b = np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
@@ -195,20 +202,20 @@ def logistic(x, y, weights, steps: int = 60) -> tuple[float, float]:
     return float(b[0] / scale), float(b[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: int = TRAIN_PER_CLASS,
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class: tuple[int, int] = TRAIN_PER_CLASS,
           id_col: str = "doc_id", text_col: str = "text") -> dict | None:
-    """Fit on at most ``per_class`` whole documents of each class; None if a class has none."""
+    """Fit on at most ``per_class[y]`` whole documents of class y; None if a class has none."""
     marked = (labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
               .withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxic"))))
     there = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
-    weights = [max(1.0, there.get(y, 0) / per_class) for y in (0, 1)]
+    weights = [max(1.0, there.get(y, 0) / per_class[y]) for y in (0, 1)]
     ids = None
     for y in (0, 1):
-        part = marked.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class)
+        part = marked.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class[y])
         ids = part if ids is None else ids.unionByName(part)
     ids = written(ids.select("doc_id", "y").distinct(), "toxic_ids")
     sample = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-              .join(F.broadcast(ids), "doc_id").select("y", "doc_id", "text"))     # at most 2 * per_class rows
+              .join(F.broadcast(ids), "doc_id").select("y", "doc_id", "text"))     # at most sum(per_class) rows
     kind = "name string, value double"
 
     def run(table):
@@ -217,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
         if len(set(y)) < 2:
             return pa.table({"name": pa.array([], pa.string()), "value": pa.array([], pa.float64())})
         m = fit(table.column("text").to_pylist(), y, weights)
-        rows = [(" " + k, m[k]) for k in ("drift", "lam", "k", "slope", "shift")] + list(m["scores"].items())
+        rows = [(" " + k, m[k]) for k in ("drift", "lam", "k", "slope", "shift", "base")] + list(m["scores"].items())
         return pa.table({"name": pa.array([r[0] for r in rows]), "value": pa.array([r[1] for r in rows], pa.float64())})
 
     rows = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(run, kind).collect()
@@ -259,8 +266,7 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
                 found = segments(scores) if scores else []
                 base = math.log(max(m["k"] * n, 1e-12)) if n else 0.0
                 spans.append([{"first": a, "end": e, "score": s} for a, e, s in found if m["lam"] * s > base])
-                x = m["slope"] * surprise(found, n, m["lam"], m["k"]) + m["shift"]
-                out.append(1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, x)))))
+                out.append(probability(surprise(found, n, m["lam"], m["k"]), m))
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
             yield out_batch(["doc_id", "score", "passages"], [b.column(0), pa.array(out, pa.float64()), pa.array(spans, kind)])
 
