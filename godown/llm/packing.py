@@ -14,6 +14,8 @@ decreasing row by row, without a shuffle per step.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 
 import numpy as np
@@ -25,31 +27,77 @@ from godown.llm.common import out_batch, slices, written
 
 TABLE_ROWS = 300_000
 #: Rows that share a rank window, about.
-RANK_ROWS = 100_000
+RANK_ROWS = 5_000
 LENGTH_DIGITS = 1 << 40
 
 
+#: How the vocabulary file normalises and splits words.  A file with other settings gets no short cut.
+NORMALIZER = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of these characters need no composition and are lower-cased and split the same way by ``re``.
+PLAIN = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for letters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def cut_ids(enc, n: int, at) -> list[bytes]:
+    """The ids of an encoding as bytes, cut into n parts; ``at``: the part of each token."""
+    raw = np.asarray(enc.ids, dtype="<u4").tobytes()
+    cut = (np.searchsorted(at, np.arange(n + 1)) * 4).tolist()
+    return [raw[a:b] for a, b in zip(cut, cut[1:])]
+
+
 def word_encoder(tokenizer_file: str, table_rows: int = TABLE_ROWS):
-    """words -> {word: its ids as little-endian uint32 bytes}, remembered."""
+    """words -> {word: its ids as little-endian uint32 bytes}, remembered.
+
+    Plain words are lower-cased and split here, and each distinct part is
+    merged once by the library's model; others go through the whole
+    tokenizer.
+    """
     from tokenizers import Tokenizer
 
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = json.load(f)
     tok = Tokenizer.from_file(tokenizer_file)
+    steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    short_cut = steps == NORMALIZER and splits[0].get("pattern") == {"Regex": SPLIT} and splits[-1].get("type") == "ByteLevel"
+    bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+    special = [t["content"] for t in spec["added_tokens"]]
+    letters = byte_letters()
     table: dict[str, bytes] = {}
+    parts: dict[str, bytes] = {}
+
+    def plain(w: str) -> bool:
+        return short_cut and PLAIN.fullmatch(w) is not None and not any(t in w for t in special)
 
     def fill(words) -> dict[str, bytes]:
         new = [w for w in words if w not in table]
         if len(table) + len(new) > table_rows:
             table.clear()
             new = list(words)
-        for i in range(0, len(new), 5000):
-            part = new[i:i + 5000]
-            enc = tok.encode("\n".join(part), add_special_tokens=False)
-            ids = np.asarray(enc.ids, dtype="<u4")
-            at = np.fromiter((o[0] for o in enc.offsets), dtype=np.int64, count=len(ids))
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cut = np.searchsorted(at, ends, side="left") * 4
-            raw = ids.tobytes()
-            table.update(zip(part, (raw[a:b] for a, b in zip([0, *cut.tolist()], cut.tolist()))))
+        easy = [w for w in new if plain(w)]
+        split = [PLAIN_SPLIT.findall(w.lower()) for w in easy]
+        if len(parts) > table_rows:
+            parts.clear()
+        fresh = [p for p in set().union(*split) if p not in parts]
+        for i in range(0, len(fresh), 5000):
+            some = fresh[i:i + 5000]
+            enc = bare.encode(" ".join([p.encode().decode("latin-1").translate(letters) for p in some]), add_special_tokens=False)
+            parts.update(zip(some, cut_ids(enc, len(some), np.asarray(enc.word_ids))))
+        table.update((w, b"".join([parts[p] for p in ps])) for w, ps in zip(easy, split))
+        hard = [w for w in new if w not in table]
+        for i in range(0, len(hard), 5000):
+            some = hard[i:i + 5000]
+            enc = tok.encode("\n".join(some), add_special_tokens=False)
+            at = np.fromiter((o[0] for o in enc.offsets), dtype=np.int64, count=len(enc.ids))
+            table.update(zip(some, cut_ids(enc, len(some), np.searchsorted(np.cumsum([len(w) + 1 for w in some]), at, side="right"))))
         return table
 
     return fill
