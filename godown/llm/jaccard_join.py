@@ -10,13 +10,15 @@ are frequent in a sample of the documents last, so that prefixes avoid them
 Answers come in two passes.  First every set is compared with one
 leader (the smallest id) of its block and of the neighbouring ones: a group of
 near copies costs a pair per member, not all pairs.  Components of what is linked, with each
-set's distance to its leader, then settle most other pairs unseen: sets of
-one component need no comparing, and the distance being a metric, two sets
-whose distances to a common leader differ by more than the threshold can't
-be linked.  Only what is left of the lists is enumerated, skipping blocks
-whose sizes or positions rule a pair out.  Candidates pass a parity-bitmap
-filter (an exact lower bound of the symmetric difference) and are then
-verified on whole sets.
+set's distance to the leader (or a lower bound of it, from the bitmaps), then
+settle most other pairs unseen: sets of one component need no comparing, and
+the distance being a metric, two sets whose distances to a common leader
+differ by more than the threshold can't be linked.  Only what is left of the
+lists is enumerated.  Long lists are cut into chunks, by component and
+distance; two chunks meet in a join if they are not of one component and
+sizes, positions and distances leave a pair open.  Candidates pass a
+parity-bitmap filter (an exact lower bound of the symmetric difference) and
+are then verified on whole sets.
 """
 
 from __future__ import annotations
@@ -38,8 +40,10 @@ SAMPLE = 16
 FREQUENT, LEAST = 1 / 2000, 3
 #: Pairs that a task remembers, so that it doesn't name them again.
 SEEN = 1_000_000
-#: Rows of a list that are compared at once.
+#: Rows of a list that are compared at once; longer lists are cut into chunks of about so many rows.
 BLOCK = 512
+#: Pairs of rows that lists with one leader may bring into a task.
+WORK = 1 << 26
 
 
 def shingle_sets(batch, size: int = SHINGLE):
@@ -131,24 +135,29 @@ def described(src: DataFrame, percent: int, size: int) -> DataFrame:
     return src.mapInArrow(run, "doc_id long, n long, sig_a long, sig_b long, bits binary, prefix array<long>")
 
 
-def verified(pairs: DataFrame, info: DataFrame, src: DataFrame, percent: int, size: int) -> DataFrame:
-    """(a, b, na, nb, common) for ``pairs`` (a, b) that pass the bitmap filter; common counted on whole sets."""
+def tested(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb, apart, close) for ``pairs`` (a, b): the bitmap's bound of the symmetric difference, and whether it leaves a link open."""
     def near(batches):
         for batch in batches:
             na, nb = (batch.column(i).to_numpy() for i in (2, 3))
             d = np.array([bitmap_distance(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], dtype=np.int64)
             # linked: |a ^ b| <= (1 - t) / (1 + t) (na + nb)
             ok = (100 + percent) * d <= (100 - percent) * (na + nb)
-            yield out_batch(["a", "b", "na", "nb"], [batch.column(i).filter(pa.array(ok)) for i in range(4)])
+            yield out_batch(["a", "b", "na", "nb", "apart", "close"], [*(batch.column(i) for i in range(4)), d, ok])
 
+    left = info.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = info.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
+                   .mapInArrow(near, "a long, b long, na long, nb long, apart long, close boolean"), "jaccard_close")
+
+
+def verified(tests: DataFrame, src: DataFrame, size: int) -> DataFrame:
+    """(a, b, na, nb, common) for the ``tests`` that are close; common counted on whole sets."""
     def sets(batches):
         for b in slices(batches):
             yield out_batch(["doc_id", "tokens"], [b.column(0), pa.array([s.view(np.int64) for s in shingle_sets(b.column(1), size)], pa.list_(pa.int64()))])
 
-    left = info.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    right = info.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    close = written(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
-                    .mapInArrow(near, "a long, b long, na long, nb long"), "jaccard_close")
+    close = tests.where("close").select("a", "b", "na", "nb")
     ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     whole = written(src.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, tokens array<long>")
                     .dropDuplicates(["doc_id"]), "jaccard_sets")
@@ -161,61 +170,145 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def open_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of lists (lead, token, doc, n, pos, root, leader, dist): pairs that sizes, positions and distances leave open."""
-    def compare(doc, n, pos, root, leader, dist):
-        order = np.argsort(n, kind="stable")
-        doc, n, pos, root, leader, dist = (v[order] for v in (doc, n, pos, root, leader, dist))
-        blocks = [(i, min(i + BLOCK, len(order))) for i in range(0, len(order), BLOCK)]
-        least = [int(pos[i:j].min()) for i, j in blocks]
-        for x, (i, j) in enumerate(blocks):
-            for y in range(x, len(blocks)):
-                k, m = blocks[y]
-                if percent * n[k] > 100 * n[j - 1]:
-                    break                                  # this block and those behind it are too large
-                if (100 + percent) * min(n[j - 1] - least[x], n[m - 1] - least[y]) < percent * (n[i] + n[k]):
-                    continue                               # no position in the blocks leaves enough in common
-                a, b = slice(i, j), slice(k, m)
-                most = np.minimum((n[a] - pos[a])[:, None], (n[b] - pos[b])[None])
-                ok = (root[a][:, None] != root[b][None]) & ((100 + percent) * most >= percent * (n[a][:, None] + n[b][None]))
-                same = leader[a][:, None] == leader[b][None]
-                ok &= ~(same & (np.abs(dist[a][:, None] - dist[b][None]) > 1 - percent / 100 + 1e-9))
-                p, q = np.nonzero(ok)
-                one, two = doc[a][p], doc[b][q]
-                yield np.minimum(one, two), np.maximum(one, two)
+def open_cells(x, y, percent: int):
+    """(a, b) of rows x and y (doc, n, pos, root, lo, hi) that sizes, positions, components and distances leave open."""
+    far = 1 - percent / 100 + 1e-9
+    for i in range(0, len(x[0]), BLOCK):
+        doc, n, pos, root, lo, hi = (v[i:i + BLOCK, None] for v in x)
+        for j in range(0, len(y[0]), BLOCK):
+            doc_y, n_y, pos_y, root_y, lo_y, hi_y = (v[None, j:j + BLOCK] for v in y)
+            most = np.minimum(n - pos, n_y - pos_y)
+            ok = (root != root_y) & ((100 + percent) * most >= percent * (n + n_y))
+            ok &= (lo_y - hi <= far) & (lo - hi_y <= far)
+            p, q = np.nonzero(ok)
+            one, two = doc[p, 0], doc_y[0, q]
+            yield np.minimum(one, two), np.maximum(one, two)
+
+
+def fresh_pairs(parts, seen: set):
+    """Arrow batches of the pairs that aren't in ``seen``, which takes them in."""
+    for a, b in parts:
+        fresh = list({p for p in zip(a.tolist(), b.tolist()) if p[0] != p[1] and p not in seen})
+        if len(seen) > SEEN:
+            seen.clear()
+        seen.update(fresh)
+        if fresh:
+            yield out_batch(["a", "b"], [np.array(c, np.int64) for c in zip(*fresh)])
+
+
+def short_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of units that have at most BLOCK rows: a unit is compared as it is."""
+    def done(parts, seen):
+        cols = [np.concatenate(c) for c in zip(*parts)]
+        home = ~cols[-1]
+        yield from fresh_pairs(open_cells([c[home] for c in cols[:-1]], cols[:-1], percent), seen)
 
     def run(batches):
         carry: list = []
         seen: set = set()
-        lead = last = None
-
-        def done(parts):
-            for a, b in compare(*[np.concatenate(c) for c in zip(*parts)]):
-                fresh = [p for p in zip(a.tolist(), b.tolist()) if p[0] != p[1] and p not in seen]
-                seen.update(fresh)
-                if fresh:
-                    yield out_batch(["a", "b"], [np.array(c, np.int64) for c in zip(*fresh)])
-
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leads, tokens = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cols = [batch.column(i).to_numpy() for i in range(2, 8)]
-            cuts = [0, *(np.flatnonzero((np.diff(tokens) != 0) | (np.diff(leads) != 0)) + 1).tolist(), len(tokens)]
+            keys = [batch.column(i).to_numpy() for i in range(4)]                 # leader, bucket, token, unit
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4, 11)]
+            cuts = [0, *(np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1).tolist(), batch.num_rows]
             for i, j in zip(cuts, cuts[1:]):
-                if carry and (leads[i], tokens[i]) != (lead, last):
-                    yield from done(carry)
+                key = tuple(k[i] for k in keys)
+                if carry and key != last:
+                    yield from done(carry, seen)
                     carry = []
-                if leads[i] != lead or len(seen) > SEEN:
+                if last is None or key[:2] != last[:2]:
                     seen.clear()
-                lead, last = leads[i], tokens[i]
+                last = key
                 carry.append([c[i:j] for c in cols])
         if carry:
-            yield from done(carry)
+            yield from done(carry, seen)
+
+    # units of one passage have the same leader: dealt by it (and a bucket, if they are much work), a pair is named once for all of them
+    return (rows.select("leader", "bucket", "token", "unit", "doc", "n", "pos", "root", "lo", "hi", "guest").repartition("leader", "bucket")
+            .sortWithinPartitions("leader", "bucket", "token", "unit").mapInArrow(run, "a long, b long"))
+
+
+def long_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of units with more than BLOCK rows, which are cut into chunks; two chunks that may hold a link meet in a join.
+
+    A chunk has rows of like distance to the leader, either of one component
+    or of components with less than BLOCK such rows.  Chunks of the same
+    single component never meet.
+    """
+    far = 1 - percent / 100 + 1e-9
+    unit = ["token", "unit", "guest", "band"]
+    rows = rows.withColumn("band", F.floor(F.col("lo") * 20).cast("int"))
+    pieces = lambda c: F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), c / BLOCK)))).cast("long")  # noqa: E731  alike for lists of like length
+    sums = written(rows.groupBy(*unit, "root").agg(F.count(F.lit(1)).alias("c")), "jaccard_sums")
+    large = sums.where(F.col("c") >= BLOCK).select(*unit, "root", pieces(F.col("c")).alias("own"))
+    pool = sums.where(F.col("c") < BLOCK).groupBy(*unit).agg(pieces(F.sum("c")).alias("pool"))
+    chunk = F.when(F.col("own").isNotNull(), F.xxhash64("band", "root", F.pmod(F.xxhash64("doc"), "own"))).otherwise(
+        F.xxhash64("band", F.lit("pool"), F.pmod(F.xxhash64("root"), F.coalesce("pool", F.lit(1).cast("long")))))
+    sides = (rows.join(large, [*unit, "root"], "left").join(pool, unit, "left").withColumn("chunk", chunk)
+             .groupBy("token", "unit", "guest", "chunk")
+             .agg(F.first("leader").alias("leader"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("n0"), F.max("n").alias("n1"),
+                  F.max(F.col("n") - F.col("pos")).alias("most"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                  F.collect_list(F.struct("doc", "n", "pos", "root", "lo", "hi")).alias("rows")))
+    sides = written(sides, "jaccard_chunks")
+    about = ["chunk", "guest", "r0", "r1", "n0", "n1", "most", "lo", "hi"]
+    x = sides.where("not guest").select("token", "unit", "leader", *(F.col(c).alias("x_" + c) for c in about))
+    y = sides.select("token", "unit", *(F.col(c).alias("y_" + c) for c in about))
+    one = (F.col("x_r0") == F.col("x_r1")) & (F.col("y_r0") == F.col("y_r1")) & (F.col("x_r0") == F.col("y_r0"))
+    meet = (x.join(y, ["token", "unit"]).where(F.col("y_guest") | (F.col("x_chunk") <= F.col("y_chunk"))).where(~one)
+            .where((F.col("y_lo") - F.col("x_hi") <= far) & (F.col("x_lo") - F.col("y_hi") <= far))
+            .where(enough(F.col("x_n0"), F.col("y_n0"), F.least("x_most", "y_most"), percent))
+            .where((F.lit(percent) * F.col("x_n0") <= 100 * F.col("y_n1")) & (F.lit(percent) * F.col("y_n0") <= 100 * F.col("x_n1"))))
+    meet = written(meet.select("token", "unit", "leader", "x_chunk", "y_chunk", "y_guest"), "jaccard_meet")
+    full = (meet.join(sides.where("not guest").select("token", "unit", F.col("chunk").alias("x_chunk"), F.col("rows").alias("x")), ["token", "unit", "x_chunk"])
+            .join(sides.select("token", "unit", F.col("chunk").alias("y_chunk"), F.col("guest").alias("y_guest"), F.col("rows").alias("y")),
+                  ["token", "unit", "y_chunk", "y_guest"]))
+
+    def side(col, k):
+        part = col[k].values
+        return [part.field(i).to_numpy() for i in range(6)]
+
+    def run(batches):
+        seen: set = set()
+        last = None
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            for k, key in enumerate(keys):
+                if key != last:
+                    seen.clear()
+                last = key
+                yield from fresh_pairs(open_cells(side(batch.column(3), k), side(batch.column(4), k), percent), seen)
 
-    # lists of one passage have the same first document: dealt by it, a pair is compared for all of them at once
-    return (lists.select("lead", "token", "doc", "n", "pos", "root", "leader", "dist").repartition("lead")
-            .sortWithinPartitions("lead", "token").mapInArrow(run, "a long, b long").distinct())
+    # the same two chunks of several lists go to one task, which names a pair once
+    return (full.select("leader", "x_chunk", "y_chunk", "x", "y").repartition("leader", "x_chunk", "y_chunk")
+            .sortWithinPartitions("leader", "x_chunk", "y_chunk").mapInArrow(run, "a long, b long"))
+
+
+def open_pairs(state: DataFrame, bounds: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of lists (token, block, doc, n, pos, root): pairs that sizes, positions, components and distances leave open.
+
+    A unit is a size block of a list (home) with the next one (guests), so
+    each two rows that may be linked meet in one unit as home and home or
+    home and guest.  ``bounds`` (a, b, lo, hi) has what is known of the
+    distance between a set and a leader, the smallest home of a unit.
+    """
+    of = lambda: F.explode(F.array(*(F.struct((F.col("block") - k).alias("unit"), F.lit(bool(k)).alias("guest")) for k in (0, 1)))).alias("at")
+    blocks = state.groupBy("token", "block").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("doc").alias("first"), F.count(F.lit(1)).alias("c"))
+    mixed = (blocks.select("token", of(), "x", "y", "first", "c").groupBy("token", F.col("at.unit").alias("unit"))
+             .agg(F.min("x").alias("x"), F.max("y").alias("y"), F.max(F.when(~F.col("at.guest"), F.col("first"))).alias("leader"), F.sum("c").alias("c"))
+             .where("x != y and leader is not null").select("token", "unit", "leader", "c"))
+    mixed = written(mixed, "jaccard_mixed")
+    work = (mixed.where(F.col("c") <= BLOCK).groupBy("leader").agg(F.ceil(F.sum(F.col("c") * F.col("c")) / WORK).alias("tasks")))
+    mixed = mixed.join(work, "leader", "left").withColumn("bucket", F.pmod(F.xxhash64("token"), F.coalesce("tasks", F.lit(1).cast("long")))).drop("tasks")
+    rows = (state.select("token", of(), "doc", "n", "pos", "root").select("token", "at.unit", "at.guest", "doc", "n", "pos", "root")
+            .join(mixed, ["token", "unit"]).withColumn("a", F.least("doc", "leader")).withColumn("b", F.greatest("doc", "leader")).join(bounds, ["a", "b"], "left"))
+    known = lambda c, other: F.when(F.col("doc") == F.col("leader"), 0.0).otherwise(F.coalesce(c, F.lit(other))).alias(c)
+    rows = written(rows.select("leader", "bucket", "token", "unit", "c", "doc", "n", "pos", "root", known("lo", 0.0), known("hi", 1.0), "guest"), "jaccard_units")
+    pairs = short_pairs(rows.where(F.col("c") <= BLOCK), percent)
+    if mixed.where(F.col("c") > BLOCK).isEmpty():
+        return pairs.distinct()
+    return pairs.unionByName(long_pairs(rows.where(F.col("c") > BLOCK), percent)).distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE,
@@ -244,26 +337,20 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     star = (posts.join(leaders, ["token", "block"]).where((F.col("doc") != F.col("l.doc")) & enough(F.col("n"), F.col("l.n"), most, percent))
             .select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b")).distinct())
     star = written(star, "jaccard_star")
-    found = verified(star, reps, src, percent, size)
+    tests = tested(star, reps, percent)
+    found = verified(tests, src, size)
     links = linked(found, percent)
     roots = components(links)
-    # each set's nearest leader: the smallest id it was verified against
+    # distances to leaders: exact ones, and for pairs that the bitmaps tell apart |a ^ b| / |a | b| from their bound of |a ^ b|
     dist = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    to = written(found.select(F.explode(F.array(F.struct(F.col("a").alias("doc"), F.col("b").alias("leader")),
-                                                F.struct(F.col("b").alias("doc"), F.col("a").alias("leader")))).alias("p"), dist.alias("dist"))
-                 .select("p.doc", "p.leader", "dist").where("leader < doc")
-                 .groupBy("doc").agg(F.min(F.struct("dist", "leader")).alias("m"))
-                 .select("doc", F.col("m.leader").alias("leader"), F.col("m.dist").alias("dist")), "jaccard_to")
+    least = 2 * F.col("apart") / (F.col("na") + F.col("nb") + F.col("apart"))
+    bounds = (found.select("a", "b", dist.alias("lo"), dist.alias("hi"))
+              .unionByName(tests.where("not close").select("a", "b", least.alias("lo"), F.lit(1.0).alias("hi"))))
     # pass 2: what is left of lists that still hold more than one component
-    state = (posts.join(roots.withColumnRenamed("node", "doc"), "doc", "left").join(to, "doc", "left")
-             .select("token", "doc", "n", "pos", F.coalesce("root", "doc").alias("root"),
-                     F.coalesce("leader", "doc").alias("leader"), F.coalesce("dist", F.lit(0.0)).alias("dist")))
+    state = posts.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("token", "block", "doc", "n", "pos", F.coalesce("root", "doc").alias("root"))
     state = written(state, "jaccard_state")
-    mixed = (state.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("doc").alias("lead"))
-             .where("x != y").select("token", "lead"))
-    mixed = written(mixed, "jaccard_mixed")
-    rest = open_pairs(state.join(mixed, "token"), percent).join(star, ["a", "b"], "left_anti")
-    again = verified(written(rest, "jaccard_rest"), reps, src, percent, size)
+    rest = open_pairs(state, written(bounds, "jaccard_bounds"), percent).join(star, ["a", "b"], "left_anti")
+    again = verified(tested(written(rest, "jaccard_rest"), reps, percent), src, size)
     roots = components(links.unionByName(linked(again, percent)))
 
     member = (info.select("doc_id", "n", "sig_a", "sig_b").join(classes, ["sig_a", "sig_b", "n"], "left")
