@@ -24,7 +24,7 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 TRACKING = r"^(utm_[^=]*|ref)(=|$)"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*([^"'\s>]+)"""
+REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
 def lower_ascii(c: Column) -> Column:
@@ -78,7 +78,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None,
     url, html = F.col(url_col), F.col(html_col)
     base = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), key_of(url).alias("key"))
     base = base.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    links = pages.select(url.alias("url"), F.explode(F.array(F.regexp_extract(html, CANONICAL, 1), F.regexp_extract(html, REFRESH, 1))).alias("to"))
+    links = pages.select(url.alias("url"), F.explode(F.concat(*(F.regexp_extract_all(html, F.lit(x), F.lit(1)) for x in (CANONICAL, REFRESH)))).alias("to"))
     edges = links.where("to != ''").select(key_of(F.col("url")).alias("a"), key_of(absolute(F.col("to"), F.col("url"))).alias("b"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select(key_of(F.col("src_url")).alias("a"), key_of(F.col("dst_url")).alias("b")))
