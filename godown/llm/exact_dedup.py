@@ -39,15 +39,22 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def with_locator(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, locator): file and row for rows read from files, else the id."""
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                      F.concat(F.lit("id:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("locator"))
+def in_files(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows come straight from files, else written to the shared folder and read again: each row has a file and a number."""
     try:
-        return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                           F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("locator"))
+        docs.select("_metadata.file_path", "_metadata.row_index")
+        return docs
     except AnalysisException:
-        return own
+        return written(docs, "dedup_rows")
+
+
+def locator():
+    return F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("locator")
+
+
+def with_locator(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, locator) of rows read from files; the locator is file and row."""
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), locator())
 
 
 def digest_feed(docs: DataFrame, digest) -> DataFrame:
@@ -113,7 +120,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     digest = digest or (lambda c: F.sha2(c, 256))
-    rows = with_locator(docs, id_col, text_col)
+    rows = with_locator(in_files(docs), id_col, text_col)
     path = scratch_path(spark, "llm", "dedup_feed")
     schema = digest_feed(rows, digest).schema
     digest_feed(rows, digest).write.parquet(path)
@@ -141,10 +148,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops, all columns as they were."""
+    docs = in_files(docs)
     kept = written(exact_dedup(docs, id_col, text_col).where("kept").select("locator"), "dedup_kept")
-    columns = F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("row")
-    try:
-        rows = docs.select(columns, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("locator"))
-    except AnalysisException:
-        rows = docs.select(columns, F.concat(F.lit("id:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("locator"))
+    rows = docs.select(F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("row"), locator())
     return rows.join(kept, "locator", "left_semi").select("row.*")
