@@ -25,6 +25,10 @@ BAND = (0.0005, 0.05)
 #: (bits, draws): sub-lexicons that keep a term with probability 2^-bits; each draw looks at bits of its own.
 RATES = ((0, 1), (2, 2), (4, 6), (5, 6), (6, 6), (7, 6), (8, 6))
 DRAW_BITS = 10
+#: Upper ends of wider bands, as multiples of the band's: a text with too few terms in one takes the next, and all its terms after the last.
+WIDER = (2, 4, 8, 16)
+#: Too few: less than LEAST terms, or than this share of the text's terms.
+LEAST, LEAST_SHARE = 16, 1 / 8
 MOST_BUCKETS = 50_000
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -39,21 +43,29 @@ def slot(h: Column) -> Column:
     return F.pmod(h, F.lit(SLOTS)).cast("int")
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", band=BAND) -> list[int]:
-    """A bit per class, in 64-bit words: set if the class's document frequency lies in the band."""
+def lexicons(docs: DataFrame, text_col: str = "text", band=BAND, wider=WIDER) -> list[list[int]]:
+    """A lexicon for the band and one for each wider band: a bit per class, in 64-bit words, set if the class's document frequency lies in it."""
     n = docs.count()
-    low, high = max(2, math.ceil(band[0] * n)), max(2, math.floor(band[1] * n))
+    low, high = max(2, math.ceil(band[0] * n)), [max(2, math.floor(m * band[1] * n)) for m in (1, *wider)]
     classes = F.array_distinct(F.transform(term_hashes(F.col(text_col)), slot))
     kept = (docs.select(F.explode(classes).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-            .where(F.col("df").between(low, high)).select("s"))
+            .where(F.col("df").between(low, high[-1])).select("s", "df"))
+    bit = F.expr("shiftleft(1L, s % 64)")
     words = (kept.groupBy((F.col("s") / 64).cast("int").alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, s % 64)")).alias("bits")).collect())      # at most SLOTS / 64 rows
-    out = [0] * (SLOTS // 64)
+             .agg(*(F.bit_or(F.when(F.col("df") <= h, bit).otherwise(F.lit(0).cast("long"))).alias(f"bits{i}") for i, h in enumerate(high)))
+             .collect())                                                   # at most SLOTS / 64 rows
+    out = [[0] * (SLOTS // 64) for _ in high]
     for r in words:
-        out[r["w"]] = r["bits"]
+        for i, lex in enumerate(out):
+            lex[r["w"]] = r[f"bits{i}"]
     return out
 
 
+def lexicon(docs: DataFrame, text_col: str = "text", band=BAND) -> list[int]:
+    """The band's lexicon alone."""
+    return lexicons(docs, text_col, band, ())[0]
+
+
 def in_lexicon(h: Column, bits: Column) -> Column:
     return F.getbit(F.get(bits, (slot(h) / 64).cast("int")), slot(h) % 64) == 1
 
@@ -86,13 +98,24 @@ def as_string(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda x: F.lower(F.hex(x))), ".", "-")
 
 
-def fingerprints(docs: DataFrame, lex: list[int], text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``fp``; equal texts have equal fingerprints, null counts as empty."""
-    bits = F.from_json(F.lit(json.dumps(lex)), "array<bigint>")        # folded to a constant
-    terms = docs.withColumn("_terms", term_hashes(F.col(text_col)))
-    kept = F.array_sort(F.filter("_terms", lambda h: in_lexicon(h, bits)))
-    rows = terms.withColumn("_kept", kept)
-    return rows.withColumn("fp", entries(F.col("_terms"), F.col("_kept"))).drop("_terms", "_kept")
+def fingerprints(docs: DataFrame, lex: list, text_col: str = "text") -> DataFrame:
+    """``docs`` with a column ``fp``; equal texts have equal fingerprints, null counts as empty.
+
+    With ``lexicons`` a text that has too few terms in the band takes those
+    of the first wider band that holds enough, or all, so a group of copies
+    that lifts its own terms out of the band keeps its entries.
+    """
+    nested = lex if lex and isinstance(lex[0], list) else [lex]
+    inside = lambda x: F.filter("_terms", lambda h: in_lexicon(h, F.from_json(F.lit(json.dumps(x)), "array<bigint>")))  # noqa: E731  folded to a constant
+    rows = docs.withColumn("_terms", term_hashes(F.col(text_col))).withColumn("_band", inside(nested[0]))
+    kept = F.col("_band")
+    if len(nested) > 1:
+        need = F.greatest(F.lit(float(LEAST)), F.size("_terms") * F.lit(LEAST_SHARE))
+        kept = F.col("_terms")
+        for wide in [*map(inside, nested[:0:-1]), F.col("_band")]:
+            kept = F.when(F.size(wide) >= need, wide).otherwise(kept)
+    rows = rows.withColumn("_kept", F.array_sort(kept))
+    return rows.withColumn("fp", entries(F.col("_terms"), F.col("_kept"))).drop("_terms", "_band", "_kept")
 
 
 def id_buckets(docs: DataFrame, n: int) -> Column:

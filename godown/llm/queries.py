@@ -120,9 +120,9 @@ def op6(spark, sf_dir):
 
 @query("op7_imatch")
 def op7(spark, sf_dir):
-    from godown.llm.imatch import edited_fingerprints, lexicon
+    from godown.llm.imatch import edited_fingerprints, lexicons
     docs = table(spark, sf_dir, "documents")
-    return edited_fingerprints(docs, lexicon(docs))
+    return edited_fingerprints(docs, lexicons(docs))
 
 
 SUBSTRING_SQL = r"""
