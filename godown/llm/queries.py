@@ -180,3 +180,62 @@ def op10(spark, sf_dir):
     from godown.llm.exact_dedup import exact_dedup
     return (exact_dedup(table(spark, sf_dir, "documents"))
             .select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")))
+
+
+NEGATIVE_SQL = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INT AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_lemp_negatives", NEGATIVE_SQL)
+def op11(spark, sf_dir):
+    from godown.llm.common import written
+    from godown.llm.hard_negatives import hard_negatives, integer_rows
+    rows = written(integer_rows(table(spark, sf_dir, "embeddings"), relabel=lambda i, c: F.when(i % 7 == 0, (c + 1) % 10).otherwise(c)),
+                   "negative_rows")
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query("op13_lyndon_runs")
+def op13(spark, sf_dir):
+    from godown.llm.periodic_runs import longest, periodic_runs
+    got = periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    top = longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return got.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def planted_repeats(docs):
+    """(doc_id, text): where crc32(doc_id) % 10 = 0, each word i >= a becomes word a + (i - a) % p; else the text as it is."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"),
+                         F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    a = F.expr("g % n")
+    chosen = chosen.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, a))
+    chosen = chosen.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.concat_ws(" ", F.transform(F.expr("sequence(0L, n - 1)"), lambda i: F.expr("w")[
+        F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")]))
+    return chosen.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), repeated).otherwise(F.col("text")).alias("text"))
