@@ -239,3 +239,9 @@ def planted_repeats(docs):
     repeated = F.concat_ws(" ", F.transform(F.expr("sequence(0L, n - 1)"), lambda i: F.expr("w")[
         F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")]))
     return chosen.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_wrapper_text")
+def op12(spark, sf_dir):
+    from godown.llm.html_wrappers import main_text
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
