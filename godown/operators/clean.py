@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import first_row_flag, lenient_cast, quote
-from godown.operators.quantiles import group_quantiles, percentile_value
+from godown.operators.quantiles import group_quantiles, quantile_values
 from godown.schemas import (INGEST_TS, INVENTORY, LINEAGE, ORDERS, PRODUCTS, SALES, SOURCE_FILE,
                             WAREHOUSE, FeedSpec)
 
@@ -85,15 +85,14 @@ def dedupe_rows(df: DataFrame, ignore=LINEAGE) -> DataFrame:
 def impute_median(df: DataFrame, c: str, by: str | None = None, approx: bool = False) -> DataFrame:
     """Fill NULLs of ``c`` with the median (3.7), or the median per group (3.8).
 
-    Exact and with bounded memory, or with ``approx=True`` a sketch value
-    with relative rank error 0.01 (7.8, 7.9).  Global: a scalar subquery,
-    evaluated once.  Per group: one row per group, joined back (AQE
-    broadcasts it when it is small).
+    Exact and with bounded memory, from a written table of values and counts,
+    or with ``approx=True`` a sketch value with relative rank error 0.01 (7.8,
+    7.9).  Global: a constant.  Per group: one row per group, joined back.
     """
     method = "approx" if approx else "exact"
     kind = df.schema[c].dataType
     if by is None:
-        return df.withColumn(c, F.coalesce(F.col(c), percentile_value(df, c, 0.5, method).cast(kind)))
+        return df.withColumn(c, F.coalesce(F.col(c), quantile_values(df, c, [0.5], method)[0].cast(kind)))
     med = group_quantiles(df, c, 0.5, by, method).select(F.col("g").alias("_g"), F.col("q").alias("_median"))
     out = df.join(med, F.col(by).eqNullSafe(F.col("_g")), "left")
     return out.withColumn(c, F.coalesce(F.col(c), F.col("_median").cast(kind))).select(*df.columns)

@@ -1,26 +1,20 @@
-"""Joins of a fact with a dimension whose key may be hot.
-
-AQE splits a skewed sort-merge-join partition only when both join inputs
-are plain shuffles made for the join.  When the dimension side arrives
-already partitioned by the key (it was built by a window or an aggregate
-on that key, e.g. a type-2 history or a deduplicated product table), the
-join reuses that partitioning and AQE cannot split a hot key: one task
-would receive every fact row of a key that holds a third of the table.
-
-``salted_join`` spreads such keys explicitly:
-
-1. Hot keys are detected on a hash-chosen sample of the fact (detection
-   only; every fact row takes part in the join).  Hot is a key that holds at
-   least ``hot_share`` of the sample, so there are at most ``1 / hot_share``
-   and their table is broadcast.
-2. Fact rows of a hot key get a salt ``0 .. salts-1`` from a hash of the
-   row; other rows get salt 0.
-3. Dimension rows of a hot key are repeated once per salt; others once.
-4. The join runs on (key, salt) plus the residual condition.
-
-Each fact row still meets exactly the dimension rows of its key, so the
-result equals the plain join; only the hot keys' dimension rows are
-replicated, ``salts`` times.
+"""Joins and windows over a fact whose key may be hot.
+
+``split_join`` leaves hot keys to Spark at run time.  AQE splits a skewed
+partition of a sort-merge join only when both inputs are shuffled for that
+join.  A dimension that comes out of a window or an aggregate on its key (a
+type-2 history, deduplicated products) is partitioned already and would be
+used as it is; then a key that holds a third of the fact lands in one task.
+A second join column makes both sides be dealt anew: a constant that is
+computed from the key, so that the optimizer can't drop it.  AQE then reads
+the measured sizes: a small dimension is broadcast, a skewed partition is cut
+by the fact's map outputs and the dimension's part repeated for each cut.
+The fact is evaluated once, no sample or salt is needed, and nothing about
+the result depends on it.
+
+A window can't be split that way.  ``hot_salts`` finds its heavy keys with a
+mergeable sketch over the key columns only (``approx_top_k``: at most ``TOP``
+keys) and says over how many salts the rows of each should go.
 """
 
 from __future__ import annotations
@@ -28,71 +22,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DEAL = "_deal"
 SALT = "_salt"
-HOT = "_hot"
+#: Keys that can be hot, and items that the sketch tracks for them.
+TOP, TRACKED = 1_000, 10_000
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """A hash of each row's hashable columns (map columns cannot be hashed)."""
-    cols = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
-    return F.xxhash64(*cols)
+def _as_list(keys) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
 
 
-def hot_keys(fact: DataFrame, keys, sample_fraction: float = 0.01, hot_share: float = 0.001) -> DataFrame:
-    """The keys with at least ``hot_share`` of a sample's rows; at most ``1 / hot_share`` rows.
+def _deal(keys) -> Column:
+    """0 for every key, but only known when the key is."""
+    return F.hash(*keys).bitwiseAND(F.lit(0))
 
-    The sample is chosen by a hash of each row's values, not by a random
-    draw, so a recomputed task (lost executor, second use of the plan)
-    picks the same rows and the same hot keys.
-    """
-    if sample_fraction >= 1.0:
-        sample = fact.select(*keys)
-    else:
-        every = max(1, int(round(1.0 / sample_fraction)))
-        pick = F.pmod(_row_hash(fact), F.lit(every)) == 0
-        sample = fact.where(pick).select(*keys)
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    counts = sample.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = sample.where(present).agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_n") >= total * F.lit(hot_share)).select(*keys, F.lit(True).alias(HOT))
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "left", residual: Column | None = None,
-                dim_keys=None, salts: int = 16, sample_fraction: float = 0.01,
-                hot_share: float = 0.001) -> DataFrame:
-    """``fact JOIN dim ON fact.keys = dim.dim_keys [AND residual]`` with hot keys salted.
-
-    ``how`` is ``inner`` or ``left`` (fact rows are never multiplied or
-    lost by the salting).  ``dim_keys`` names the dimension's key columns
-    when they differ from the fact's; they are dropped from the output.
+
+def split_join(fact: DataFrame, dim: DataFrame, keys, how: str = "left", residual: Column | None = None,
+               dim_keys=None) -> DataFrame:
+    """``fact JOIN dim ON fact.keys = dim.dim_keys [AND residual]``, hot keys of the fact split at run time.
+
+    ``how`` is ``inner`` or ``left``.  ``dim_keys`` names the dimension's key
+    columns when they differ from the fact's; they are dropped.  A NULL key
+    matches nothing.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    dim_keys = keys if dim_keys is None else ([dim_keys] if isinstance(dim_keys, str) else list(dim_keys))
+    keys = _as_list(keys)
+    dim_keys = keys if dim_keys is None else _as_list(dim_keys)
     if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(fact, keys, sample_fraction, hot_share))
-
-    row_hash = _row_hash(fact)
-    f = (fact.join(hot, keys, "left")
-         .withColumn(SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-         .drop(HOT))
-    hot_d = hot.select(*[F.col(k).alias(d) for k, d in zip(keys, dim_keys)], HOT)
-    d = (dim.join(hot_d, dim_keys, "left")
-         .withColumn(SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                     .otherwise(F.array(F.lit(0)))))
-         .drop(HOT)
-         .withColumnRenamed(SALT, "_dim_salt"))
-    cond = [F.col(k) == F.col(d_) for k, d_ in zip(keys, dim_keys)] if dim_keys != keys else None
-    if cond is None:
-        # same key names: rename the dimension's copies to keep both sides addressable
-        d = d.select(*[F.col(c).alias(f"_dim_{c}") if c in keys else F.col(c) for c in d.columns])
-        cond = [F.col(k) == F.col(f"_dim_{k}") for k in keys]
-        drop = [f"_dim_{k}" for k in keys]
-    else:
-        drop = list(dim_keys)
-    cond.append(F.col(SALT) == F.col("_dim_salt"))
+        raise ValueError("split_join supports inner and left joins")
+    mine = [f"_dim_{k}" for k in dim_keys]
+    d = dim.select(*[F.col(c).alias(f"_dim_{c}") if c in dim_keys else F.col(c) for c in dim.columns])
+    d = d.withColumn(f"_dim{DEAL}", _deal(mine))
+    cond = F.col(DEAL) == F.col(f"_dim{DEAL}")
+    for k, m in zip(keys, mine):
+        cond = cond & (F.col(k) == F.col(m))
     if residual is not None:
-        cond.append(residual)
-    return f.join(d, cond, how).drop(SALT, "_dim_salt", *drop)
+        cond = cond & residual
+    return fact.withColumn(DEAL, _deal(keys)).join(d, cond, how).drop(DEAL, f"_dim{DEAL}", *mine)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of each row's hashable columns (map columns cannot be hashed)."""
+    return F.xxhash64(*[F.col(c) for c, t in df.dtypes if not t.startswith("map")])
+
+
+def hot_salts(df: DataFrame, keys, partitions: int | None = None) -> DataFrame:
+    """(_key, _salts): hashes of keys with more than one partition's share of the rows, and over how many salts to deal them.
+
+    One pass over the key columns with partial aggregation; at most ``TOP``
+    rows, so it may be broadcast.  ``partitions`` defaults to the number of
+    shuffle partitions.  A recomputed task finds the same keys.
+    """
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = (df.select(F.xxhash64(*_as_list(keys)).alias("_key"))
+           .agg(F.expr(f"approx_top_k(_key, {TOP}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")))
+    share = F.col("t.count") / F.col("n") * p
+    return (top.select("n", F.explode("top").alias("t")).where(share > 1)
+            .select(F.col("t.item").alias("_key"), F.ceil(share).cast("int").alias("_salts")))
+
+
+def dealt(df: DataFrame, keys, hot: DataFrame, by: Column) -> DataFrame:
+    """Adds SALT: 0, or for a hot key one of its salts, by the hash ``by``."""
+    out = df.withColumn("_key", F.xxhash64(*_as_list(keys))).join(F.broadcast(hot), "_key", "left")
+    return out.withColumn(SALT, F.when(F.col("_salts") > 0, F.pmod(by, F.col("_salts"))).otherwise(0).cast("int")).drop("_key", "_salts")
+
+
+def repeated(df: DataFrame, keys, hot: DataFrame) -> DataFrame:
+    """Adds SALT: every row once, rows of a hot key once per salt."""
+    out = df.withColumn("_key", F.xxhash64(*_as_list(keys))).join(F.broadcast(hot), "_key", "left")
+    return out.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_key", "_salts")

@@ -1,13 +1,18 @@
 """Quantiles of a column, global or per group (3.7, 3.8, 7.7 - 7.9).
 
 ``exact`` is the interpolated quantile at position ``p * (n - 1)`` between
-two order statistics, with bounded memory whatever the ties: rows become
-(group, value, count) first, so a value or a group that holds most rows
-costs one row per task; a sketch whose rank error is a guarantee brackets
-the target rank in ``[lo, hi]``; distinct values below are summed, and only
-the distinct values inside the bracket (about ``4 n / accuracy`` of them)
-are ordered.  ``approx`` is ``percentile_approx``: an existing value within
-rank error ``1 / accuracy``.
+two order statistics.  The input is evaluated once for any number of
+quantiles: rows become (group, value, count), which cuts ties and hot groups
+to one row per task and value, and that table is written.  All further steps
+read it.  Each wanted rank starts with the whole value range as its bracket.
+While a bracket holds more than ``SMALL`` distinct values, a round cuts it
+into ``SLICES`` parts of about as many distinct values each (a small
+sketch says where; it only routes), adds up the counts per part, and keeps
+the parts that hold the rank.  So no task sorts more than ``SMALL`` values,
+and twelve digits of distinct values need some three rounds.
+
+``approx`` is ``percentile_approx``: an existing value within rank error
+``1 / accuracy``.
 """
 
 from __future__ import annotations
@@ -15,64 +20,88 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from godown.operators.joins import salted_join
-
-SKETCH = 1_000_000
-
-
-def _pick(ranked: DataFrame, by: list[str], pos: Column) -> DataFrame:
-    """The two order statistics around ``pos`` from rows (x, w = copies, upto = copies up to x, below), interpolated."""
-    last = F.coalesce("below", F.lit(0)) + F.col("upto") - 1
+from godown.operators.joins import split_join
+from godown.session import written
+
+#: Distinct values that one task may order, and parts that a round makes of a bracket.
+SMALL = 200_000
+SLICES = 64
+
+
+def value_counts(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
+    """(g, k, x, w): how often each value occurs per group, written; ``k`` tells groups apart, NULL too."""
+    g = F.lit(None).cast("string") if by is None else F.col(by)
+    x = df.select(g.alias("g"), F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
+    counts = x.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"))
+    return written(counts.select("g", F.to_json(F.struct("g")).alias("k"), "x", "w"), "value_counts")
+
+
+def _inside(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    """The values of each bracket."""
+    at = (F.col("x") >= F.coalesce("lo", "x")) & (F.col("x") <= F.coalesce("hi", "x"))
+    return split_join(values, brackets, "k", "inner", residual=at)
+
+
+def _narrowed(values: DataFrame, brackets: DataFrame, slices: int) -> DataFrame:
+    """One round: each bracket shrunk to the parts that hold its two order statistics."""
+    near = _inside(values, brackets)
+    probs = F.array(*[F.lit(s / slices) for s in range(1, slices)])
+    cuts = near.groupBy("k", "i").agg(F.percentile_approx("x", probs, 16 * slices).alias("cuts"))
+    part = F.size(F.filter("cuts", lambda s: s < F.col("x")))
+    parts = (near.join(cuts, ["k", "i"]).groupBy("k", "i", part.alias("part"))
+             .agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("rows"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+                  F.first("pos").alias("pos"), F.first("below").alias("below")))
+    before = Window.partitionBy("k", "i").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("first", F.col("below") + F.coalesce(F.sum("w").over(before), F.lit(0)))
+    holds = (F.col("first") <= F.ceil("pos")) & (F.col("first") + F.col("w") > F.floor("pos"))
+    return (parts.where(holds).groupBy("k", "i")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("below"),
+                 F.first("pos").alias("pos"), F.sum("rows").alias("rows")))
+
+
+def exact_quantiles(df: DataFrame, c: str, probs, by: str | None = None, small: int | None = None,
+                    slices: int | None = None) -> DataFrame:
+    """(g, q): the exact interpolated quantiles of ``c`` (an array as long as ``probs``) per value of ``by``; NULL is a group like others.
+
+    A group without values has no row; a table without values gives none.
+    """
+    small, slices = small or SMALL, slices or SLICES
+    values = value_counts(df, c, by)
+    total = values.groupBy("k").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("g", True).alias("g"))
+    wanted = F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("i", "p")
+    start = total.select("k", "n", "rows", wanted)
+    brackets = written(start.select("k", "i", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+                                    F.lit(0).cast("long").alias("below"), (F.col("p") * (F.col("n") - 1)).alias("pos"), "rows"),
+                       "value_brackets")
+    while (brackets.agg(F.max("rows")).first()[0] or 0) > small:
+        wide = _narrowed(values, brackets.where(F.col("rows") > small), slices)
+        brackets = written(wide.unionByName(brackets.where(F.col("rows") <= small)), "value_brackets")
+    ranked = _inside(values, brackets).withColumn("upto", F.sum("w").over(Window.partitionBy("k", "i").orderBy("x")))
+    last = F.col("below") + F.col("upto") - 1
     first = last - F.col("w") + 1
-    v0 = F.max(F.when((first <= F.floor(pos)) & (F.floor(pos) <= last), F.col("x")))
-    v1 = F.max(F.when((first <= F.ceil(pos)) & (F.ceil(pos) <= last), F.col("x")))
-    return (ranked.groupBy(*by).agg(v0.alias("v0"), v1.alias("v1"), F.max(pos).alias("pos"))
-            .select(*by, (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))).alias("q")))
-
-
-def _ends(p: float, accuracy: int) -> Column:
-    margin = 2.0 / accuracy
-    return F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
-
-
-def exact_quantile(df: DataFrame, c: str, p: float, accuracy: int = SKETCH) -> Column:
-    """The exact interpolated quantile of the whole column, as a scalar subquery."""
-    x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-    stats = x.agg(F.struct(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", _ends(p, accuracy), accuracy).alias("b"))).scalar()
-    lo, hi = stats["b"][0], stats["b"][1]
-    values = x.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    below = values.where(F.col("x") < lo).agg(F.sum("w")).scalar()
-    band = values.where((F.col("x") >= lo) & (F.col("x") <= hi))          # distinct values of the bracket only
-    ranked = band.withColumn("upto", F.sum("w").over(Window.orderBy("x"))).withColumn("below", below)
-    return _pick(ranked, [], (stats["n"] - 1) * F.lit(p)).scalar()
-
-
-def exact_quantiles(df: DataFrame, c: str, p: float, by: str, accuracy: int = SKETCH) -> DataFrame:
-    """(g, q): the exact interpolated quantile of ``c`` per value of ``by``; NULL is a group like others."""
-    x = df.select(F.col(by).alias("g"), F.to_json(F.struct(F.col(by).alias("g"))).alias("k"), F.col(c).cast("double").alias("x"))
-    x = x.where(F.col("x").isNotNull())
-    stats = x.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", _ends(p, accuracy), accuracy).alias("b"))
-    values = x.groupBy("g", "k", "x").agg(F.count(F.lit(1)).alias("w"))
-    near = salted_join(values, stats, "k", "inner")                       # few groups may hold all values
-    below = near.where(F.col("x") < F.col("b")[0]).groupBy("k").agg(F.sum("w").alias("below"))
-    band = near.where((F.col("x") >= F.col("b")[0]) & (F.col("x") <= F.col("b")[1]))
-    ranked = band.withColumn("upto", F.sum("w").over(Window.partitionBy("k").orderBy("x"))).join(below, "k", "left")
-    return _pick(ranked, ["k", "g"], (F.col("n") - 1) * F.lit(p)).select("g", "q")
+    at = lambda pos: F.max(F.when((first <= pos) & (pos <= last), F.col("x")))
+    ends = ranked.groupBy("k", "i").agg(at(F.floor("pos")).alias("v0"), at(F.ceil("pos")).alias("v1"), F.max("pos").alias("pos"),
+                                        F.first("g", True).alias("g"))
+    q = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))
+    each = ends.groupBy("k").agg(F.first("g", True).alias("g"), F.array_sort(F.collect_list(F.struct("i", q.alias("q")))).alias("q"))
+    return each.select("g", F.transform("q", lambda s: s["q"]).alias("q"))
 
 
 def group_quantiles(df: DataFrame, c: str, p: float, by: str, method: str = "exact", accuracy: int = 100) -> DataFrame:
     """(g, q) per value of ``by``."""
     if method == "exact":
-        return exact_quantiles(df, c, p, by)
+        return exact_quantiles(df, c, [p], by).select("g", F.col("q")[0].alias("q"))
     if method == "approx":
         return df.groupBy(F.col(by).alias("g")).agg(F.percentile_approx(c, p, accuracy).alias("q"))
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def percentile_value(df: DataFrame, c: str, p: float, method: str = "exact", accuracy: int = 100) -> Column:
-    """The quantile of the whole column as a scalar-subquery Column."""
+def quantile_values(df: DataFrame, c: str, probs, method: str = "exact", accuracy: int = 100) -> list[Column]:
+    """Quantiles of the whole column, one Column each: constants (``exact``, worked out now), or a scalar subquery."""
     if method == "exact":
-        return exact_quantile(df, c, p)
+        row = exact_quantiles(df, c, probs).first()               # one row
+        return [F.lit(None if row is None else q).cast("double") for q in (row.q if row else [None] * len(probs))]
     if method == "approx":
-        return df.agg(F.percentile_approx(c, p, accuracy).alias("q")).scalar()
+        cuts = df.agg(F.percentile_approx(c, F.array(*[F.lit(float(p)) for p in probs]), accuracy).alias("q")).scalar()
+        return [cuts[i] for i in range(len(probs))]
     raise ValueError(f"unknown quantile method {method!r}")

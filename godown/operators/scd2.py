@@ -36,9 +36,12 @@ from pyspark.sql import functions as F
 
 from godown.functions.exprs import first_row_flag, quote
 from godown.operators import quality
-from godown.operators.joins import salted_join
+from godown.operators.joins import SALT, dealt, hot_salts, repeated, row_hash
+from godown.session import written
 
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
+#: Rows with a NULL key match no version; an as-of join deals them over so many groups.
+NULL_SALTS = 4096
 
 
 def _order(df: DataFrame, tie, exclude) -> list[str]:
@@ -200,31 +203,38 @@ def apply_batch(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=
     return rest.unionByName(replayed)
 
 
-def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix: str = "",
-              salts: int = 16) -> DataFrame:
+def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix: str = "") -> DataFrame:
     """5.8: attach the version valid at ``fact_date`` to every fact row.
 
-    Equi-join on the key with the validity interval as a residual
-    condition; left join, so facts before the first version keep NULLs.
-    Zero-length versions (start = end) can never match and are dropped
-    first.  The history arrives partitioned by the key (its windows), so
-    AQE could not split a hot key of the fact side; the join is therefore
-    salted for the most frequent keys (``godown.operators.joins``).
-    ``salts=1`` turns salting off.  No row is dropped either way.
+    A merge, not a join: facts and versions are stacked, and along each key
+    by date the last version start goes forward to the facts behind it.  The
+    work is linear in facts and versions, however many versions a key has.
+    Facts before the first version, in a gap, with a NULL key or without a
+    date keep NULLs.  Zero-length versions can't be valid and are dropped.
+
+    Facts of a hot key are dealt over salts, each with a copy of the key's
+    versions; the hot keys come from a sketch of the key columns only
+    (``joins.hot_salts``).  NULL keys match nothing and are dealt like hot ones.
     """
     key = [key] if isinstance(key, str) else list(key)
     attrs = [c for c in history.columns if c not in key and c not in (END, CURRENT)]
-    h = history.where(F.col(END).isNull() | (F.col(END) > F.col(START)))
-    h = h.select(*[F.col(k).alias(f"_h_{k}") for k in key],
-                 *[F.col(c).alias(prefix + c) for c in attrs],
-                 F.col(START).alias("_h_start"), F.col(END).alias("_h_end"))
-    valid = (F.col(fact_date) >= F.col("_h_start")) & (F.col("_h_end").isNull() | (F.col(fact_date) < F.col("_h_end")))
-    if salts > 1:
-        out = salted_join(fact, h, key, "left", residual=valid, dim_keys=[f"_h_{k}" for k in key], salts=salts)
-    else:
-        cond = [F.col(k) == F.col(f"_h_{k}") for k in key] + [valid]
-        out = fact.join(h, cond, "left").drop(*[f"_h_{k}" for k in key])
-    return out.drop("_h_start", "_h_end")
+    hot = written(hot_salts(fact, key), "hot_salts")           # at most joins.TOP rows
+    null_key = F.lit(False)
+    for k in key:
+        null_key = null_key | F.col(k).isNull()
+    h = history.where(F.col(END).isNull() | (F.col(END) > F.col(START))).where(~null_key)
+    version = F.struct(*[F.col(c).alias(prefix + c) for c in attrs], F.col(END).alias("_end"))
+    versions = repeated(h.select(*key, F.col(START).alias("_at"), version.alias("_version")), key, hot)
+    row = F.struct(*[F.col(c) for c in fact.columns])
+    facts = dealt(fact.withColumn("_hash", row_hash(fact)), key, hot, F.col("_hash"))
+    facts = facts.withColumn(SALT, F.when(null_key, F.pmod("_hash", F.lit(NULL_SALTS)).cast("int")).otherwise(F.col(SALT)))
+    facts = facts.select(*key, SALT, F.col(fact_date).alias("_at"), row.alias("_fact"))
+    both = facts.unionByName(versions, allowMissingColumns=True)
+    along = Window.partitionBy(*key, SALT).orderBy(F.asc_nulls_first("_at"), F.col("_fact").isNotNull())
+    last = F.last("_version", True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = both.withColumn("_last", last).where(F.col("_fact").isNotNull())
+    valid = F.col("_last._end").isNull() | (F.col("_at") < F.col("_last._end"))
+    return out.withColumn("_last", F.when(valid, F.col("_last"))).select("_fact.*", *[F.col(f"_last.{prefix}{c}") for c in attrs])
 
 
 def current_count(history: DataFrame) -> DataFrame:

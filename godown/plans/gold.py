@@ -10,10 +10,9 @@ products, warehouses and the current suppliers):
 * No broadcast hint is put on data-derived dimensions: AQE turns a join
   into a broadcast join only when the measured shuffle output is below
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
-  sort-merge join.  A dimension that comes out of a dedupe window is
-  partitioned by its key already, and AQE can't split such a join: the
-  un-aggregated fact of G1 is therefore salted (``operators/joins``).
-* Quantile cuts are one-row aggregates used as scalar subqueries.
+  sort-merge join.  The un-aggregated fact of G1 meets its dimensions by
+  ``split_join`` (``operators/joins``), so AQE can split a hot product.
+* Quantile cuts come from a written table of values and counts; both at once.
 * Results are not globally sorted; ``ORDERING`` states the presentation
   order for readers (top-n reads use ``orderBy().limit()``).
 """
@@ -24,8 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE, classify_movement, growth_pct, month_bucket
-from godown.operators.joins import salted_join
-from godown.operators.quantiles import percentile_value
+from godown.operators.joins import split_join
+from godown.operators.quantiles import quantile_values
+from godown.session import written
 
 # Presentation order of each Gold table (descending measure, key as tie-break).
 ORDERING = {
@@ -52,8 +52,8 @@ def inventory_snapshot(inventory: DataFrame, products: DataFrame, warehouse: Dat
     """G1: stock per product and warehouse with its value."""
     p = products.select("product_id", "product_name", "category", "unit_price")
     w = warehouse.select("warehouse_id", "warehouse_name")
-    # both dimensions arrive partitioned by their key (a dedupe window), which AQE can't split
-    return (salted_join(salted_join(inventory, p, "product_id"), w, "warehouse_id")
+    # both dimensions arrive partitioned by their key (a dedupe window)
+    return (split_join(split_join(inventory, p, "product_id"), w, "warehouse_id")
             .select("inventory_id", "product_id", "product_name", "category",
                     "warehouse_id", "warehouse_name", "quantity_on_hand", "reorder_threshold",
                     (F.col("quantity_on_hand") * F.col("unit_price")).alias("stock_value"),
@@ -125,21 +125,18 @@ def movement_base(sales: DataFrame) -> DataFrame:
 
 
 def movement_cuts(base: DataFrame, approx: bool = False):
-    """Cuts at the 0.66 and 0.33 quantile of units sold, as scalar subqueries."""
-    if approx:
-        probs = F.array(F.lit(FAST_QUANTILE), F.lit(SLOW_QUANTILE))
-        cuts = base.agg(F.percentile_approx("total_units_sold", probs, 100).alias("cuts")).scalar()
-        return cuts[0], cuts[1]
-    return percentile_value(base, "total_units_sold", FAST_QUANTILE), percentile_value(base, "total_units_sold", SLOW_QUANTILE)
+    """Cuts at the 0.66 and 0.33 quantile of units sold."""
+    return quantile_values(base, "total_units_sold", [FAST_QUANTILE, SLOW_QUANTILE], "approx" if approx else "exact")
 
 
 def product_movement(sales: DataFrame, products: DataFrame, approx: bool = False) -> DataFrame:
     """G4: units, revenue and a fast/medium/slow class per product.
 
     Exact interpolated quantiles by default (the reference's golden
-    values); ``approx=True`` uses a 0.01 rank-error sketch instead.
+    values); ``approx=True`` uses a 0.01 rank-error sketch instead.  The
+    totals per product are written, so the sales are read once.
     """
-    base = movement_base(sales)
+    base = written(movement_base(sales), "movement_base")
     fast, slow = movement_cuts(base, approx)
     p = products.select("product_id", "product_name", "category")
     return (base.join(p, "product_id", "left")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from godown.operators import clean, scd2
 from godown.plans import gold
 from godown.schemas import INGEST_TS, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS, SUPPLIER_TRACKED, SUPPLIERS
+from godown.session import written
 from godown.sources import feeds
 
 
@@ -86,8 +87,8 @@ class Layers:
         return gold.sales_trends(self.sales)
 
     def movement_and_trends(self) -> tuple[DataFrame, DataFrame]:
-        """G4 and G6 from one pass over the sales: deduplicated once, summed per product and month."""
-        monthly = gold.sales_by_product_month(self.sales)
+        """G4 and G6 from one pass over the sales: deduplicated once, summed per product and month, written."""
+        monthly = written(gold.sales_by_product_month(self.sales), "sales_by_product_month")
         return gold.product_movement(monthly, self.products), gold.sales_trends(monthly)
 
     def gold_tables(self) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from godown.oracle import LINEAGE_ORDER, first_per, with_ctes
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
 from godown.schemas import FEEDS, PRODUCTS
+from godown.session import written
 
 
 @query("clean_products", with_ctes("SELECT * FROM s_products"))
@@ -29,7 +30,7 @@ def q_clean_products_approx_median(spark, sf_dir):
     """D1 option: is the imputed price an existing one, within rank error 0.01 of the median?  Over all products."""
     raw = Layers(spark, sf_dir).raw("products")
     known = clean.clean_feed(raw, PRODUCTS).select("product_id", F.col("unit_price").alias("known"))
-    both = clean.clean_products(raw, approx=True).join(known, "product_id")
+    both = written(clean.clean_products(raw, approx=True).join(known, "product_id"), "approx_median")
     filled = F.when(F.col("known").isNull(), F.col("unit_price"))
     cut = both.agg(F.max(filled)).scalar()
     n = F.count("known")

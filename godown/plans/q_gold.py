@@ -9,6 +9,7 @@ from godown.oracle import rnd, with_ctes
 from godown.plans import gold
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
+from godown.session import written
 
 INVENTORY_SNAPSHOT_SQL = """
 SELECT i.inventory_id, i.product_id, p.product_name, p.category, i.warehouse_id, w.warehouse_name,
@@ -100,7 +101,7 @@ def q_product_movement(spark, sf_dir):
                                            "WHERE (SELECT count(*) FROM g_move_base) > 0"))
 def q_product_movement_approx(spark, sf_dir):
     """7.8: are the sketch's cuts of G4 within rank error 0.01 of the exact rank?  Counted over all products."""
-    base = gold.movement_base(Layers(spark, sf_dir).sales)
+    base = written(gold.movement_base(Layers(spark, sf_dir).sales), "movement_base")
     fast, slow = gold.movement_cuts(base, approx=True)
     cuts = base.select("total_units_sold", fast.alias("fast"), slow.alias("slow"))
     units, n = F.col("total_units_sold"), F.count(F.lit(1))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from godown.oracle import LINEAGE_ORDER, TS_RUN, first_per, rnd, with_ctes
 from godown.operators import clean
-from godown.operators.joins import salted_join
+from godown.operators.joins import split_join
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
 from godown.schemas import (FEEDS, INGEST_TS, LINEAGE, ORDERS, SALES, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS,
@@ -296,9 +296,8 @@ def q_line_price_lookup(spark, sf_dir):
     qty = (F.lit(1) + F.pmod(F.col("_i") * 17, F.lit(GEN_MAX_QTY))).cast("int")
     price = F.coalesce(F.col("unit_price"), F.lit(GEN_DEFAULT_PRICE))
     gen = li.select(i.alias("_i"), F.col("l_partkey").alias("product_id"))
-    # the deduplicated products arrive partitioned by product_id, so a hot
-    # product is salted explicitly rather than left to AQE (see operators/joins.py)
-    return (salted_join(gen, products, "product_id", "left")
+    # the deduplicated products arrive partitioned by product_id (see operators/joins.py)
+    return (split_join(gen, products, "product_id", "left")
             .select(F.format_string("SALE%08d", F.col("_i")).alias("sale_id"),
                     "product_id",
                     F.element_at(F.array(*[F.lit(w) for w in GEN_WAREHOUSES]),

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library should run with.  Shuffle
 # partition count is left to the caller / cluster; AQE coalesces small
@@ -81,3 +81,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique (not yet existing) folder under the checkpoint root for one run."""
     return "/".join([checkpoint_root(spark), "godown", *parts, uuid.uuid4().hex[:12]])
+
+
+def written(df: DataFrame, *name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: evaluated once, and its lineage ends here."""
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, *name)
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ STATEFUL = {"bronze_batch_lineage", "bronze_stream_available_now", "bronze_schem
             "bronze_stream_scd2_late", "bronze_evolving_tables", "bronze_header_order", "bronze_old_file", "pipeline_silver_sales",
             "pipeline_quarantine", "pipeline_counts", "table_counts"}
 QUERIES, _ = load_all()
+#: Most scans of a table in one plan.
+MOST_SCANS = {"part": 4, "supplier": 10, "lineitem": 3, "orders": 2, "nation": 2, "region": 2, "customer": 2, "events": 2}
 
 
 def plan(df, mode="formatted"):
@@ -36,7 +39,7 @@ def test_no_cartesian_and_no_python_rows(spark, name):
 
 
 def test_column_pruning_reaches_the_scan(spark):
-    text = plan(Layers(spark, SF_SMALL).product_movement)
+    text = plan(Layers(spark, SF_SMALL).sales_summary)
     scans = [ln for ln in text.splitlines() if "ReadSchema" in ln and "l_partkey" in ln]
     assert scans, text
     for ln in scans:
@@ -89,7 +92,35 @@ def test_large_scale_plans_keep_equi_joins(spark, no_broadcast, name):
     text = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     joins = text.count("SortMergeJoin") + text.count("ShuffledHashJoin")
-    explicit = text.count("BroadcastHashJoin")   # only the bounded hot-key table of salted joins
-    assert joins > 0
-    if "salt" not in text:
-        assert explicit == 0, text
+    # only the bounded hot-key table of the as-of join, on both of its sides
+    assert joins > 0 or name == "scd2_asof_join"
+    assert text.count(") BroadcastHashJoin") == (2 if name == "scd2_asof_join" else 0), text
+
+
+def scans(df) -> dict[str, int]:
+    """Scans of each given table in the physical plan."""
+    found: dict[str, int] = {}
+    for path in re.findall(r"Location: \w+ ?(?:\([^)]*\))?\[([^\]]*)\]", plan(df)):
+        table = re.search(r"/(\w+)\.parquet", path)
+        if table:
+            found[table[1]] = found.get(table[1], 0) + 1
+    return found
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STATEFUL))
+def test_plans_read_each_table_a_few_times(spark, name):
+    """A plan that is used in many places re-reads its tables; no registered plan does.
+
+    One read per use: products are read for their rows and their re-sent
+    ones, suppliers once per snapshot file and use, three feeds are lines.
+    """
+    for table, n in scans(QUERIES[name](spark, SF_SMALL)).items():
+        assert n <= MOST_SCANS[table], f"{name} scans {table} {n} times"
+
+
+@pytest.mark.parametrize("name, table, n", [("inventory_snapshot", "lineitem", 1), ("low_stock_alerts", "lineitem", 1),
+                                            ("product_movement", "lineitem", 0), ("scd2_asof_join", "lineitem", 1),
+                                            ("kpi_scalars", "lineitem", 2)])
+def test_fact_is_evaluated_once(spark, name, table, n):
+    """``product_movement`` reads written totals, the KPIs stock and orders beside them."""
+    assert scans(QUERIES[name](spark, SF_SMALL)).get(table, 0) == n
