@@ -17,7 +17,7 @@ and twelve digits of distinct values need some three rounds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from godown.operators.joins import split_join
@@ -28,12 +28,14 @@ SMALL = 200_000
 SLICES = 64
 
 
-def value_counts(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
-    """(g, k, x, w): how often each value occurs per group, written; ``k`` tells groups apart, NULL too."""
+def value_counts(df: DataFrame, c: str, by: str | None = None) -> tuple[DataFrame, int]:
+    """(g, k, x, w): how often each value occurs per group, written; ``k`` tells groups apart, NULL too.  With its number of rows."""
     g = F.lit(None).cast("string") if by is None else F.col(by)
     x = df.select(g.alias("g"), F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-    counts = x.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"))
-    return written(counts.select("g", F.to_json(F.struct("g")).alias("k"), "x", "w"), "value_counts")
+    counts = x.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w")).select("g", F.to_json(F.struct("g")).alias("k"), "x", "w")
+    rows = Observation()
+    out = written(counts.observe(rows, F.count(F.lit(1)).alias("rows")), "value_counts")
+    return out, rows.get["rows"]
 
 
 def _inside(values: DataFrame, brackets: DataFrame) -> DataFrame:
@@ -59,6 +61,15 @@ def _narrowed(values: DataFrame, brackets: DataFrame, slices: int) -> DataFrame:
                  F.first("pos").alias("pos"), F.sum("rows").alias("rows")))
 
 
+def _picked(ranked: DataFrame, by: list[str], pos: Column, *more: Column) -> DataFrame:
+    """(by, q, more): the two order statistics around ``pos`` of rows (x, w = copies, last = rank of the last copy), interpolated."""
+    first = F.col("last") - F.col("w") + 1
+    at = lambda r: F.max(F.when((first <= r) & (r <= F.col("last")), F.col("x")))
+    ends = ranked.groupBy(*by).agg(at(F.floor(pos)).alias("v0"), at(F.ceil(pos)).alias("v1"), F.max(pos).alias("pos"), *more)
+    q = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))
+    return ends.withColumn("q", q).drop("v0", "v1", "pos")
+
+
 def exact_quantiles(df: DataFrame, c: str, probs, by: str | None = None, small: int | None = None,
                     slices: int | None = None) -> DataFrame:
     """(g, q): the exact interpolated quantiles of ``c`` (an array as long as ``probs``) per value of ``by``; NULL is a group like others.
@@ -66,24 +77,26 @@ def exact_quantiles(df: DataFrame, c: str, probs, by: str | None = None, small:
     A group without values has no row; a table without values gives none.
     """
     small, slices = small or SMALL, slices or SLICES
-    values = value_counts(df, c, by)
-    total = values.groupBy("k").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("g", True).alias("g"))
+    values, rows = value_counts(df, c, by)
+    total = values.groupBy("k").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows"))
     wanted = F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("i", "p")
-    start = total.select("k", "n", "rows", wanted)
-    brackets = written(start.select("k", "i", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
-                                    F.lit(0).cast("long").alias("below"), (F.col("p") * (F.col("n") - 1)).alias("pos"), "rows"),
-                       "value_brackets")
-    while (brackets.agg(F.max("rows")).first()[0] or 0) > small:
-        wide = _narrowed(values, brackets.where(F.col("rows") > small), slices)
-        brackets = written(wide.unionByName(brackets.where(F.col("rows") <= small)), "value_brackets")
-    ranked = _inside(values, brackets).withColumn("upto", F.sum("w").over(Window.partitionBy("k", "i").orderBy("x")))
-    last = F.col("below") + F.col("upto") - 1
-    first = last - F.col("w") + 1
-    at = lambda pos: F.max(F.when((first <= pos) & (pos <= last), F.col("x")))
-    ends = ranked.groupBy("k", "i").agg(at(F.floor("pos")).alias("v0"), at(F.ceil("pos")).alias("v1"), F.max("pos").alias("pos"),
-                                        F.first("g", True).alias("g"))
-    q = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))
-    each = ends.groupBy("k").agg(F.first("g", True).alias("g"), F.array_sort(F.collect_list(F.struct("i", q.alias("q")))).alias("q"))
+    pos = (F.col("p") * (F.col("n") - 1)).alias("pos")
+    if rows <= small:                                             # so is every group: ordered as they are
+        along = Window.partitionBy("k").orderBy("x")
+        whole = Window.partitionBy("k")
+        ranked = (values.withColumn("last", F.sum("w").over(along) - 1).withColumn("n", F.sum("w").over(whole))
+                  .select("g", "k", "x", "w", "last", "n", wanted).select("g", "k", "x", "w", "last", "i", pos))
+    else:
+        brackets = written(total.select("k", "n", "rows", wanted)
+                           .select("k", "i", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+                                   F.lit(0).cast("long").alias("below"), pos, "rows"), "value_brackets")
+        while brackets.agg(F.max("rows")).first()[0] > small:
+            wide = _narrowed(values, brackets.where(F.col("rows") > small), slices)
+            brackets = written(wide.unionByName(brackets.where(F.col("rows") <= small)), "value_brackets")
+        along = Window.partitionBy("k", "i").orderBy("x")
+        ranked = _inside(values, brackets).withColumn("last", F.col("below") + F.sum("w").over(along) - 1)
+    ends = _picked(ranked, ["k", "i"], F.col("pos"), F.first("g", True).alias("g"))
+    each = ends.groupBy("k").agg(F.first("g", True).alias("g"), F.array_sort(F.collect_list(F.struct("i", "q"))).alias("q"))
     return each.select("g", F.transform("q", lambda s: s["q"]).alias("q"))
 
 

@@ -206,7 +206,8 @@ def test_no_task_orders_more_than_the_bracket(spark):
     """Distinct values of every bracket that is ordered stay within the bound, 70 % at one value or all distinct."""
     from godown.operators import quantiles
     df = spark.range(30_000).select((F.col("id") * 7919 % 100003).cast("double").alias("v"))
-    values = quantiles.value_counts(df, "v")
+    values, rows = quantiles.value_counts(df, "v")
+    assert rows == 30_000
     b = values.groupBy("k").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows")).select(
         "k", F.lit(0).alias("i"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
         F.lit(0).cast("long").alias("below"), (F.col("n") * 0.4).alias("pos"), "rows")
