@@ -20,12 +20,30 @@ from godown.schemas import (INGEST_TS, INVENTORY, LINEAGE, ORDERS, PRODUCTS, SAL
                             WAREHOUSE, FeedSpec)
 
 
-def try_types(df: DataFrame, casts: dict, zero_fill=()) -> DataFrame:
+#: Column of texts that did not parse, as JSON by column name.
+RESCUED = "_rescued"
+
+
+def rescued(df: DataFrame, casts: dict):
+    """The texts of columns that their cast can't read, as JSON; NULL if there are none (blank text is a missing value)."""
+    kinds = dict(df.dtypes)
+    lost = [F.when(F.expr(f"try_cast({quote(c)} AS {t})").isNull() & (F.trim(c) != ""), F.col(c)).alias(c)
+            for c, t in casts.items() if kinds.get(c) == "string"]
+    if not lost:
+        return F.lit(None).cast("string")
+    text = F.to_json(F.struct(*lost))
+    return F.when(text != "{}", text)
+
+
+def try_types(df: DataFrame, casts: dict, zero_fill=(), rescue: bool = False) -> DataFrame:
     """Lenient casts (3.1, 3.2) and NULL -> 0 for listed quantities (3.4).
 
     ``try_cast`` returns NULL for text that does not parse, where a plain
-    cast would fail the job under ANSI mode.
+    cast would fail the job under ANSI mode.  ``rescue`` keeps such text in
+    the column RESCUED.
     """
+    if rescue:
+        df = df.withColumn(RESCUED, rescued(df, casts))
     out = []
     for c in df.columns:
         e = quote(c)

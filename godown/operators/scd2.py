@@ -40,6 +40,8 @@ from godown.operators.joins import SALT, dealt, hot_salts, repeated, row_hash
 from godown.session import written
 
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
+#: Of a maintained history: the newest snapshot date of a row's key.
+LAST_SEEN = "_last_seen"
 #: Rows with a NULL key match no version; an as-of join deals them over so many groups.
 NULL_SALTS = 4096
 
@@ -68,12 +70,13 @@ def _day_rows(df: DataFrame, key, at, tie) -> DataFrame:
     return last_per_key(df, key + [at], _order(df, tie, key + [at]))
 
 
-def scd2_replay(df: DataFrame, key, tracked, at: str, tie=(), columns=None) -> DataFrame:
+def scd2_replay(df: DataFrame, key, tracked, at: str, tie=(), columns=None, seen: str | None = None) -> DataFrame:
     """5.1 / 8.3: full version history from all snapshots.
 
     ``columns``: attribute columns of the history (default: all but
     ``at`` and ``tie``).  Output: key, columns, effective_start,
-    effective_end, is_current.
+    effective_end, is_current, and with ``seen`` a column of that name: the
+    key's newest snapshot date (unchanged snapshots count, too).
     """
     key = [key] if isinstance(key, str) else list(key)
     tracked = list(tracked)
@@ -85,10 +88,13 @@ def scd2_replay(df: DataFrame, key, tracked, at: str, tie=(), columns=None) -> D
     opens = F.lag(at).over(w).isNull()
     for c in tracked:
         opens = opens | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+    if seen is not None:
+        day = day.withColumn(seen, F.max(at).over(Window.partitionBy(*key)))
     versions = day.withColumn("_opens", opens).where("_opens").drop("_opens")
     end = F.lead(at).over(w)
-    return (versions.select(*key, *cols, F.col(at).alias(START), end.alias(END))
-            .withColumn(CURRENT, F.col(END).isNull()))
+    more = [] if seen is None else [seen]
+    return (versions.select(*key, *cols, F.col(at).alias(START), end.alias(END), *more)
+            .withColumn(CURRENT, F.col(END).isNull()).select(*key, *cols, START, END, CURRENT, *more))
 
 
 def first_load(batch: DataFrame, key, at: str, tie=(), columns=None) -> DataFrame:
@@ -111,13 +117,17 @@ def change_condition(tracked, left: str = "t", right: str = "s"):
     return cond
 
 
+def snapshot_rules(at: str) -> dict:
+    return {"snapshot_date_valid": F.col(at).isNotNull()}
+
+
 def split_snapshots(rows: DataFrame, key, at: str) -> tuple[DataFrame, DataFrame]:
     """3.3: (usable snapshots, quarantine).
 
     A snapshot without a readable date can't be placed in a history; it is
     set aside, tagged like every other failed rule.
     """
-    return quality.split(rows, {"snapshot_date_valid": F.col(at).isNotNull()})
+    return quality.split(rows, snapshot_rules(at))
 
 
 def _same_key(left: str, right: str, key):
@@ -203,6 +213,29 @@ def apply_batch(target: DataFrame, batch: DataFrame, key, tracked, at: str, tie=
     return rest.unionByName(replayed)
 
 
+def merge_snapshots(history: DataFrame, rows: DataFrame, earlier: DataFrame, key, tracked, at: str, tie=()) -> DataFrame:
+    """11.4: a history (with LAST_SEEN) after a delivery of snapshots; equals the replay of everything.
+
+    Only keys of the delivery are replayed: from their versions when all of
+    its dates are newer than the newest snapshot the key has had (LAST_SEEN,
+    which counts snapshots that changed nothing), else - a late or corrected
+    snapshot - from ``earlier``, all snapshots of earlier deliveries.  Other
+    keys pass through.  Several dates and several rows of a day are fine.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    own = [c for c in history.columns if c not in (START, END, CURRENT, LAST_SEEN)]
+    cols = [c for c in own if c not in key]
+    oldest = rows.groupBy(*[F.col(k).alias(f"_n_{k}") for k in key]).agg(F.min(at).alias("_oldest"), F.lit(True).alias("_touched"))
+    old = history.join(oldest, _same_key("", "_n_", key), "left")
+    late = F.col("_touched") & (F.col("_oldest") <= F.col(LAST_SEEN))
+    blank = [F.lit(None).cast(rows.schema[t].dataType).alias(t) for t in tie]
+    as_rows = old.where(F.col("_touched") & ~late).select(*own, F.col(START).alias(at), *blank)
+    again = with_keys(earlier.select(*own, at, *tie), keys_only(old.where(late), key, "_l_"), key, "_l_", "left_semi")
+    replayed = scd2_replay(as_rows.unionByName(again).unionByName(rows.select(*own, at, *tie)), key, tracked, at, tie,
+                           columns=cols, seen=LAST_SEEN)
+    return old.where(F.col("_touched").isNull()).select(*history.columns).unionByName(replayed)
+
+
 def asof_join(fact: DataFrame, history: DataFrame, key, fact_date: str, prefix: str = "") -> DataFrame:
     """5.8: attach the version valid at ``fact_date`` to every fact row.
 

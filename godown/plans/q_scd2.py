@@ -87,7 +87,7 @@ def _merged(spark, sf_dir):
 _D1, _D2 = SNAPSHOT_DATES[1], SNAPSHOT_DATES[2]
 _LATE = dt.timedelta(days=10)
 
-_IRREGULAR = {
+IRREGULAR = {
     "irr": f"""
 SELECT CASE WHEN supplier_id % 50 = 7 THEN NULL ELSE supplier_id END AS supplier_id, supplier_name, address, contact_email,
        rating, CASE WHEN supplier_id % 30 = 4 AND source_date = DATE '{_D1}' THEN NULL ELSE source_date END AS source_date
@@ -103,8 +103,8 @@ FROM sup_rows WHERE source_date = DATE '{_D1}' AND supplier_id % 20 = 11
 }
 
 
-def _deliveries(spark, sf_dir):
-    """Typed snapshots with the delivery each arrived in."""
+def deliveries(spark, sf_dir):
+    """Snapshots with the delivery each arrived in, dates as the text that was sent."""
     s = _snapshots(spark, sf_dir)
     k = F.col("supplier_id")
     date = F.col("source_date")
@@ -115,11 +115,15 @@ def _deliveries(spark, sf_dir):
              .withColumn("delivery", F.lit(3)).withColumn("source_date", date.cast("string")))
     late = (s.where((date == F.lit(_D1)) & (k % 20 == 11)).withColumn("rating", F.lit(4.9))
             .withColumn("delivery", F.lit(3)).withColumn("source_date", F.lit((_D1 - _LATE).isoformat())))
-    rows = regular.unionByName(fixed).unionByName(late)
-    return rows.withColumn("supplier_id", F.when(k % 50 != 7, k)).withColumn("source_date", F.expr("try_cast(source_date AS date)"))
+    return regular.unionByName(fixed).unionByName(late).withColumn("supplier_id", F.when(k % 50 != 7, k))
+
+
+def _deliveries(spark, sf_dir):
+    """The same with dates read leniently."""
+    return deliveries(spark, sf_dir).withColumn("source_date", F.expr("try_cast(source_date AS date)"))
 
 
-@query("scd2_merge_irregular", with_ctes("""
+IRREGULAR_SQL = with_ctes("""
 SELECT supplier_id, supplier_name, address, contact_email, rating, source_date AS effective_start,
        lead(source_date) OVER (PARTITION BY supplier_id ORDER BY source_date) AS effective_end,
        lead(source_date) OVER (PARTITION BY supplier_id ORDER BY source_date) IS NULL AS is_current
@@ -127,7 +131,10 @@ FROM (SELECT *, lag(source_date) OVER w IS NULL OR address IS DISTINCT FROM lag(
                 OR rating IS DISTINCT FROM lag(rating) OVER w AS _new
       FROM irr_day WHERE source_date IS NOT NULL WINDOW w AS (PARTITION BY supplier_id ORDER BY source_date))
 WHERE _new
-""", _IRREGULAR))
+""", IRREGULAR)
+
+
+@query("scd2_merge_irregular", IRREGULAR_SQL)
 def q_scd2_merge_irregular(spark, sf_dir):
     """5.4 - 5.6 over deliveries with NULL keys, bad dates, same-day corrections and late rows; equals the replay."""
     good = scd2.split_snapshots(_deliveries(spark, sf_dir), "supplier_id", "source_date")[0]
@@ -142,7 +149,7 @@ def q_scd2_merge_irregular(spark, sf_dir):
 
 @query("scd2_snapshot_quarantine", with_ctes(
     "SELECT supplier_id, supplier_name, address, contact_email, rating, 'snapshot_date_valid' AS _dq_failed_rule "
-    "FROM irr WHERE source_date IS NULL", _IRREGULAR))
+    "FROM irr WHERE source_date IS NULL", IRREGULAR))
 def q_scd2_snapshot_quarantine(spark, sf_dir):
     """3.3: snapshots whose date doesn't parse, set aside with their rule."""
     bad = scd2.split_snapshots(_deliveries(spark, sf_dir), "supplier_id", "source_date")[1]

@@ -13,9 +13,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from godown.oracle import LINEAGE_ORDER, TS_RUN, first_per, rnd, with_ctes
-from godown.operators import clean
+from godown.operators import clean, quality
 from godown.operators.joins import split_join
 from godown.plans.pipeline import Layers
+from godown.plans.q_scd2 import IRREGULAR, IRREGULAR_SQL, deliveries
 from godown.plans.registry import query
 from godown.schemas import (FEEDS, INGEST_TS, LINEAGE, ORDERS, SALES, SOURCE_FILE, SUPPLIER_HISTORY_COLUMNS,
                             SUPPLIER_TRACKED, SUPPLIERS)
@@ -211,34 +212,77 @@ def q_pipeline_counts(spark, sf_dir):
     return _job(spark, sf_dir, "job_counts")[2].where("table_name LIKE 'silver.%'")
 
 
-# ---- 11.4: supplier snapshots streamed into the SCD2 history ---------------
+# ---- 11.4 / 3.3: supplier snapshots streamed into the SCD2 history ---------------
+def _streamed(spark, name: str, deliveries) -> ingest.History:
+    """Each delivery dropped as CSV and merged by its own run of the stream."""
+    root = scratch_path(spark, name)
+    history = None
+    for i, rows in enumerate(deliveries):
+        bronze.write_csv(rows, f"{root}/landing/drop{i}")
+        history = ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{root}/landing/*", f"{root}/suppliers", f"{root}/_checkpoint",
+                                     "supplier_id", SUPPLIER_TRACKED, "source_date", _SUP_TYPED, SUPPLIER_HISTORY_COLUMNS, buckets=16)
+    return history
+
+
+def _by_day(spark, sf_dir, order=(0, 1, 2)):
+    raw = feeds.raw_supplier_snapshots(spark, sf_dir).drop(*LINEAGE)
+    return [raw.where(F.col("source_date") == F.lit(feeds.SNAPSHOT_DATES[i])) for i in order]
+
+
 @query("bronze_stream_scd2", with_ctes("SELECT * FROM s_suppliers_scd2"))
 def q_bronze_stream_scd2(spark, sf_dir):
     """Each snapshot delivery merged by foreachBatch; equals the full replay."""
-    root = scratch_path(spark, "stream_suppliers")
-    raw = feeds.raw_supplier_snapshots(spark, sf_dir).drop(*LINEAGE)
-    landing = f"{root}/landing"
-    for i, d in enumerate(feeds.SNAPSHOT_DATES):
-        bronze.write_csv(raw.where(F.col("source_date") == F.lit(d)), f"{landing}/drop{i}")
-        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{landing}/*", f"{root}/history",
-                           f"{root}/_checkpoint", "supplier_id", SUPPLIER_TRACKED, "source_date",
-                           _SUP_TYPED, SUPPLIER_HISTORY_COLUMNS)
-    return store.VersionedTable(spark, f"{root}/history").read()
+    return _streamed(spark, "stream_suppliers", _by_day(spark, sf_dir)).read()
 
 
 @query("bronze_stream_scd2_late", with_ctes("SELECT * FROM s_suppliers_scd2"))
 def q_bronze_stream_scd2_late(spark, sf_dir):
     """11.4 with a late delivery: the middle snapshot file arrives last and is spliced in."""
-    root = scratch_path(spark, "stream_suppliers_late")
-    raw = feeds.raw_supplier_snapshots(spark, sf_dir).drop(*LINEAGE)
-    landing = f"{root}/landing"
-    d = feeds.SNAPSHOT_DATES
-    for i, day in enumerate((d[0], d[2], d[1])):
-        bronze.write_csv(raw.where(F.col("source_date") == F.lit(day)), f"{landing}/drop{i}")
-        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{landing}/*", f"{root}/history",
-                           f"{root}/_checkpoint", "supplier_id", SUPPLIER_TRACKED, "source_date",
-                           _SUP_TYPED, SUPPLIER_HISTORY_COLUMNS)
-    return store.VersionedTable(spark, f"{root}/history").read()
+    return _streamed(spark, "stream_suppliers_late", _by_day(spark, sf_dir, (0, 2, 1))).read()
+
+
+def _text_deliveries(spark, sf_dir):
+    """The irregular deliveries of ``scd2_merge_irregular`` as an upstream system sends them: dates as text, some unreadable."""
+    rows = deliveries(spark, sf_dir).select(*SUPPLIERS.columns, "delivery")
+    return [rows.where(F.col("delivery") == i).drop("delivery") for i in range(4)]
+
+
+@query("bronze_stream_scd2_irregular", IRREGULAR_SQL)
+def q_bronze_stream_scd2_irregular(spark, sf_dir):
+    """11.4 over NULL keys, unreadable dates, same-day corrections and late rows; equals the replay of the dated rows."""
+    return _streamed(spark, "stream_suppliers_irregular", _text_deliveries(spark, sf_dir)).read()
+
+
+_QUARANTINE_SQL = with_ctes("""
+SELECT supplier_id, supplier_name, address, contact_email, rating, 'snapshot_date_valid' AS _dq_failed_rule,
+       '{"source_date":"01/02/xx"}' AS _rescued
+FROM irr WHERE source_date IS NULL
+""", IRREGULAR)
+
+
+@query("bronze_stream_scd2_quarantine", _QUARANTINE_SQL)
+def q_bronze_stream_scd2_quarantine(spark, sf_dir):
+    """3.3 in the stream: rows without a readable date are set aside with the text that could not be read."""
+    bad = _streamed(spark, "stream_suppliers_quarantine", _text_deliveries(spark, sf_dir)).quarantine()
+    return bad.select(*SUPPLIER_HISTORY_COLUMNS, quality.FAILED, clean.RESCUED)
+
+
+@query("pipeline_suppliers_quarantine", _QUARANTINE_SQL)
+def q_pipeline_suppliers_quarantine(spark, sf_dir):
+    """3.3 in the job: ``suppliers_quarantine`` after two runs over deliveries of which the second repeats the first."""
+    from godown.plans.run import run_pipeline
+    root = scratch_path(spark, "job_suppliers")
+    L = Layers(spark, sf_dir)
+    dirs = {f: f"{root}/in/{f}/*" for f in _FEED_TABLES}
+    for f, t in _FEED_TABLES.items():
+        if f != "suppliers":
+            bronze.write_csv(getattr(L, t).select(*FEEDS[f].columns), f"{root}/in/{f}/drop1")
+    first = _text_deliveries(spark, sf_dir)
+    for i, part in enumerate((first[0].unionByName(first[1]), first[1].unionByName(first[2]).unionByName(first[3]))):
+        bronze.write_csv(part, f"{root}/in/suppliers/drop{i}")
+        run_pipeline(spark, None, f"{root}/lake", feed_dirs=dirs)
+    bad = spark.read.parquet(f"{root}/lake/silver/suppliers_quarantine")
+    return clean.try_types(bad, _SUP_TYPED).select(*SUPPLIER_HISTORY_COLUMNS, quality.FAILED, clean.RESCUED)
 
 
 # ---- 1.14: row-count audit --------------------------------------------------

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from godown.operators import quality
+from godown.operators import clean, quality, scd2
 from godown.plans import gold
 from godown.plans.pipeline import BronzeLayers, Layers
-from godown.schemas import FEEDS
+from godown.schemas import FEEDS, SUPPLIER_HISTORY_COLUMNS, SUPPLIER_TRACKED, SUPPLIERS
 from godown.sources import store
 from godown.sources.paths import if_exists
 from godown.streaming import ingest
@@ -31,6 +31,8 @@ from godown.streaming import ingest
 SILVER = ("products", "warehouse", "inventory", "orders", "sales", "suppliers_scd2")
 CHECKED = ("inventory", "sales", "orders", "products")
 PASSED = "_dq_passed"
+#: What tells two undated snapshots apart.
+_SNAPSHOT_KEY = (*SUPPLIER_HISTORY_COLUMNS, clean.RESCUED)
 
 
 class SilverTable:
@@ -70,6 +72,22 @@ class SilverTable:
         store.publish(self.spark, name, path, self.read().schema)
 
 
+class SilverHistory:
+    """The supplier history that deliveries maintain, as a Silver table."""
+
+    def __init__(self, history: ingest.History):
+        self.history = history
+
+    def current_version(self) -> int | None:
+        return self.history.store.current_version()
+
+    def read(self) -> DataFrame:
+        return self.history.read()
+
+    def publish(self, name: str) -> None:
+        store.publish_view(self.history.spark, name, self.history.store.paths(), self.read().columns)
+
+
 def _quarantine_path(root: str, name: str) -> str:
     return f"{root}/silver/{name}_quarantine"
 
@@ -83,13 +101,36 @@ def _write_one_silver(spark: SparkSession, layers: Layers, root: str, name: str,
     tagged = quality.tag_rules(df, FEEDS[name].rules).withColumn(PASSED, F.col(quality.FAILED).isNull())
     table.write(tagged, partition_by=PASSED)
     silver = SilverTable(table, True, tagged.schema)
-    q_path = _quarantine_path(root, name)
-    failed = silver.failed()
-    existing = if_exists(lambda: spark.read.schema(failed.schema).parquet(q_path))
-    store.append(quality.new_quarantine_rows(failed, existing, FEEDS[name].key), q_path)
+    _quarantine(spark, root, name, silver.failed(), FEEDS[name].key)
     return silver
 
 
+def _quarantine(spark: SparkSession, root: str, name: str, failed: DataFrame, key) -> None:
+    """4.8: append the failures that are not in ``<name>_quarantine`` yet."""
+    path = _quarantine_path(root, name)
+    existing = if_exists(lambda: spark.read.schema(failed.schema).parquet(path))
+    store.append(quality.new_quarantine_rows(failed, existing, key), path)
+
+
+def quarantine_snapshots(spark: SparkSession, layers: Layers, root: str) -> None:
+    """3.3: snapshots without a readable date, which no history can take."""
+    rows = clean.dedupe_rows(clean.try_types(layers.raw("supplier_snapshots"), SUPPLIERS.casts, rescue=True))
+    bad = scd2.split_snapshots(rows, "supplier_id", "source_date")[1]
+    _quarantine(spark, root, "suppliers", bad.drop("source_date"), _SNAPSHOT_KEY)
+
+
+def merge_suppliers(spark: SparkSession, root: str) -> SilverHistory:
+    """11.4 in the job: the deliveries that Bronze has taken since the last run, merged into the supplier history."""
+    history = ingest.stream_scd2(
+        spark, SUPPLIERS.raw_schema(), f"{root}/bronze/suppliers/*", f"{root}/silver/suppliers_scd2",
+        f"{root}/_checkpoints/suppliers_scd2", "supplier_id", SUPPLIER_TRACKED, "source_date", SUPPLIERS.casts,
+        SUPPLIER_HISTORY_COLUMNS, fmt="parquet")
+    bad = history.quarantine()
+    if bad is not None:
+        _quarantine(spark, root, "suppliers", bad, _SNAPSHOT_KEY)
+    return SilverHistory(history)
+
+
 def _in_parallel(fn, names, workers: int) -> dict:
     """Submit independent table jobs together so small ones share the cluster."""
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
@@ -98,9 +139,16 @@ def _in_parallel(fn, names, workers: int) -> dict:
 
 
 def write_silver(spark: SparkSession, layers: Layers, root: str, quality_checks: bool = True,
-                 workers: int = 4) -> dict:
-    return _in_parallel(
-        lambda n: _write_one_silver(spark, layers, root, n, quality_checks and n in CHECKED), SILVER, workers)
+                 workers: int = 4, deliveries: bool = False) -> dict:
+    """Every Silver table; with ``deliveries`` the supplier history is merged from Bronze instead of replayed."""
+    def write(name: str):
+        if name == "suppliers_scd2" and deliveries:
+            return merge_suppliers(spark, root)
+        if name == "suppliers_scd2" and quality_checks:
+            quarantine_snapshots(spark, layers, root)
+        return _write_one_silver(spark, layers, root, name, quality_checks and name in CHECKED)
+
+    return _in_parallel(write, SILVER, workers)
 
 
 def write_bronze(spark: SparkSession, feed_dirs: dict[str, str], root: str) -> dict[str, DataFrame]:
@@ -132,7 +180,7 @@ def publish_layer(spark: SparkSession, schema: str, tables: dict, root: str) ->
     """Expose the committed versions as ``<schema>.<table>`` in the catalog."""
     store.create_schema(spark, schema, f"{root}/_schemas/{schema}")
     for name, t in tables.items():
-        if isinstance(t, SilverTable):
+        if isinstance(t, (SilverTable, SilverHistory)):
             t.publish(f"{schema}.{name}")
         else:
             store.publish(spark, f"{schema}.{name}", t.path(t.current_version()), t.read().schema)
@@ -153,7 +201,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str | None, root: str, quality_che
     cluster idle while one large table finishes.
     """
     layers = Layers(spark, sf_dir) if feed_dirs is None else BronzeLayers(spark, write_bronze(spark, feed_dirs, root))
-    silver = write_silver(spark, layers, root, quality_checks, workers)
+    silver = write_silver(spark, layers, root, quality_checks, workers, deliveries=feed_dirs is not None)
     publish_layer(spark, "silver", silver, root)
     gold_tables = write_gold(spark, silver, root, workers)
     publish_layer(spark, "gold", gold_tables, root)

@@ -22,13 +22,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from godown.sources.paths import if_exists
 
 COMMITS = "version long, committed_at timestamp_ntz"
+MANIFEST = "version long, bucket int, held_by long, committed_at timestamp_ntz"
+#: Partition column of bucketed tables.
+BUCKET = "_bucket"
 
 
 class VersionedTable:
@@ -90,6 +93,79 @@ class VersionedTable:
         return version
 
 
+class BucketedTable:
+    """A keyed table whose new versions rewrite only the buckets that changed.
+
+    ::
+
+        <root>/v=<n>/_bucket=<b>/   bucket b as of version n
+        <root>/_manifest/           per committed version: every bucket and the version that holds it
+
+    A key's bucket is a hash of the key.  Version n+1 writes the buckets
+    that its batch touches and names the older folders for all others, so
+    its cost follows the batch.  It is visible once its manifest rows are
+    appended (one file); until then readers see version n, and a repeated
+    write of n+1 replaces what the failed one left.  Folders are never
+    changed after that, so readers of older versions are not disturbed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.buckets = buckets
+
+    def bucket_of(self, key) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
+
+    def _log(self) -> DataFrame | None:
+        return if_exists(lambda: self.spark.read.schema(MANIFEST).parquet(f"{self.root}/_manifest"))
+
+    def current_version(self) -> int | None:
+        log = self._log()
+        return None if log is None else log.agg(F.max("version")).first()[0]
+
+    def exists(self) -> bool:
+        return self.current_version() is not None
+
+    def has_version(self, version: int) -> bool:
+        log = self._log()
+        return log is not None and not log.where(F.col("version") == version).isEmpty()
+
+    def holders(self, version: int | None = None) -> dict[int, int]:
+        """Bucket -> version whose folder holds it; at most ``buckets`` rows."""
+        log = self._log()
+        if log is None:
+            return {}
+        v = self.current_version() if version is None else version
+        return {r["bucket"]: r["held_by"] for r in log.where((F.col("version") == v) & (F.col("bucket") >= 0)).collect()}
+
+    def paths(self, buckets=None, version: int | None = None) -> list[str]:
+        held = self.holders(version)
+        return [f"{self.root}/v={v}/{BUCKET}={b}" for b, v in sorted(held.items()) if buckets is None or b in buckets]
+
+    def read(self, schema: T.StructType, buckets=None, version: int | None = None) -> DataFrame:
+        """The rows of all or some buckets."""
+        paths = self.paths(buckets, version)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def write(self, df: DataFrame, key, touched, version: int) -> int:
+        """Commit ``version``: ``df`` is all there is in the buckets ``touched``."""
+        if self.has_version(version):
+            raise FileExistsError(f"version {version} of {self.root} is committed")
+        held = self.holders()
+        path = f"{self.root}/v={version}"
+        # a bucket's rows meet in few files; AQE splits a large one
+        (df.withColumn(BUCKET, self.bucket_of(key)).hint("rebalance", BUCKET)
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+        got = self.spark.read.schema(f"{BUCKET} int").parquet(path)
+        filled = {r[0] for r in got.distinct().collect()}                     # at most `buckets`
+        held = {b: v for b, v in held.items() if b not in touched} | {b: version for b in filled}
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = [(version, b, v, now) for b, v in sorted(held.items())] or [(version, -1, version, now)]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
+        return version
+
+
 def append(df: DataFrame, path: str) -> None:
     """1.10: append-only sink (files are added, never rewritten)."""
     df.write.mode("append").parquet(path)
@@ -124,6 +200,15 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def publish_view(spark: SparkSession, name: str, paths: list[str], columns) -> None:
+    """Point catalog view ``name`` at the parquet data of several folders (a bucketed table's current ones)."""
+    cols = ", ".join(f"`{c}`" for c in columns)
+    body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{p}`" for p in paths)
+    if not paths:
+        raise ValueError(f"{name} has no data to publish")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
+
+
 def publish(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
     """Point catalog table ``name`` at the parquet data in ``path``, with the columns of ``schema``.
 

@@ -4,8 +4,8 @@
 folder is read exactly once (the checkpoint records which), the run stops
 when it has caught up (``availableNow``), and a re-run only picks up files
 that arrived since.  ``stream_scd2`` feeds the supplier dimension from the
-same kind of stream: each micro-batch is merged into a versioned history
-table by ``foreachBatch``.
+same kind of stream: each micro-batch is merged by ``foreachBatch`` into a
+history whose versions rewrite only the buckets of the batch's keys.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from godown.operators import clean, scd2
+from godown.operators import clean, quality, scd2
 from godown.schemas import INGEST_TS, SOURCE_FILE
 from godown.sources.bronze import infer_schema, lineage, read_feed
-from godown.sources.store import VersionedTable
+from godown.sources.paths import if_exists
+from godown.sources.store import BUCKET, BucketedTable
 
 #: Partition column of landed batches.
 BATCH = "_batch"
@@ -30,7 +31,7 @@ FILE_ROW = "path string, modificationTime timestamp, length long, content binary
 
 def new_files(spark: SparkSession, in_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of the files of a folder, each once; their contents are not read by it."""
-    reader = spark.readStream.format("binaryFile").schema(FILE_ROW).option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.format("binaryFile").schema(FILE_ROW).option("maxFileAge", ANY_AGE).option("pathGlobFilter", "[!_.]*")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(in_dir).select("path")
@@ -40,7 +41,8 @@ def read_files(spark: SparkSession, schema: T.StructType, files: list[str], fmt:
     """The rows of one delivery with lineage; columns by name, new ones kept (1.4)."""
     if fmt == "csv":
         return read_feed(spark, None, files, schema=schema)
-    df = lineage(spark.read.option("mergeSchema", True).format(fmt).load(files))
+    df = spark.read.option("mergeSchema", True).format(fmt).load(files)
+    df = df if SOURCE_FILE in df.columns else lineage(df)         # landed rows have theirs
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in df.columns])
 
 
@@ -89,62 +91,103 @@ def stream_feeds(spark: SparkSession, feeds: dict, root: str) -> dict[str, int]:
             for name, (schema, in_dir) in feeds.items()}
 
 
-def stream_scd2(spark: SparkSession, schema: T.StructType, in_dir: str, store_root: str, checkpoint: str,
-                key, tracked, at: str, casts: dict, columns, tie=()) -> int | None:
-    """11.4: on every new snapshot file, merge it into the stored history.
+#: Bucket of rows that no history can take.
+SET_ASIDE = -1
+
+
+class History:
+    """A type-2 history that snapshot deliveries maintain, bucketed by key.
 
-    Each micro-batch becomes version ``batch_id + 1`` of the history
-    table, so a batch that is replayed after a failure finds its version
-    already committed and does nothing (idempotent).  The new version is
-    computed from the *written* previous version, which cuts the lineage
-    between batches.  Several snapshot dates in one batch are fine
-    (``scd2.apply_batch`` replays the touched keys from their versions).
-
-    Late snapshots (a date not after the key's newest version) cannot be
-    merged from versions alone - an unchanged snapshot that was folded into
-    a version may have to reappear.  Every batch's rows are therefore also
-    appended to ``<store_root>/_snapshots``; keys with a late row are
-    replayed from all their snapshots, the others are merged from versions.
+    ::
+
+        <root>/history/                          BucketedTable of versions (with scd2.LAST_SEEN)
+        <root>/snapshots/_batch=<i>/_bucket=<b>/ the typed snapshots of delivery i
+        <root>/snapshots/_batch=<i>/_bucket=-1/  its rows without a readable date: the quarantine (3.3)
     """
-    key = [key] if isinstance(key, str) else list(key)
-    store = VersionedTable(spark, store_root)
-    snapshots = f"{store_root.rstrip('/')}/_snapshots"
-    attrs = [c for c in columns if c not in key]
 
-    def merge_batch(files: DataFrame, batch_id: int) -> None:
+    def __init__(self, spark: SparkSession, root: str, key, tracked, at: str, casts: dict, columns, tie=(), buckets: int = 64):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.key = [key] if isinstance(key, str) else list(key)
+        self.attrs = [c for c in columns if c not in self.key]
+        self.tracked, self.at, self.casts, self.tie = list(tracked), at, casts, list(tie)
+        self.store = BucketedTable(spark, f"{self.root}/history", buckets)
+
+    def versions(self, buckets=None) -> DataFrame | None:
+        """All stored columns of the history, or of some buckets; None before the first delivery with a dated row."""
+        held = self.store.paths()
+        return self.store.read(self.spark.read.parquet(held[0]).schema, buckets) if held else None
+
+    def read(self) -> DataFrame:
+        """The history without bookkeeping."""
+        got = self.versions()
+        if got is None:
+            raise FileNotFoundError(f"no delivery has been merged under {self.root}")
+        return got.drop(scd2.LAST_SEEN)
+
+    def snapshots(self) -> DataFrame | None:
+        return if_exists(lambda: self.spark.read.parquet(f"{self.root}/snapshots"))
+
+    def quarantine(self) -> DataFrame | None:
+        """Rows set aside by committed deliveries, each distinct one once, with the rule and the unreadable text; None before the first."""
+        rows, done = self.snapshots(), self.store.current_version()
+        if rows is None or done is None:
+            return None
+        bad = rows.where((F.col(BUCKET) == SET_ASIDE) & (F.col(BATCH) < done)).drop(BATCH, BUCKET, self.at)
+        return clean.dedupe_rows(bad)
+
+    def merge(self, delivery: DataFrame, batch_id: int) -> None:
+        """Store the delivery's snapshots, rewrite the buckets of its keys, commit as version batch_id + 1.
+
+        The delivery is evaluated once.  Every step replaces what an earlier
+        attempt has left, so a repeated delivery changes nothing.
+        """
         version = batch_id + 1
-        names = [r["path"] for r in files.collect()]
-        if not names or store.has_version(version):
-            return
-        batch = read_files(spark, schema, names, "csv")
-        rows = clean.dedupe_rows(clean.try_types(batch, casts)).drop(SOURCE_FILE, INGEST_TS)
-        rows = rows.select(*key, *attrs, at, *tie)
-        if not store.exists():
-            rows.write.mode("append").parquet(snapshots)
-            store.write(scd2.scd2_replay(rows, key, tracked, at, tie, columns=columns), version)
+        if self.store.has_version(version):
             return
-        # late = not after the newest snapshot already seen for the key (folded
-        # unchanged snapshots count: they are not visible in the versions)
-        seen = spark.read.parquet(snapshots).groupBy(*key).agg(F.max(at).alias("_seen"))
-        late_path = f"{store_root.rstrip('/')}/_late/batch={batch_id}"
-        (rows.join(seen, key).where(F.col(at) <= F.col("_seen")).select(*key).distinct()
-         .write.mode("overwrite").parquet(late_path))          # fixed before the snapshots grow
-        late = spark.read.parquet(late_path)
-        # a batch re-run after a failure appends its rows again: its keys then
-        # count as late and are replayed, and identical snapshot rows collapse
-        # in the replay's one-row-per-(key, date) step
-        rows.write.mode("append").parquet(snapshots)
-        current = store.read()
-        in_order = scd2.apply_batch(current.join(late, key, "left_anti"), rows.join(late, key, "left_anti"),
-                                    key, tracked, at, tie)
-        all_rows = spark.read.parquet(snapshots).join(late, key, "left_semi")
-        replayed = scd2.scd2_replay(all_rows, key, tracked, at, tie, columns=columns)
-        store.write(in_order.unionByName(replayed), version)
-
-    q = (new_files(spark, in_dir, 1000).writeStream
+        typed = clean.dedupe_rows(clean.try_types(delivery, self.casts, rescue=True))
+        tagged = quality.tag_rules(typed, scd2.snapshot_rules(self.at))
+        bucket = F.when(F.col(quality.FAILED).isNull(), self.store.bucket_of(self.key)).otherwise(SET_ASIDE)
+        path = f"{self.root}/snapshots/{BATCH}={batch_id}"
+        stored = tagged.withColumn(BUCKET, bucket)
+        stored.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        rows = self.spark.read.schema(stored.schema).parquet(path).where(F.col(BUCKET) != SET_ASIDE)
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]       # at most `buckets`
+        held = self.store.holders()
+        if any(b in held for b in touched):
+            known = self.versions(touched)
+            earlier = self.snapshots().where((F.col(BATCH) < batch_id) & F.col(BUCKET).isin(touched))
+        else:
+            day = F.lit(None).cast(rows.schema[self.at].dataType)
+            earlier = rows.limit(0)
+            known = earlier.select(*self.key, *self.attrs, day.alias(scd2.START), day.alias(scd2.END),
+                                   F.lit(True).alias(scd2.CURRENT), day.alias(scd2.LAST_SEEN))
+        merged = scd2.merge_snapshots(known, rows, earlier, self.key, self.tracked, self.at, self.tie)
+        self.store.write(merged, self.key, touched, version)
+
+
+def stream_scd2(spark: SparkSession, schema: T.StructType, in_dir: str, root: str, checkpoint: str,
+                key, tracked, at: str, casts: dict, columns, tie=(), buckets: int = 64, fmt: str = "csv",
+                max_files_per_trigger: int = 1000) -> History:
+    """11.4: on every new snapshot file, merge it into the stored history.
+
+    A micro-batch becomes version ``batch_id + 1``; one that runs again after
+    a failure does nothing if that is committed, else it starts over.  It
+    reads and rewrites the buckets of its keys only (``store.BucketedTable``),
+    and earlier snapshots only of those buckets.  Rows whose date can't be
+    read go to the history's quarantine (3.3).
+    """
+    history = History(spark, root, key, tracked, at, casts, columns, tie, buckets)
+
+    def merge_batch(files: DataFrame, batch_id: int) -> None:
+        names = [r["path"] for r in files.collect()]              # at most max_files_per_trigger
+        if names:
+            history.merge(read_files(spark, schema, names, fmt), batch_id)
+
+    q = (new_files(spark, in_dir, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return store.current_version()
+    return history

@@ -62,10 +62,10 @@ def test_stream_scd2_with_a_late_snapshot_equals_replay(spark, tmp_dir):
     casts = {**SUPPLIERS.casts, "supplier_id": "bigint"}
     for i, d in enumerate([feeds.SNAPSHOT_DATES[0], feeds.SNAPSHOT_DATES[2], feeds.SNAPSHOT_DATES[1]]):
         bronze.write_csv(raw.where(F.col("source_date") == F.lit(d)), f"{tmp_dir}/landing/drop{i}")
-        ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{tmp_dir}/landing/*", f"{tmp_dir}/history",
-                           f"{tmp_dir}/ck", "supplier_id", SUPPLIER_TRACKED, "source_date", casts,
-                           SUPPLIER_HISTORY_COLUMNS)
-    got = store.VersionedTable(spark, f"{tmp_dir}/history").read()
+        history = ingest.stream_scd2(spark, SUPPLIERS.raw_schema(), f"{tmp_dir}/landing/*", f"{tmp_dir}/suppliers",
+                                     f"{tmp_dir}/ck", "supplier_id", SUPPLIER_TRACKED, "source_date", casts,
+                                     SUPPLIER_HISTORY_COLUMNS)
+    got = history.read()
     want = Layers(spark, SF_SMALL).suppliers_scd2
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
