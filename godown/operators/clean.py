@@ -35,6 +35,17 @@ def rescued(df: DataFrame, casts: dict):
     return F.when(text != "{}", text)
 
 
+def rescued_rows(raw: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Every Bronze row of a feed with text that can't be read as its type: business key as text, the texts, lineage.
+
+    Silver has NULL, zero or no row for these; here they can be looked up
+    and mended, whatever the cleaning steps did with the row.
+    """
+    lineage = [c for c in LINEAGE if c in raw.columns]
+    keys = [F.col(c).cast("string").alias(c) for c in spec.key if c not in spec.casts]
+    return raw.select(*keys, rescued(raw, spec.casts).alias(RESCUED), *lineage).where(F.col(RESCUED).isNotNull())
+
+
 def try_types(df: DataFrame, casts: dict, zero_fill=(), rescue: bool = False) -> DataFrame:
     """Lenient casts (3.1, 3.2) and NULL -> 0 for listed quantities (3.4).
 

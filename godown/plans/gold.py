@@ -13,8 +13,9 @@ products, warehouses and the current suppliers):
   sort-merge join.  The un-aggregated fact of G1 meets its dimensions by
   ``split_join`` (``operators/joins``), so AQE can split a hot product.
 * Quantile cuts come from a written table of values and counts; both at once.
-* Results are not globally sorted; ``ORDERING`` states the presentation
-  order for readers (top-n reads use ``orderBy().limit()``).
+* Plans are not globally sorted; ``ORDERING`` states the presentation order.
+  The job writes Gold in that order (``store.ordered``), and ``store.ranked``
+  gives readers the rank (top-n reads use ``orderBy().limit()``).
 """
 
 from __future__ import annotations
@@ -38,10 +39,14 @@ ORDERING = {
 }
 
 
+def order_of(table: str) -> list:
+    """The presentation order of a Gold table as sort columns."""
+    return [F.desc_nulls_last(k[1:]) if k.startswith("-") else F.asc_nulls_first(k) for k in ORDERING[table]]
+
+
 def ordered(df: DataFrame, table: str) -> DataFrame:
     """The table in its presentation order (a global sort; use for final output only)."""
-    keys = [F.desc_nulls_last(k[1:]) if k.startswith("-") else F.asc_nulls_first(k) for k in ORDERING[table]]
-    return df.orderBy(*keys)
+    return df.orderBy(*order_of(table))
 
 
 def current_suppliers(history: DataFrame) -> DataFrame:

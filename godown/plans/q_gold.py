@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from godown.functions.exprs import FAST_QUANTILE, SLOW_QUANTILE
@@ -10,6 +13,7 @@ from godown.plans import gold
 from godown.plans.pipeline import Layers
 from godown.plans.registry import query
 from godown.session import written
+from godown.sources import store
 
 INVENTORY_SNAPSHOT_SQL = """
 SELECT i.inventory_id, i.product_id, p.product_name, p.category, i.warehouse_id, w.warehouse_name,
@@ -124,3 +128,28 @@ def q_sales_summary(spark, sf_dir):
 @query("sales_trends", gold_sql("SELECT * FROM g_trends"))
 def q_sales_trends(spark, sf_dir):
     return Layers(spark, sf_dir).sales_trends
+
+
+#: Key of each Gold table as text, for the order.
+_KEYS = {"inventory_snapshot": ("inventory_id",), "low_stock_alerts": ("inventory_id",), "supplier_performance": ("supplier_id",),
+         "product_movement": ("product_id",), "sales_summary": ("warehouse_id", "category"), "sales_trends": ("month",)}
+_CTE = {"inventory_snapshot": "g_snapshot", "low_stock_alerts": "g_alerts", "supplier_performance": "g_supplier_perf",
+        "product_movement": "g_movement", "sales_summary": "g_summary", "sales_trends": "g_trends"}
+
+
+def _rank_sql(table: str) -> str:
+    order = ", ".join(f"{k[1:]} DESC NULLS LAST" if k.startswith("-") else f"{k} ASC NULLS FIRST" for k in gold.ORDERING[table])
+    key = " || '/' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in _KEYS[table])
+    return f"SELECT '{table}' AS table_name, row_number() OVER (ORDER BY {order}) AS rank, {key} AS row_key FROM {_CTE[table]}"
+
+
+@query("gold_order", gold_sql(" UNION ALL ".join(_rank_sql(t) for t in _KEYS)))
+def q_gold_order(spark, sf_dir):
+    """9.1 - 9.3: rank and key of every row of the six Gold tables, written in presentation order."""
+    tables = Layers(spark, sf_dir).gold_tables()
+    parts = []
+    for name, key in _KEYS.items():
+        rows = store.ranked(written(store.ordered(tables[name], gold.order_of(name)), "gold_order"))
+        text = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in key])
+        parts.append(rows.select(F.lit(name).alias("table_name"), "rank", text.alias("row_key")))
+    return reduce(DataFrame.unionByName, parts)

@@ -9,8 +9,11 @@ return what landed in Bronze.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from godown.oracle import LINEAGE_ORDER, TS_RUN, first_per, rnd, with_ctes
 from godown.operators import clean, quality
@@ -212,6 +215,93 @@ def q_pipeline_counts(spark, sf_dir):
     return _job(spark, sf_dir, "job_counts")[2].where("table_name LIKE 'silver.%'")
 
 
+# ---- 3.1 / 3.2: unreadable text from the feed to Silver ---------------------------
+# Fixed rules on keys: which cleaned rows are sent with text that can't be read.
+_DIRTY = {
+    "sales": (("sale_date", "sale_id % 17 = 3", "31.12.99"), ("quantity_sold", "sale_id % 23 = 7", "many"), ("revenue", "sale_id % 19 = 5", "1,234.50")),
+    "orders": (("expected_delivery", "order_id % 29 = 1", "2024-13-45"), ("quantity_ordered", "order_id % 31 = 4", "12 pcs")),
+    "products": (("unit_price", "product_id % 37 = 2", "free"),),
+}
+
+
+def _dirty_job(spark, sf_dir, name: str) -> str:
+    """Bronze and Silver of the job over feeds with unreadable text; the lake's folder."""
+    from godown.plans import run
+    from godown.plans.pipeline import BronzeLayers
+    root = scratch_path(spark, name)
+    L = Layers(spark, sf_dir)
+    for f, t in _FEED_TABLES.items():
+        rows = L.supplier_snapshots if f == "suppliers" else getattr(L, t)
+        texts = {c: F.when(F.expr(rule), F.lit(text)).otherwise(F.col(c).cast("string")) for c, rule, text in _DIRTY.get(f, ())}
+        bronze.write_csv(rows.select(*[texts.get(c, F.col(c)).alias(c) for c in FEEDS[f].columns]), f"{root}/in/{f}/drop1")
+    landed = run.write_bronze(spark, {f: f"{root}/in/{f}/*" for f in _FEED_TABLES}, f"{root}/lake")
+    run.write_silver(spark, BronzeLayers(spark, landed), f"{root}/lake", deliveries=True)
+    return f"{root}/lake"
+
+
+@query("pipeline_dirty_sales", with_ctes("""
+SELECT sale_id, product_id, warehouse_id, CASE WHEN sale_id % 17 <> 3 THEN sale_date END AS sale_date, quantity_sold, unit_price,
+       CASE WHEN sale_id % 19 <> 5 THEN revenue END AS revenue,
+       CASE WHEN sale_id % 19 = 5 OR revenue < 0 THEN 'revenue_non_negative' END AS failed
+FROM s_sales WHERE sale_id % 23 <> 7
+"""))
+def q_pipeline_dirty_sales(spark, sf_dir):
+    """3.1, 3.2, 3.4: unreadable dates and numbers are NULL in Silver, an unreadable quantity counts as 0 and drops the sale, an unreadable revenue fails its rule."""
+    t = store.VersionedTable(spark, f"{_dirty_job(spark, sf_dir, 'job_dirty')}/silver/sales")
+    typed = clean.try_types(t.read().drop(*LINEAGE), _SALES_TYPED)
+    return typed.select(*SALES.columns, F.col(quality.FAILED).alias("failed"))
+
+
+def _rescued_sql(feed: str, source: str) -> str:
+    parts = " || ".join(f"CASE WHEN {rule} THEN ',\"{c}\":\"{text}\"' ELSE '' END" for c, rule, text in _DIRTY[feed])
+    key = FEEDS[feed].key[0]
+    return (f"SELECT '{feed}' AS feed, CAST({key} AS VARCHAR) AS business_key, '{{' || substr(t, 2) || '}}' AS rescued "
+            f"FROM (SELECT {key}, {parts} AS t FROM {source}) WHERE t <> ''")
+
+
+@query("pipeline_rescued", with_ctes(" UNION ALL ".join(_rescued_sql(f, f"s_{f}") for f in ("sales", "orders", "products"))))
+def q_pipeline_rescued(spark, sf_dir):
+    """3.1, 3.2: every text that could not be read, by business key, from the ``*_rescued`` tables of the job."""
+    lake = _dirty_job(spark, sf_dir, "job_rescued")
+    parts = [store.VersionedTable(spark, f"{lake}/silver/{f}_rescued").read()
+             .select(F.lit(f).alias("feed"), F.col(FEEDS[f].key[0]).alias("business_key"), F.col(clean.RESCUED).alias("rescued"))
+             for f in (*_DIRTY, "warehouse", "inventory")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ---- 1.3 / 1.8: inferred schema, dates in another format ---------------------------
+@query("bronze_inferred_schema", with_ctes(
+    "SELECT order_id, product_id, supplier_id, order_date, expected_delivery, actual_delivery, quantity_ordered, status FROM raw_orders"))
+def q_bronze_inferred_schema(spark, sf_dir):
+    """1.3: types inferred from the first delivery and stored; the second run, over a delivery without open orders, reuses them."""
+    root = scratch_path(spark, "inferred_orders")
+    raw = _business(feeds.raw_orders(spark, sf_dir), ORDERS)
+    late = F.col("order_date") >= F.lit(SPLIT_DATE)
+    for i, rows in enumerate((raw.where(~late | (F.col("status") == "Open")), raw.where(late & (F.col("status") != "Open")))):
+        bronze.write_csv(rows, f"{root}/landing/drop{i}")
+        ingest.stream_feed(spark, None, f"{root}/landing/*", f"{root}/bronze", f"{root}/_checkpoint")
+    landed = ingest.read_landed(spark, f"{root}/bronze")
+    kinds = dict(landed.dtypes)
+    if (kinds["order_date"], kinds["status"]) != ("date", "string") or kinds["quantity_ordered"] != "int":
+        raise RuntimeError(f"inferred {kinds}")
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("order_id", "product_id", "supplier_id")]
+    return landed.select(*ids, *[c for c in ORDERS.columns if c not in ("order_id", "product_id", "supplier_id")])
+
+
+@query("bronze_date_format", with_ctes("""
+SELECT sale_id, product_id, warehouse_id, CASE WHEN sale_id % 41 <> 6 THEN sale_date END AS sale_date, quantity_sold FROM raw_sales
+"""))
+def q_bronze_date_format(spark, sf_dir):
+    """1.8: dates parsed while reading, by a given format; one in another format is NULL and the row stays."""
+    root = scratch_path(spark, "dated_sales")
+    text = F.when(F.col("sale_id") % 41 == 6, F.date_format("sale_date", "yyyy.MM")).otherwise(F.date_format("sale_date", "dd/MM/yyyy"))
+    rows = feeds.raw_sales(spark, sf_dir).withColumn("sale_date", text)
+    columns = ["sale_id", "product_id", "warehouse_id", "sale_date", "quantity_sold"]
+    bronze.write_csv(rows.select(*columns), root)
+    schema = T.StructType.fromDDL("sale_id bigint, product_id bigint, warehouse_id int, sale_date date, quantity_sold int")
+    return bronze.read_feed(spark, None, root, schema=schema, date_format="dd/MM/yyyy").select(*columns)
+
+
 # ---- 11.4 / 3.3: supplier snapshots streamed into the SCD2 history ---------------
 def _streamed(spark, name: str, deliveries) -> ingest.History:
     """Each delivery dropped as CSV and merged by its own run of the stream."""
@@ -311,8 +401,8 @@ def q_table_counts(spark, sf_dir):
 
 
 # ---- 6.7 / 10.11 - 10.14: price lookup with a default, labels and picks -----
-# Chosen here: warehouse codes, first date, day span, quantity range and the
-# price of unknown products.
+# Fixed values of the price lookup: warehouse codes, first date, day span,
+# quantity range and the price of unknown products.
 GEN_WAREHOUSES = ("WH01", "WH02", "WH03")
 GEN_START = dt.date(2026, 5, 1)
 GEN_DAYS = 72

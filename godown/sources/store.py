@@ -22,13 +22,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from godown.sources.paths import if_exists
 
-COMMITS = "version long, committed_at timestamp_ntz"
+COMMITS = "version long, committed_at timestamp_ntz, counts map<string,bigint>"
 MANIFEST = "version long, bucket int, held_by long, committed_at timestamp_ntz"
 #: Partition column of bucketed tables.
 BUCKET = "_bucket"
@@ -68,9 +68,20 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version under {self.root}")
         return self.spark.read.parquet(self.path(v))
 
-    def write(self, df: DataFrame, version: int | None = None, partition_by: str | None = None) -> int:
+    def counts(self, version: int | None = None) -> dict[str, int]:
+        """What was counted while the version was written; always ``rows``."""
+        v = self.current_version() if version is None else version
+        row = None if v is None else self._log().where(F.col("version") == v).first()
+        return {} if row is None else dict(row["counts"] or {})
+
+    def write(self, df: DataFrame, version: int | None = None, partition_by: str | None = None,
+              counts: dict[str, Column] | None = None) -> int:
         """1.9 / 1.11: write a new full version and commit it.
 
+        Its rows, and aggregates named in ``counts``, are observed by the
+        writing job itself (4.7, 1.14) and kept with the commit; nothing is
+        read again for them.
+
         A folder that is already there is never replaced, with one
         exception: a caller that names its ``version`` (a stream batch that
         runs again) replaces what an earlier, uncommitted attempt left.
@@ -83,16 +94,48 @@ class VersionedTable:
             raise FileExistsError(f"version {version} of {self.root} is committed")
         else:
             mode = "overwrite"
-        writer = df.write.mode(mode)
+        seen = Observation()
+        named = {"rows": F.count(F.lit(1)), **(counts or {})}
+        writer = df.observe(seen, *[c.alias(n) for n, c in named.items()]).write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(version))
+        got = {n: int(v or 0) for n, v in seen.get.items()}
         commit = self.spark.createDataFrame(
-            [(int(version), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], COMMITS)
+            [(int(version), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), got)], COMMITS)
         commit.coalesce(1).write.mode("append").parquet(self._commits)
         return version
 
 
+#: Place of a row in a table written by ``ordered``: the number of its sorted part and its place there.
+PLACE = "_place"
+PLACE_BITS = 33
+
+
+def ordered(df: DataFrame, by) -> DataFrame:
+    """The rows in the global order ``by`` (Columns), each with its place, ready to be written (9.1 - 9.3).
+
+    Rows are dealt by ranges of the sort columns, so no task sorts or ranks
+    the whole table; the place is fixed by the write.
+    """
+    return df.orderBy(*by).withColumn(PLACE, F.monotonically_increasing_id())
+
+
+def ranked(written: DataFrame) -> DataFrame:
+    """A written ``ordered`` table with ``rank`` from 1 in place of its places.
+
+    The rank is the place in its part plus the sizes of the parts before:
+    one row per part is summed up, and that table is broadcast.
+    """
+    part = F.shiftright(PLACE, PLACE_BITS)
+    sizes = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    within = F.col(PLACE) - F.shiftleft(F.col("_part"), PLACE_BITS)
+    out = written.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return out.withColumn("rank", F.col("_first") + within + 1).drop("_part", "_first", PLACE)
+
+
 class BucketedTable:
     """A keyed table whose new versions rewrite only the buckets that changed.
 
@@ -200,12 +243,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "VIEW"
+
+
 def publish_view(spark: SparkSession, name: str, paths: list[str], columns) -> None:
     """Point catalog view ``name`` at the parquet data of several folders (a bucketed table's current ones)."""
     cols = ", ".join(f"`{c}`" for c in columns)
     body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{p}`" for p in paths)
     if not paths:
         raise ValueError(f"{name} has no data to publish")
+    if table_exists(spark, name) and not is_view(spark, name):
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
 
 
@@ -217,6 +266,8 @@ def publish(spark: SparkSession, name: str, path: str, schema: T.StructType) ->
     files are never touched.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    if table_exists(spark, name) and is_view(spark, name):
+        spark.sql(f"DROP VIEW {name}")
     if table_exists(spark, name):
         same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
         if same:

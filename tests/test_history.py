@@ -160,3 +160,8 @@ def test_job_merges_per_delivery_and_publishes_the_history(spark, tmp_dir):
     assert spark.table("job_silver.suppliers_scd2").count() == silver.read().count() == 120
     bad = spark.read.parquet(f"{tmp_dir}/lake/silver/suppliers_quarantine").collect()
     assert sorted(r._rescued for r in bad) == ['{"rating":"x","source_date":"later"}', '{"rating":"x","source_date":"soon"}']
+    # a plain table of that name, as the replaying job publishes it, gives way; and back
+    store.overwrite(silver.read(), f"{tmp_dir}/plain")
+    store.publish(spark, "job_silver.suppliers_scd2", f"{tmp_dir}/plain", silver.read().schema)
+    silver.publish("job_silver.suppliers_scd2")
+    assert store.is_view(spark, "job_silver.suppliers_scd2")

@@ -18,7 +18,8 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 # the work of these is done when they are called; the plan is a scan of what landed
 STATEFUL = {"bronze_batch_lineage", "bronze_stream_available_now", "bronze_schema_evolution", "bronze_stream_scd2",
             "bronze_stream_scd2_late", "bronze_evolving_tables", "bronze_header_order", "bronze_old_file", "pipeline_silver_sales",
-            "pipeline_quarantine", "pipeline_counts", "table_counts"}
+            "pipeline_quarantine", "pipeline_counts", "table_counts", "bronze_stream_scd2_irregular", "bronze_stream_scd2_quarantine",
+            "pipeline_suppliers_quarantine", "pipeline_dirty_sales", "pipeline_rescued", "bronze_inferred_schema", "bronze_date_format"}
 QUERIES, _ = load_all()
 #: Most scans of a table in one plan.
 MOST_SCANS = {"part": 4, "supplier": 10, "lineitem": 3, "orders": 2, "nation": 2, "region": 2, "customer": 2, "events": 2}
