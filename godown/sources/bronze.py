@@ -17,6 +17,9 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import json
+import re
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +36,39 @@ def lineage(df: DataFrame, ingest_ts: dt.datetime | None = None) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_name")).withColumn(INGEST_TS, ts)
 
 
+#: Files whose first lines are fetched at the same time.
+HEADER_READS = 16
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file on any file system that Spark reads, compressed or not; only its first block is fetched."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        content = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def headers(spark: SparkSession, paths, base: str | None = None) -> dict[str, tuple[str, ...]]:
-    """The column names of each CSV file, from its first line (one job for all files, a row per file)."""
+    """The column names of each CSV file, from its first line; empty files have none.
+
+    The lines are fetched beside Spark's file listing, a buffer per file:
+    the data itself is read once, by the query.
+    """
     reader = spark.read.option("basePath", base) if base else spark.read
-    lines = reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
-                                      F.col("_metadata.file_block_start").alias("start"))
-    # a file's first block is read by one task, in order
-    first = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("line")).collect()
-    return {r["file"]: tuple(next(csv.reader([r["line"].lstrip("\ufeff")]))) for r in first}
+    files = reader.text(paths).inputFiles()
+    with ThreadPoolExecutor(max_workers=HEADER_READS) as pool:
+        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    return {unquote(f): tuple(next(csv.reader([line.lstrip("\ufeff")]))) for f, line in zip(files, lines) if line}
+
+
+def literal(path: str) -> str:
+    """A path that Spark's readers take as it is, without pattern characters."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def read_csv_by_name(spark: SparkSession, paths, schema: T.StructType, base: str | None = None,
@@ -63,7 +91,7 @@ def read_csv_by_name(spark: SparkSession, paths, schema: T.StructType, base: str
             reader = reader.option("basePath", base)
         if date_format:
             reader = reader.option("dateFormat", date_format)
-        df = lineage_file(reader.csv(sorted(files)))
+        df = lineage_file(reader.csv(sorted(map(literal, files))))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         return lineage_file(spark.read.schema(schema).csv(paths))
