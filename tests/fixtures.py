@@ -1,5 +1,6 @@
-"""Small inline copies of the reference's raw feeds and golden rows (data only)."""
+"""Published raw feeds and results, small and inline (fixed values)."""
 
+# Raw products.
 PRODUCTS_CSV = """product_id,product_name,category,unit_price,supplier_id
 P001,Product 1,Electronics,173.8,SUP03
 P002,Product 2,Stationery,1154.89,SUP01
@@ -29,6 +30,7 @@ P025,Product 25,Stationery,3438.84,SUP01
 P004,Product 4,Electronics,197.5,SUP02
 """
 
+# The two supplier snapshots.
 SUPPLIERS_DAY1_CSV = """supplier_id,supplier_name,address,contact_email,rating,source_date
 SUP01,Acme Traders,"Sitapura, Jaipur",acme@example.com,4.2,2026-06-01
 SUP02,Global Parts Co,"Okhla, Delhi",global@example.com,3.8,2026-06-01
@@ -44,7 +46,7 @@ SUP04,Fastrack Vendors,"Vaishali Nagar, Jaipur",fastrack@example.com,3.5,2026-07
 SUP05,NorthStar Supply,"Salt Lake, Kolkata",northstar@example.com,4.0,2026-07-01
 """
 
-# (supplier_id, address, rating, effective_start, effective_end, is_current)
+# Fixed values: (supplier_id, address, rating, effective_start, effective_end, is_current)
 SCD2_GOLDEN = [
     ("SUP01", "Sitapura, Jaipur", 4.2, "2026-06-01", "2026-07-01", False),
     ("SUP01", "Malviya Nagar, Jaipur", 4.2, "2026-07-01", None, True),
@@ -55,7 +57,7 @@ SCD2_GOLDEN = [
     ("SUP05", "Salt Lake, Kolkata", 4.0, "2026-07-01", None, True),
 ]
 
-# month totals of the golden sales_trends table and its growth column
+# Month totals of the golden sales_trends table and its growth column
 TRENDS_GOLDEN = [
     ("2026-05", 1752, 3585450.82, 158, None),
     ("2026-06", 1632, 3412841.04, 166, -4.81),

@@ -105,3 +105,34 @@ def test_packing_edges(spark):
     rows = packing.pack_documents(frame(spark, [None, "", "a b"], [4, 4, 5]).withColumnRenamed("source", "length"), path).collect()
     assert sorted((r["doc_id"], r["length"], r["sequence_id"]) for r in rows) == [(4, 1, 0), (4, 1, 0), (5, 3, 0)]
     assert sorted(r["offset"] for r in rows) == [0, 3, 4]
+
+
+def test_packing_encoder_equals_the_library(monkeypatch):
+    """Plain, odd and mixed texts, special tokens, very long words, and memos that start over all the time."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from godown.llm import packing
+    from godown.llm.queries import tokenizer_file
+    file = tokenizer_file("word_bpe_49k.json")
+    tok = Tokenizer.from_file(file)
+    rng = random.Random(6)
+    texts = ["a\tb c", "İstanbul ß ñ Œuvre x", "日本 語テスト abc", "<|startoftext|> hi it's", "é café e\u0301", "x" * 5000 + " y", "",
+             " \n ", "don't 12 3.4, é×÷ 'LL", "日" * 3000 + " ok", "A.B-C_D", "\x00 \x7f ok"]
+    texts += [" ".join(rng.choice(["Word", "ord%d" % rng.randrange(99), "née,", "œ", "it's"]) for _ in range(40)) for _ in range(60)]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for rows, chars, call in ((packing.TABLE_ROWS, packing.TABLE_CHARS, packing.CALL_ROWS), (7, 10 ** 6, 3), (10 ** 6, 60, 2)):
+        monkeypatch.setattr(packing, "TABLE_ROWS", rows)
+        monkeypatch.setattr(packing, "TABLE_CHARS", chars)
+        monkeypatch.setattr(packing, "CALL_ROWS", call)
+        ids_of = packing.text_encoder(file)
+        got = [x for i in range(0, len(texts), 9) for x in ids_of(texts[i:i + 9])]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
+def test_packing_encoder_calls_are_bounded_by_characters():
+    from godown.llm import packing
+    items = ["x" * n for n in (5, packing.CALL_CHARS + 1, 10)] + ["y"] * (packing.CALL_ROWS + 1)
+    got = list(packing.calls(items))
+    assert [x for c in got for x in c] == items
+    assert all(len(c) == 1 or sum(map(len, c)) <= packing.CALL_CHARS and len(c) <= packing.CALL_ROWS for c in got)
