@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 
 from godown.llm.common import out_batch, slices, written
 
-TABLE_ROWS = 300_000
+#: Parts of words that a task remembers, and their characters; longer ones are encoded each time.
+TABLE_ROWS, TABLE_CHARS, LONG = 600_000, 16_000_000, 1_000
+#: Parts that the library merges in one call: so many, of so many characters.
+CALL_ROWS, CALL_CHARS = 5_000, 200_000
 #: Rows that share a rank window, about.
 RANK_ROWS = 5_000
 LENGTH_DIGITS = 1 << 40
@@ -34,9 +37,9 @@ LENGTH_DIGITS = 1 << 40
 #: How the vocabulary file normalises and splits words.  A file with other settings gets no short cut.
 NORMALIZER = ["NFC", "Replace", "Lowercase"]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words of these characters need no composition and are lower-cased and split the same way by ``re``.
-PLAIN = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
-PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+#: Texts of these characters need no composition and are lower-cased and split the same way by ``re``.
+PLAIN = re.compile(r"[\x20-\x7e\n\xc0-\xd6\xd8-\xf6\xf8-\xff]*+")
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]++|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]++")
 
 
 def byte_letters() -> dict[int, str]:
@@ -53,12 +56,39 @@ def cut_ids(enc, n: int, at) -> list[bytes]:
     return [raw[a:b] for a, b in zip(cut, cut[1:])]
 
 
-def word_encoder(tokenizer_file: str, table_rows: int = TABLE_ROWS):
-    """words -> {word: its ids as little-endian uint32 bytes}, remembered.
+def calls(items: list[str]):
+    """``items`` in lists for one call of the library each."""
+    some, chars = [], 0
+    for x in items:
+        if some and (len(some) >= CALL_ROWS or chars + len(x) > CALL_CHARS):
+            yield some
+            some, chars = [], 0
+        some.append(x)
+        chars += len(x)
+    if some:
+        yield some
 
-    Plain words are lower-cased and split here, and each distinct part is
-    merged once by the library's model; others go through the whole
-    tokenizer.
+
+class Memo(dict):
+    """A dict that starts over when it holds too much; a text's entries are asked for right after they are set."""
+
+    chars = 0
+
+    def room(self, items) -> None:
+        more = sum(map(len, items))
+        if len(self) + len(items) > TABLE_ROWS or self.chars + more > TABLE_CHARS:
+            self.clear()
+            self.chars = 0
+        self.chars += more
+
+
+def text_encoder(tokenizer_file: str):
+    """texts -> [ids of each as little-endian uint32 bytes].
+
+    A plain text is lower-cased and split here as a whole, and each distinct
+    part is merged once by the library's model and remembered.  In other
+    texts that holds for the plain words; the rest goes through the whole
+    tokenizer word by word.
     """
     from tokenizers import Tokenizer
 
@@ -71,56 +101,60 @@ def word_encoder(tokenizer_file: str, table_rows: int = TABLE_ROWS):
     bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
     special = [t["content"] for t in spec["added_tokens"]]
     letters = byte_letters()
-    table: dict[str, bytes] = {}
-    parts: dict[str, bytes] = {}
-
-    def plain(w: str) -> bool:
-        return short_cut and PLAIN.fullmatch(w) is not None and not any(t in w for t in special)
-
-    def fill(words) -> dict[str, bytes]:
-        new = [w for w in words if w not in table]
-        if len(table) + len(new) > table_rows:
-            table.clear()
-            new = list(words)
-        easy = [w for w in new if plain(w)]
-        split = [PLAIN_SPLIT.findall(w.lower()) for w in easy]
-        if len(parts) > table_rows:
-            parts.clear()
-        fresh = [p for p in set().union(*split) if p not in parts]
-        for i in range(0, len(fresh), 5000):
-            some = fresh[i:i + 5000]
-            enc = bare.encode(" ".join([p.encode().decode("latin-1").translate(letters) for p in some]), add_special_tokens=False)
-            parts.update(zip(some, cut_ids(enc, len(some), np.asarray(enc.word_ids))))
-        table.update((w, b"".join([parts[p] for p in ps])) for w, ps in zip(easy, split))
-        hard = [w for w in new if w not in table]
-        for i in range(0, len(hard), 5000):
-            some = hard[i:i + 5000]
-            enc = tok.encode("\n".join(some), add_special_tokens=False)
-            at = np.fromiter((o[0] for o in enc.offsets), dtype=np.int64, count=len(enc.ids))
-            table.update(zip(some, cut_ids(enc, len(some), np.searchsorted(np.cumsum([len(w) + 1 for w in some]), at, side="right"))))
-        return table
-
-    return fill
+    parts, words = Memo(), Memo()
+
+    def plain(t: str) -> bool:
+        return short_cut and PLAIN.fullmatch(t) is not None and not any(x in t for x in special)
+
+    def merged(some: list[str]) -> list[bytes]:
+        enc = bare.encode(" ".join([p.encode().decode("latin-1").translate(letters) for p in some]), add_special_tokens=False)
+        return cut_ids(enc, len(some), np.asarray(enc.word_ids))
+
+    def whole(some: list[str]) -> list[bytes]:
+        enc = tok.encode("\n".join(some), add_special_tokens=False)
+        at = np.fromiter((o[0] for o in enc.offsets), dtype=np.int64, count=len(enc.ids))
+        return cut_ids(enc, len(some), np.searchsorted(np.cumsum([len(w) + 1 for w in some]), at, side="right"))
+
+    def known(memo: Memo, wanted: set, encode) -> Memo | dict:
+        """Every one of ``wanted`` with its ids; those worth it are remembered."""
+        fresh = [x for x in wanted if x not in memo]
+        short, long = [x for x in fresh if len(x) <= LONG], [x for x in fresh if len(x) > LONG]
+        held = len(memo)
+        memo.room(short)
+        if held and not memo:                      # started over
+            short = [x for x in wanted if len(x) <= LONG]
+        for some in calls(short):
+            memo.update(zip(some, encode(some)))
+        return memo if not long else memo | {x: ids for some in calls(long) for x, ids in zip(some, encode(some))}
+
+    def ids_of(texts: list[str]) -> list[bytes]:
+        easy = [plain(t) for t in texts]
+        split = [PLAIN_SPLIT.findall(t.lower()) if e else [w for w in t.replace("\n", " ").split(" ") if w]
+                 for t, e in zip(texts, easy)]
+        odd = {w: PLAIN_SPLIT.findall(w.lower()) if plain(w) else None for w in set().union(*(s for s, e in zip(split, easy) if not e))}
+        table = known(parts, set().union(*(s for s, e in zip(split, easy) if e), *(p for p in odd.values() if p)), merged)
+        hard = known(words, {w for w, p in odd.items() if p is None}, whole)
+        word = {w: hard[w] if p is None else b"".join([table[x] for x in p]) for w, p in odd.items()}
+        return [b"".join(map((table if e else word).__getitem__, s)) for s, e in zip(split, easy)]
+
+    return ids_of
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document.
 
-    White space is dropped by the tokenizer, so the words between blanks and
-    line ends are encoded on their own, each distinct word once per task.
+    White space is dropped by the tokenizer, so the parts of words are
+    encoded on their own, each distinct part once per task.
     """
     def run(batches):
-        fill = word_encoder(tokenizer_file)
+        ids_of = text_encoder(tokenizer_file)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         step = 4 * capacity
         for b in slices(batches):
-            cut = [(t or "").replace("\n", " ").split(" ") for t in b.column(1).to_pylist()]
-            table = fill(set().union(*cut) - {""} if cut else set())
-            table[""] = b""
             row, piece, length, crc = [], [], [], []
-            for k, words in enumerate(cut):
-                raw = b"".join([table[w] for w in words]) + end
+            for k, raw in enumerate(ids_of([t or "" for t in b.column(1).to_pylist()])):
+                raw += end
                 for p, a in enumerate(range(0, len(raw), step)):
                     part = raw[a:a + step]
                     row.append(k)
