@@ -25,11 +25,26 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here."""
+#: Spark drops the shuffle files of a job when it ends.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here.
+
+    ``free``: the write's shuffle files go when it ends, not when the garbage
+    collector comes by; for large shuffles that nothing else uses.
+    """
     path = scratch_path(df.sparkSession, "llm", name)
     spark, schema = df.sparkSession, df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(FILE_CLEANUP, None)
+    if free:
+        spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(FILE_CLEANUP) if before is None else spark.conf.set(FILE_CLEANUP, before)
     release(spark)
     return spark.read.schema(schema).parquet(path)
 
