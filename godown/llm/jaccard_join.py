@@ -38,6 +38,8 @@ PERCENT = 80
 SAMPLE = 16
 #: Frequent: in at least this share of the sampled documents, and at least LEAST of them.
 FREQUENT, LEAST = 1 / 2000, 3
+#: Pairs of one document that are verified together.
+TOGETHER = 256
 #: Pairs that a task remembers, so that it doesn't name them again.
 SEEN = 1_000_000
 #: Rows of a list that are compared at once; longer lists are cut into chunks of about so many rows.
@@ -148,22 +150,52 @@ def tested(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     left = info.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
     right = info.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
     return written(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "bits_a", "bits_b")
-                   .mapInArrow(near, "a long, b long, na long, nb long, apart long, close boolean"), "jaccard_close")
+                   .mapInArrow(near, "a long, b long, na long, nb long, apart long, close boolean"), "jaccard_close", free=True)
+
+
+def shared(one: np.ndarray, two: np.ndarray) -> int:
+    """How many elements two sorted sets have in common."""
+    if len(one) > len(two):
+        one, two = two, one
+    if not len(one):
+        return 0
+    at = np.minimum(np.searchsorted(two, one), len(two) - 1)
+    return int((two[at] == one).sum())
 
 
 def verified(tests: DataFrame, src: DataFrame, size: int) -> DataFrame:
-    """(a, b, na, nb, common) for the ``tests`` that are close; common counted on whole sets."""
-    def sets(batches):
-        for b in slices(batches):
-            yield out_batch(["doc_id", "tokens"], [b.column(0), pa.array([s.view(np.int64) for s in shingle_sets(b.column(1), size)], pa.list_(pa.int64()))])
+    """(a, b, na, nb, common) for the ``tests`` that are close; common counted on whole sets.
+
+    Texts travel, not sets: they are a third of the size.  The pairs of one
+    document ``a`` are dealt over groups of about ``TOGETHER``, each with one
+    copy of its text in front.
+    """
+    def compare(batches):
+        own = np.zeros(0, np.uint64)                       # the set of the last row that is an `a`
+        for batch in batches:
+            for part in slices([batch]):
+                out = [[] for _ in range(5)]
+                cols = [part.column(i).to_pylist() for i in range(4)]
+                for a, b, na, nb, tokens in zip(*cols, shingle_sets(part.column(4), size)):
+                    if b is None:
+                        own = tokens
+                    else:
+                        for c, v in zip(out, (a, b, na, nb, shared(own, tokens))):
+                            c.append(v)
+                yield out_batch(["a", "b", "na", "nb", "common"], [pa.array(c, pa.int64()) for c in out])
 
     close = tests.where("close").select("a", "b", "na", "nb")
     ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    whole = written(src.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, tokens array<long>")
-                    .dropDuplicates(["doc_id"]), "jaccard_sets")
-    both = (close.join(whole.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta")), "a")
-            .join(whole.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb")), "b"))
-    return written(both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common")), "jaccard_verified")
+    whole = written(src.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "jaccard_texts", free=True)
+    groups = written(close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("groups")), "jaccard_groups")
+    dealt = close.join(groups, "a").withColumn("group", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int")).drop("groups")
+    theirs = dealt.join(whole.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "na", "nb", "text", "group")
+    none = F.lit(None).cast("long")
+    own = (groups.join(whole.withColumnRenamed("doc_id", "a"), "a").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+           .select("a", none.alias("b"), none.alias("na"), none.alias("nb"), "text", "group"))
+    both = own.unionByName(theirs).repartition("a", "group").sortWithinPartitions("a", "group", F.asc_nulls_first("b"))
+    return written(both.select("a", "b", "na", "nb", "text").mapInArrow(compare, "a long, b long, na long, nb long, common long"),
+                   "jaccard_verified", free=True)
 
 
 def linked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -329,14 +361,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     posts = (own.select("doc_id", "n", F.posexplode("prefix").alias("pos", "token"))
              .select("token", F.col("doc_id").alias("doc"), "n", F.col("pos").cast("long").alias("pos"), size_block(F.col("n"), percent).alias("block")))
     counts = posts.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    posts = written(posts.join(written(counts, "jaccard_tokens"), "token"), "jaccard_lists")
+    posts = written(posts.join(written(counts, "jaccard_tokens", free=True), "token"), "jaccard_lists", free=True)
     # pass 1: every set with the leaders of its blocks and the neighbouring ones
     leaders = posts.groupBy("token", "block").agg(F.min(F.struct("doc", "n", "pos")).alias("l"))
     leaders = written(leaders.select("token", F.explode(F.array(*[F.col("block") + k for k in (-1, 0, 1)])).alias("block"), "l"), "jaccard_leaders")
     most = F.least(F.col("n") - F.col("pos"), F.col("l.n") - F.col("l.pos"))
     star = (posts.join(leaders, ["token", "block"]).where((F.col("doc") != F.col("l.doc")) & enough(F.col("n"), F.col("l.n"), most, percent))
             .select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b")).distinct())
-    star = written(star, "jaccard_star")
+    star = written(star, "jaccard_star", free=True)
     tests = tested(star, reps, percent)
     found = verified(tests, src, size)
     links = linked(found, percent)
@@ -348,7 +380,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
               .unionByName(tests.where("not close").select("a", "b", least.alias("lo"), F.lit(1.0).alias("hi"))))
     # pass 2: what is left of lists that still hold more than one component
     state = posts.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("token", "block", "doc", "n", "pos", F.coalesce("root", "doc").alias("root"))
-    state = written(state, "jaccard_state")
+    state = written(state, "jaccard_state", free=True)
     rest = open_pairs(state, written(bounds, "jaccard_bounds"), percent).join(star, ["a", "b"], "left_anti")
     again = verified(tested(written(rest, "jaccard_rest"), reps, percent), src, size)
     roots = components(links.unionByName(linked(again, percent)))
