@@ -14,7 +14,9 @@ decreasing row by row, without a shuffle per step.
 
 from __future__ import annotations
 
+import functools
 import json
+import os
 import re
 import zlib
 
@@ -83,7 +85,14 @@ class Memo(dict):
 
 
 def text_encoder(tokenizer_file: str):
-    """texts -> [ids of each as little-endian uint32 bytes].
+    """texts -> [ids of each as little-endian uint32 bytes]; a worker loads a file once and its tasks share what it remembers."""
+    at = os.stat(tokenizer_file)
+    return loaded_encoder(tokenizer_file, at.st_mtime_ns, at.st_size)
+
+
+@functools.lru_cache(maxsize=1)
+def loaded_encoder(tokenizer_file: str, *changed: int):
+    """The encoder of a file as it is now.
 
     A plain text is lower-cased and split here as a whole, and each distinct
     part is merged once by the library's model and remembered.  In other
@@ -145,7 +154,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int,
     """doc_id, piece, start, length, ids_crc32 of every piece of every document.
 
     White space is dropped by the tokenizer, so the parts of words are
-    encoded on their own, each distinct part once per task.
+    encoded on their own, each distinct part once per worker while it is remembered.
     """
     def run(batches):
         ids_of = text_encoder(tokenizer_file)
@@ -257,7 +266,7 @@ def pack(parts: DataFrame, capacity: int) -> DataFrame:
             yield out_batch([b.schema.names[i] for i in keep] + ["sequence_id", "offset"],
                             [b.column(i) for i in keep] + [seq + k // per, offset + k % per * length])
 
-    rows = ranked(parts, sum(counts.values()))
+    rows = ranked(parts, sum(counts.values())).select(*parts.columns, "rank")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "rank")
     return rows.mapInArrow(place, f"{fields}, sequence_id long, offset long")
 

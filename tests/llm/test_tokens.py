@@ -136,3 +136,19 @@ def test_packing_encoder_calls_are_bounded_by_characters():
     got = list(packing.calls(items))
     assert [x for c in got for x in c] == items
     assert all(len(c) == 1 or sum(map(len, c)) <= packing.CALL_CHARS and len(c) <= packing.CALL_ROWS for c in got)
+
+
+def test_packing_tasks_of_a_worker_share_the_encoder(tmp_path):
+    import shutil
+    path = str(tmp_path / "words.json")
+    shutil.copy(tokenizer_file("word_bpe_49k.json"), path)
+    first = packing.text_encoder(path)
+    assert packing.text_encoder(path) is first                   # loaded once, remembers from task to task
+    with open(path, "a") as f:
+        f.write("\n")
+    assert packing.text_encoder(path) is not first               # another file under the same name
+
+
+def test_packing_keeps_the_order_of_its_columns(spark):
+    got = packing.pack(spark.createDataFrame([(7, 0, 3), (8, 0, 3)], "doc_id long, piece int, length long"), 4)
+    assert got.columns == ["doc_id", "piece", "length", "sequence_id", "offset"]
