@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from godown.llm.common import out_batch, slices, written
+from godown.llm.common import out_batch, passing, slices, written
 from godown.llm.components import components
 from godown.llm.words import mix, ngrams, word_hashes
 
@@ -40,6 +40,8 @@ SAMPLE = 16
 FREQUENT, LEAST = 1 / 2000, 3
 #: Pairs of one document that are verified together.
 TOGETHER = 256
+#: Bits of the filter of wanted ids per id, and at most (8 MB): beyond that it lets more texts through.
+FILTER_BITS, MOST_BITS = 8, 1 << 26
 #: Pairs that a task remembers, so that it doesn't name them again.
 SEEN = 1_000_000
 #: Rows of a list that are compared at once; longer lists are cut into chunks of about so many rows.
@@ -163,10 +165,44 @@ def shared(one: np.ndarray, two: np.ndarray) -> int:
     return int((two[at] == one).sum())
 
 
+def filter_places(ids: np.ndarray, bits: int) -> np.ndarray:
+    """The bits that each id sets in a filter of ``bits`` bits."""
+    ids = ids.astype(np.int64).view(np.uint64)
+    return np.concatenate([mix(ids + np.uint64(salt)) & np.uint64(bits - 1) for salt in (17, 71)]).astype(np.int64)
+
+
+def wanted(src: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``src`` that may have a doc_id of ``ids`` (distinct): all that have, and a few others.
+
+    A Bloom filter is made of the ids, so that texts nobody asks for aren't
+    shuffled to find that out.
+    """
+    bits = min(MOST_BITS, max(64, 1 << (FILTER_BITS * ids.count() - 1).bit_length()))
+
+    def run(batches):
+        for b in batches:
+            at = filter_places(b.column(0).to_numpy(), bits)
+            yield out_batch(["word", "bits"], [at >> 6, np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)])
+
+    got = ids.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    held = src.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    @F.arrow_udf("boolean")
+    def may(doc: pa.Array) -> pa.Array:
+        at = filter_places(doc.to_numpy(zero_copy_only=False), bits)
+        hit = (held.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        return pa.array(hit.reshape(2, -1).all(axis=0))
+
+    return src.where(may(F.coalesce("doc_id", F.lit(0).cast("long"))))
+
+
 def verified(tests: DataFrame, src: DataFrame, size: int) -> DataFrame:
     """(a, b, na, nb, common) for the ``tests`` that are close; common counted on whole sets.
 
-    Texts travel, not sets: they are a third of the size.  The pairs of one
+    Texts travel, not sets: they are a third of the size, and only those of
+    some close pair.  The pairs of one
     document ``a`` are dealt over groups of about ``TOGETHER``, each with one
     copy of its text in front.
     """
@@ -185,8 +221,8 @@ def verified(tests: DataFrame, src: DataFrame, size: int) -> DataFrame:
                 yield out_batch(["a", "b", "na", "nb", "common"], [pa.array(c, pa.int64()) for c in out])
 
     close = tests.where("close").select("a", "b", "na", "nb")
-    ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    whole = written(src.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "jaccard_texts", free=True)
+    ids = written(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard_wanted")
+    whole = written(wanted(src, ids).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "jaccard_texts", free=True)
     groups = written(close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("groups")), "jaccard_groups")
     dealt = close.join(groups, "a").withColumn("group", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int")).drop("groups")
     theirs = dealt.join(whole.withColumnRenamed("doc_id", "b"), "b").select("a", "b", "na", "nb", "text", "group")
@@ -353,6 +389,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     Ids are integers.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with passing(docs.sparkSession) as tables:
+        members = written(member_components(src, percent, size), "jaccard_members")
+        tables.pop()                                       # the members stay
+    return members
+
+
+def member_components(src: DataFrame, percent: int, size: int) -> DataFrame:
+    """What ``jaccard_components`` returns, for ``src`` (doc_id, text); it reads tables written on the way."""
     info = written(described(src, percent, size), "jaccard_info")
     classes = (info.where("n > 0").groupBy("sig_a", "sig_b", "n").agg(F.min("doc_id").alias("class_id")))
     classes = written(classes, "jaccard_classes")
