@@ -108,3 +108,54 @@ def test_tables_are_written_compressed(spark, tmp_dir):
     files = glob.glob(f"{tmp_dir}/t/v=1/*.parquet") + glob.glob(f"{tmp_dir}/a/*.parquet")
     assert {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
     assert spark.read.parquet(f"{tmp_dir}/a").exceptAll(table.read()).count() == 0
+
+
+def _shuffle_files(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).name() for i in range(blocks.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_job_splits_scans_that_sort_and_leaves_no_shuffle_files(spark, tmp_dir, monkeypatch):
+    from godown.session import JOB_CONF, SORTED_SCANS
+    seen, write = {}, store.VersionedTable.write
+    conf = lambda: {k: spark.conf.get(k, None) for k in (*JOB_CONF, *SORTED_SCANS)}
+    monkeypatch.setattr(store.VersionedTable, "write", lambda self, *a, **k: seen.update({self.root.split("/")[-2]: conf()}) or write(self, *a, **k))
+    outside = conf()
+    before = _shuffle_files(spark)
+    run_pipeline(spark, SF_SMALL, tmp_dir)
+    assert _shuffle_files(spark) <= before                        # they go with each table, whatever the garbage collector does
+    assert seen["silver"] == outside | JOB_CONF | SORTED_SCANS    # small tasks where rows are sorted
+    assert seen["gold"] == outside | JOB_CONF and conf() == outside
+
+
+def test_settings_leave_what_the_caller_has_set(spark):
+    from godown.session import settings
+    mine, other = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(mine, "5m")
+    try:
+        with settings(spark, {mine: "1m", other: "2"}):
+            assert (spark.conf.get(mine), spark.conf.get(other)) == ("5m", "2")
+        assert spark.conf.get(mine) == "5m" and spark.conf.get(other, None) is None
+    finally:
+        spark.conf.unset(mine)
+
+
+def test_feeds_stream_side_by_side(spark, tmp_dir, monkeypatch):
+    from threading import Barrier
+    meet = Barrier(3, timeout=30)                                 # broken if they come one after the other
+    monkeypatch.setattr(ingest, "stream_feed", lambda spark, schema, in_dir, *a: meet.wait() * 0 + len(in_dir))
+    assert ingest.stream_feeds(spark, {"a": (None, "x"), "b": (None, "xx"), "c": (None, "xxx")}, tmp_dir) == {"a": 1, "b": 2, "c": 3}
+
+
+def test_deliveries_are_compressed_quickly(spark, tmp_dir):
+    import glob
+    import os
+    from godown.plans import q_sources
+    rows = feeds.raw_sales(spark, SF_SMALL).select(*SALES.columns).coalesce(1)
+    q_sources._deliver_all(spark, {"sales": rows}, f"{tmp_dir}/{{}}/quick")
+    bronze.write_csv(rows, f"{tmp_dir}/sales/usual", compression="gzip")
+    size = {k: sum(map(os.path.getsize, glob.glob(f"{tmp_dir}/sales/{k}/*.gz"))) for k in ("quick", "usual")}
+    assert size["usual"] < size["quick"] < 1.2 * size["usual"]
+    quick, usual = (bronze.read_feed(spark, SALES, f"{tmp_dir}/sales/{k}").select(*SALES.columns) for k in size)
+    assert quick.exceptAll(usual).count() == 0 and usual.exceptAll(quick).count() == 0
